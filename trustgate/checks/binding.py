@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustgate.plans import taxi
@@ -75,26 +75,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _every(key: str, n: int) -> Column:
-    return F.col(key) % n == 0
-
-
-def trip_values() -> dict[str, Column]:
-    return {
-        "trip_id": F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"),
-        "vendor_id": F.when(~_every("l_partkey", 211), F.col("l_linenumber").cast("bigint")),
-        "passenger_count": F.when(
-            ~_every("l_suppkey", 10), (F.col("l_quantity") % 8).cast("double")
-        ),
-        "total_amount": F.when(_every("l_partkey", 307), F.lit(None))
-        .when(F.col("l_returnflag") == "R", -F.col("l_extendedprice"))
-        .otherwise(F.col("l_extendedprice")),
-        "pickup_datetime": F.when(~_every("l_orderkey", 401), F.col("o_orderdate")),
-        "dropoff_datetime": F.when(_every("l_orderkey", 503), F.lit(None))
-        .when(_every("l_orderkey", 20), F.col("l_shipdate"))
-        .otherwise(F.greatest("l_shipdate", "o_orderdate")),
-        "fleet_override": F.when(_every("l_partkey", 997), "pink"),
-    }
+# The canonical record in terms of the joined order tables.
+TRIP_VALUES = {
+    "trip_id": "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber)",
+    "vendor_id": "CASE WHEN l_partkey % 211 <> 0 THEN CAST(l_linenumber AS BIGINT) END",
+    "passenger_count": "CASE WHEN l_suppkey % 10 <> 0 THEN CAST(l_quantity % 8 AS DOUBLE) END",
+    "total_amount": (
+        "CASE WHEN l_partkey % 307 = 0 THEN NULL"
+        " WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END"
+    ),
+    "pickup_datetime": "CASE WHEN l_orderkey % 401 <> 0 THEN o_orderdate END",
+    "dropoff_datetime": (
+        "CASE WHEN l_orderkey % 503 = 0 THEN NULL WHEN l_orderkey % 20 = 0 THEN l_shipdate"
+        " ELSE greatest(l_shipdate, o_orderdate) END"
+    ),
+    "fleet_override": "CASE WHEN l_partkey % 997 = 0 THEN 'pink' END",
+}
 
 
 def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,9 +102,7 @@ def raw_feed(spark: SparkSession, sf_dir: str, feed: FeedSpec) -> DataFrame:
     """One feed under its own column names."""
     rows = joined(spark, sf_dir).where(F.col("l_linestatus") == STATUS[feed.label])
     names = {**feed.columns, "trip_id": "trip_id", "fleet_override": "fleet_override"}
-    return rows.select(
-        *[value.alias(names[canonical]) for canonical, value in trip_values().items()]
-    )
+    return rows.selectExpr(*[f"{sql} AS {names[name]}" for name, sql in TRIP_VALUES.items()])
 
 
 def raw_feeds(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, FeedSpec]]:
@@ -121,28 +115,25 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     Equal to the union of the two feeds; there both feeds are slices of one table, so
     the label is taken from the slice's own column.
     """
-    values = trip_values()
-    label = F.lit(None)
-    for name, status in STATUS.items():
-        label = F.when(F.col("l_linestatus") == status, name).otherwise(label)
-    columns = {k: v for k, v in values.items() if k != "fleet_override"}
-    columns["taxi_type"] = F.coalesce(values["fleet_override"], label)
-    columns["year_month"] = F.date_format(values["pickup_datetime"], "yyyy-MM")
-    return (
-        joined(spark, sf_dir)
-        .where(F.col("l_linestatus").isin(*STATUS.values()))
-        .select(*[value.alias(name) for name, value in columns.items()])
+    rows = joined(spark, sf_dir).where(F.col("l_linestatus").isin(*STATUS.values()))
+    label = "CASE l_linestatus " + " ".join(
+        f"WHEN '{status}' THEN '{name}'" for name, status in STATUS.items()
+    )
+    named = rows.selectExpr(
+        *[f"{sql} AS {name}" for name, sql in TRIP_VALUES.items()], f"{label} END AS label"
+    )
+    return named.selectExpr(
+        *[name for name in TRIP_VALUES if name != "fleet_override"],
+        "coalesce(fleet_override, label) AS taxi_type",
+        "date_format(pickup_datetime, 'yyyy-MM') AS year_month",
     )
 
 
 def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as rides with a time of day: order dates are all midnight."""
-    at = F.col("ts")
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("ride_id"),
-        at.alias("pickup_datetime"),
-        F.when(~_every("event_id", 9), (F.col("event_id") % 8).cast("double")).alias(
-            "passenger_count"
-        ),
-        F.date_format(at, "yyyy-MM").alias("year_month"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS ride_id",
+        "ts AS pickup_datetime",
+        "CASE WHEN event_id % 9 <> 0 THEN CAST(event_id % 8 AS DOUBLE) END AS passenger_count",
+        "date_format(ts, 'yyyy-MM') AS year_month",
     )

@@ -149,7 +149,7 @@ def monthly_kpi(
         clean(spark, sf_dir, spec),
         "total_amount",
         run,
-        only=F.col("taxi_type") == spec.monthly_category,
+        only=f"taxi_type = '{spec.monthly_category}'",
         computed_at=at,
     )
 
@@ -161,7 +161,7 @@ def hourly_kpi(
         b.rides(spark, sf_dir),
         "passenger_count",
         run,
-        only=F.col("year_month") == b.HOURLY_PERIOD,
+        only=f"year_month = '{b.HOURLY_PERIOD}'",
         computed_at=at,
     )
 
@@ -180,18 +180,15 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     surcharge; later parts hold the surcharge as text.
     """
     root = tables.shared_dir(spark)
-    year = F.date_format("o_orderdate", "yyyy")
-    values = b.trip_values()
-    status = {s: name for name, s in b.STATUS.items()}
-    label = F.when(F.col("l_linestatus") == "F", status["F"]).otherwise(status["O"])
-    rows = b.joined(spark, sf_dir).select(
-        label.alias("feed"),
-        year.alias("period"),
-        values["trip_id"].alias("trip_id"),
-        values["vendor_id"].alias("VendorID"),
-        values["passenger_count"].alias("passenger_count"),
-        values["total_amount"].alias("total_amount"),
-        F.col("l_tax").cast("string").alias("congestion_surcharge"),
+    status = " ".join(f"WHEN '{code}' THEN '{name}'" for name, code in b.STATUS.items())
+    rows = b.joined(spark, sf_dir).selectExpr(
+        f"CASE l_linestatus {status} END AS feed",
+        "date_format(o_orderdate, 'yyyy') AS period",
+        f"{b.TRIP_VALUES['trip_id']} AS trip_id",
+        f"{b.TRIP_VALUES['vendor_id']} AS VendorID",
+        f"{b.TRIP_VALUES['passenger_count']} AS passenger_count",
+        f"{b.TRIP_VALUES['total_amount']} AS total_amount",
+        "CAST(l_tax AS STRING) AS congestion_surcharge",
     )
     early = rows.where(F.col("period") < DRIFT_YEAR).drop("congestion_surcharge")
     early = feeds.align_types(early, {"VendorID": "double", "passenger_count": "bigint"})
@@ -257,9 +254,9 @@ def union_feeds(spark, sf_dir):
 @query
 def feed_counts(spark, sf_dir):
     return union(
-        df.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(feed.label).alias("feed"),
-            require_rows(F.col("n"), f"feed {feed.label} is empty").alias("row_count"),
+        df.agg(F.expr("count(1) AS n")).selectExpr(
+            f"'{feed.label}' AS feed",
+            require_rows("n", f"feed {feed.label} is empty") + " AS row_count",
         )
         for df, feed in b.raw_feeds(spark, sf_dir)
     )
@@ -306,7 +303,7 @@ def publish_all(spark, sf_dir):
     trips = spark.table(base)
     kpis = {
         taxi.KPI_MONTHLY: lambda: marts.monthly_average(
-            trips, "total_amount", b.RUN_LATEST, only=F.col("taxi_type") == "yellow"
+            trips, "total_amount", b.RUN_LATEST, only="taxi_type = 'yellow'"
         ),
         taxi.KPI_HOURLY: lambda: hourly_kpi(spark, sf_dir),
     }
@@ -618,7 +615,7 @@ def layer_counts(spark, sf_dir):
             "clean.taxi_trips_quarantine": rows.where(F.col("dq_run_id") == b.RUN_LATEST),
             "consumption.taxi_trips": accepted,
             f"consumption.{taxi.KPI_MONTHLY}": marts.monthly_average(
-                accepted, "total_amount", b.RUN_LATEST, only=F.col("taxi_type") == "yellow"
+                accepted, "total_amount", b.RUN_LATEST, only="taxi_type = 'yellow'"
             ),
             f"consumption.{taxi.KPI_HOURLY}": hourly_kpi(spark, sf_dir),
         }

@@ -1,114 +1,138 @@
-"""Column expressions: rule outcomes, trails, comparators, rates and levels."""
+"""SQL expressions shared by the operators: rule outcomes, trails, comparators, rates, levels.
+
+Rules are declared as SQL text, so what is built from them is SQL text too. One parsed
+expression also costs the driver far less than the many calls that build the same tree.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from functools import reduce
-from typing import Any
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from trustgate.plans.spec import COMPARATORS, RowRule, SpecError
 
 
-def passes(rule: RowRule) -> Column:
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(value: str | bool | int | float) -> str:
+    match value:
+        case bool():
+            return "true" if value else "false"
+        case int():
+            return str(value)
+        case float():
+            return f"CAST({value!r} AS DOUBLE)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def null(kind: str) -> str:
+    return f"CAST(NULL AS {kind})"
+
+
+def instant(at: str | None) -> str:
+    """The given instant, or the time of the query."""
+    return "current_timestamp()" if at is None else f"CAST({literal(at)} AS TIMESTAMP)"
+
+
+def passes(rule: RowRule) -> str:
     """True or false, never NULL: an unknown outcome does not pass."""
-    return F.coalesce(F.expr(rule.expression), F.lit(False))
+    return f"coalesce(({rule.expression}), false)"
 
 
-def fails(rule: RowRule) -> Column:
-    return ~passes(rule)
+def fails(rule: RowRule) -> str:
+    return f"NOT {passes(rule)}"
 
 
-def passes_all(rules: Sequence[RowRule]) -> Column:
-    return reduce(lambda left, right: left & right, [passes(r) for r in rules])
+def passes_all(rules: Sequence[RowRule]) -> str:
+    return "(" + " AND ".join(passes(r) for r in rules) + ")"
 
 
-def failed_names(rules: Sequence[RowRule]) -> Column:
-    """Names of the failing rules in declaration order, as an array."""
-    return F.array_compact(F.array(*[F.when(fails(r), F.lit(r.name)) for r in rules]))
+def _per_failure(rules: Sequence[RowRule], values: Iterable[str]) -> str:
+    return ", ".join(
+        f"CASE WHEN {fails(r)} THEN {literal(v)} END" for r, v in zip(rules, values)
+    )
 
 
-def trail(rules: Sequence[RowRule]) -> Column:
-    """The same names as one comma-separated string; ``concat_ws`` skips the NULLs."""
-    return F.concat_ws(",", *[F.when(fails(r), F.lit(r.name)) for r in rules])
+def trail(rules: Sequence[RowRule]) -> str:
+    """Names of the failing rules in declaration order, comma-separated."""
+    return f"concat_ws(',', {_per_failure(rules, [r.name for r in rules])})"
 
 
-def dominant_dimension(rules: Sequence[RowRule]) -> Column:
+def dominant_dimension(rules: Sequence[RowRule]) -> str:
     """Dimension of the first failing rule in declaration order."""
-    return F.coalesce(*[F.when(fails(r), F.lit(r.dimension)) for r in rules])
-
-
-def compare(measured: Column, threshold: float, comparator: str) -> Column:
-    limit = F.lit(float(threshold))
-    match COMPARATORS.get(comparator):
-        case "gte":
-            return measured >= limit
-        case "lte":
-            return measured <= limit
-        case "eq":
-            return measured == limit
-        case "gt":
-            return measured > limit
-        case "lt":
-            return measured < limit
-    raise SpecError(f"unknown comparator {comparator!r}")
-
-
-def ratio(part: Column, whole: Column, empty: float = 0.0) -> Column:
-    """``part / whole`` as a double, ``empty`` when there is nothing to divide by."""
-    return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(empty))
+    return f"coalesce({_per_failure(rules, [r.dimension for r in rules])})"
 
 
-def share_pct(part: Column, whole: Column, digits: int) -> Column:
-    """Rounded percentage, NULL when the whole is zero."""
-    return F.round(F.lit(100.0) * part / F.nullif(whole, F.lit(0)), digits)
+# The sign of each comparator.
+SIGNS = {"gte": ">=", "lte": "<=", "eq": "=", "gt": ">", "lt": "<"}
 
 
-def require_rows(count: Column, message: str) -> Column:
-    """The count itself; zero fails the job."""
-    return F.when(count == 0, F.raise_error(F.lit(message)).cast("bigint")).otherwise(count)
+def compare(measured: str, threshold: float, comparator: str) -> str:
+    if comparator not in COMPARATORS:
+        raise SpecError(f"unknown comparator {comparator!r}")
+    return f"({measured} {SIGNS[COMPARATORS[comparator]]} {literal(float(threshold))})"
 
 
-def rate_level(rate: Column) -> Column:
-    return F.when(rate >= 0.95, "ok").when(rate >= 0.80, "warn").otherwise("bad")
+def ratio(part: str, whole: str, empty: float = 0.0) -> str:
+    """``part / whole`` as a double, ``empty`` when there is nothing to divide by."""
+    quotient = f"try_divide(CAST({part} AS DOUBLE), CAST({whole} AS DOUBLE))"
+    return f"coalesce({quotient}, {literal(empty)})"
 
 
-def gap_level(null_rate: Column) -> Column:
-    return F.when(null_rate < 0.05, "ok").when(null_rate < 0.4, "warn").otherwise("bad")
+def share_pct(part: str, whole: str, digits: int) -> str:
+    """Rounded percentage, NULL when the whole is zero."""
+    share = f"try_divide(CAST(100 AS DOUBLE) * {part}, CAST({whole} AS DOUBLE))"
+    return f"round({share}, {digits})"
 
 
-# Age buckets of quarantined rows, first day of each, youngest first.
-AGE_BUCKETS = (("today", 0), ("1-3 days", 1), ("4-7 days", 4), ("8+ days", 8))
+def require_rows(count: str, message: str) -> str:
+    """The count itself; zero fails the job."""
+    return (
+        f"CASE WHEN {count} = 0 THEN CAST(raise_error({literal(message)}) AS BIGINT)"
+        f" ELSE {count} END"
+    )
 
 
-def age_bucket(days: Column) -> Column:
-    """Label of the bucket ``days`` falls in; ages before the first day count as the oldest."""
-    (first, start), *rest = AGE_BUCKETS
-    label = F.when(days == start, F.lit(first))
-    for (name, low), (_, high) in zip(rest, rest[1:]):
-        label = label.when((days >= low) & (days < high), F.lit(name))
-    return label.otherwise(F.lit(rest[-1][0]))
+def rate_level(rate: str) -> str:
+    return f"CASE WHEN {rate} >= 0.95D THEN 'ok' WHEN {rate} >= 0.80D THEN 'warn' ELSE 'bad' END"
 
 
-def bucket_rank(label: Column) -> Column:
-    names = F.array(*[F.lit(name) for name, _ in AGE_BUCKETS])
-    return F.array_position(names, label).cast("int")
+def gap_level(null_rate: str) -> str:
+    return (
+        f"CASE WHEN {null_rate} < 0.05D THEN 'ok' WHEN {null_rate} < 0.4D THEN 'warn'"
+        " ELSE 'bad' END"
+    )
+
+
+# Age buckets of quarantined rows with their first and last day, youngest first.
+# Whatever fits none of them falls into the last.
+AGE_BUCKETS = (("today", 0, 0), ("1-3 days", 1, 3), ("4-7 days", 4, 7))
+OLDEST_BUCKET = "8+ days"
 
 
-def record(**values: Any) -> Column:
-    """A struct column; plain Python values become literals."""
-    return F.struct(
-        *[(v if isinstance(v, Column) else F.lit(v)).alias(name) for name, v in values.items()]
+def age_bucket(days: str) -> str:
+    cases = " ".join(
+        f"WHEN {days} BETWEEN {first} AND {last} THEN {literal(name)}"
+        for name, first, last in AGE_BUCKETS
     )
+    return f"CASE {cases} ELSE {literal(OLDEST_BUCKET)} END"
 
 
-def as_rows(df: DataFrame, records: Iterable[Column]) -> DataFrame:
-    """One output row per record for every input row: a wide summary turned long."""
-    return df.select(F.inline(F.array(*records)))
+def bucket_rank(label: str) -> str:
+    names = ", ".join(literal(name) for name in [*[b[0] for b in AGE_BUCKETS], OLDEST_BUCKET])
+    return f"CAST(array_position(array({names}), {label}) AS INT)"
 
 
-def stamp(at: str | None) -> Column:
-    """The given instant, or the time of the query."""
-    return F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+def as_rows(df: DataFrame, records: Iterable[Mapping[str, str]]) -> DataFrame:
+    """One output row per record for every input row: a wide summary turned long.
+
+    A record maps column names to SQL expressions; all records have the same columns.
+    """
+    structs = [
+        "struct(" + ", ".join(f"{sql} AS {quoted(name)}" for name, sql in r.items()) + ")"
+        for r in records
+    ]
+    return df.selectExpr(f"inline(array({', '.join(structs)}))")

@@ -12,23 +12,18 @@ from trustgate.functions.expressions import (
     as_rows,
     dominant_dimension,
     fails,
+    instant,
+    literal,
+    null,
     passes_all,
+    quoted,
     ratio,
-    record,
     require_rows,
-    stamp,
     trail,
 )
 from trustgate.plans.spec import FailedRowsCheck, RowRule, SpecError
 
 ENGINE = "trustgate"
-TRAIL_COLUMNS = (
-    "dq_failed_rules",
-    "dq_dominant_dimension",
-    "dq_run_id",
-    "dq_engine",
-    "dq_quarantined_at",
-)
 
 
 class Split(NamedTuple):
@@ -43,14 +38,14 @@ def hard_rules(rules: Sequence[RowRule]) -> list[RowRule]:
     return hard
 
 
-def accepted(rules: Sequence[RowRule]) -> Column:
+def accepted(rules: Sequence[RowRule]) -> str:
     """True for rows that pass every hard rule, false otherwise."""
     return passes_all(hard_rules(rules))
 
 
 def flag_rules(df: DataFrame, rules: Sequence[RowRule], prefix: str = "fail_") -> DataFrame:
     """One boolean column per rule; true means the rule failed or could not be decided."""
-    return df.select("*", *[fails(r).alias(prefix + r.name) for r in rules])
+    return df.selectExpr("*", *[f"{fails(r)} AS {quoted(prefix + r.name)}" for r in rules])
 
 
 def clean_rows(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
@@ -59,31 +54,30 @@ def clean_rows(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     A filter already drops unknown outcomes, so the bare expressions are enough and
     can be pushed down to the scan.
     """
-    for rule in hard_rules(rules):
-        df = df.where(rule.expression)
-    return df
+    return df.where(" AND ".join(f"({r.expression})" for r in hard_rules(rules)))
 
 
 def trail_columns(
     rules: Sequence[RowRule], run_id: str, quarantined_at: str | None = None
-) -> dict[str, Column]:
+) -> dict[str, str]:
     hard = hard_rules(rules)
-    values = (
-        trail(hard),
-        dominant_dimension(hard),
-        F.lit(run_id),
-        F.lit(ENGINE),
-        stamp(quarantined_at),
-    )
-    return dict(zip(TRAIL_COLUMNS, values))
+    return {
+        "dq_failed_rules": trail(hard),
+        "dq_dominant_dimension": dominant_dimension(hard),
+        "dq_run_id": literal(run_id),
+        "dq_engine": literal(ENGINE),
+        "dq_quarantined_at": instant(quarantined_at),
+    }
 
 
 def quarantine_rows(
     df: DataFrame, rules: Sequence[RowRule], run_id: str, quarantined_at: str | None = None
 ) -> DataFrame:
     """Rows failing any hard rule, with every failed rule, the first one's dimension and the run."""
-    kept = df.where(~accepted(rules))
-    return kept.withColumns(trail_columns(rules, run_id, quarantined_at))
+    columns = trail_columns(rules, run_id, quarantined_at)
+    return df.where(f"NOT {accepted(rules)}").selectExpr(
+        "*", *[f"{sql} AS {name}" for name, sql in columns.items()]
+    )
 
 
 def split(
@@ -101,46 +95,51 @@ def mark(
     Written once, partitioned by ``dq_quarantined``, this one table serves clean and
     quarantine from a single pass over the input.
     """
-    rejected = ~accepted(rules)
-    marks = {
-        name: F.when(rejected, value)
-        for name, value in trail_columns(rules, run_id, quarantined_at).items()
-    }
-    return df.withColumns(marks | {"dq_quarantined": rejected})
+    columns = trail_columns(rules, run_id, quarantined_at)
+    return df.selectExpr("*", f"NOT {accepted(rules)} AS dq_quarantined").selectExpr(
+        "*", *[f"CASE WHEN dq_quarantined THEN {sql} END AS {name}" for name, sql in columns.items()]
+    )
 
 
 def violation_counts(rules: Sequence[RowRule]) -> list[Column]:
     """One aggregate per rule, named ``n_<rule>``; all are filled by the same pass."""
-    return [F.count_if(fails(r)).alias(f"n_{r.name}") for r in rules]
+    return [F.expr(f"count_if({fails(r)}) AS {violations(r)}") for r in rules]
+
+
+def violations(rule: RowRule) -> str:
+    return quoted(f"n_{rule.name}")
+
+
+def pass_rate(rule: RowRule) -> str:
+    return ratio(f"(total_rows - {violations(rule)})", "total_rows")
+
+
+def outcome(count: str, hard: bool) -> str:
+    """A rule passes on zero violations; otherwise hard rules fail and soft rules warn."""
+    return f"CASE WHEN {count} = 0 THEN 'pass' ELSE '{'fail' if hard else 'warn'}' END"
+
+
+def _counted(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
+    return df.agg(F.expr("count(1) AS total_rows"), *violation_counts(rules))
 
 
 def rule_stats(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     """Rows seen, violations and pass rate of every rule, hard and soft, from one aggregate."""
-    counts = df.agg(F.count(F.lit(1)).alias("total_rows"), *violation_counts(rules))
     return as_rows(
-        counts,
+        _counted(df, rules),
         [
-            record(
-                rule=r.name,
-                severity=r.severity,
-                total_rows=F.col("total_rows"),
-                failed_rows=F.col(f"n_{r.name}"),
-                pass_rate=pass_rate(r),
-            )
+            {
+                "rule": literal(r.name),
+                "severity": literal(r.severity),
+                "total_rows": "total_rows",
+                "failed_rows": violations(r),
+                "pass_rate": pass_rate(r),
+            }
             for r in rules
         ],
     )
 
 
-def pass_rate(rule: RowRule, total: str = "total_rows") -> Column:
-    return ratio(F.col(total) - F.col(f"n_{rule.name}"), F.col(total))
-
-
-def outcome(rule: RowRule) -> Column:
-    """A rule passes on zero violations; otherwise hard rules fail and soft rules warn."""
-    return F.when(F.col(f"n_{rule.name}") == 0, "pass").otherwise("fail" if rule.hard else "warn")
-
-
 def gate_summary(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     """One row: rows in, clean, quarantined, the rate, and each soft rule's pass rate.
 
@@ -148,71 +147,65 @@ def gate_summary(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     """
     soft = [r for r in rules if not r.hard]
     counts = df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(accepted(rules)).alias("clean_rows"),
+        F.expr("count(1) AS total_rows"),
+        F.expr(f"count_if({accepted(rules)}) AS clean_rows"),
         *violation_counts(soft),
     )
-    quarantined = F.col("total_rows") - F.col("clean_rows")
-    return counts.select(
-        require_rows(F.col("total_rows"), "empty input to the gate").alias("input_rows"),
+    quarantined = "(total_rows - clean_rows)"
+    return counts.selectExpr(
+        f"{require_rows('total_rows', 'empty input to the gate')} AS input_rows",
         "clean_rows",
-        quarantined.alias("quarantine_rows"),
-        ratio(quarantined, F.col("total_rows")).alias("quarantine_rate"),
-        *[pass_rate(r).alias(f"pass_rate_{r.name}") for r in soft],
+        f"{quarantined} AS quarantine_rows",
+        f"{ratio(quarantined, 'total_rows')} AS quarantine_rate",
+        *[f"{pass_rate(r)} AS {quoted('pass_rate_' + r.name)}" for r in soft],
     )
 
 
 def rule_outcomes(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     """Pass, fail or warn per rule, measured as its pass rate against a threshold of 1."""
-    counts = df.agg(F.count(F.lit(1)).alias("total_rows"), *violation_counts(rules))
     return as_rows(
-        counts,
+        _counted(df, rules),
         [
-            record(
-                rule=r.name,
-                dimension=r.dimension,
-                severity=r.severity,
-                outcome=outcome(r),
-                measured=pass_rate(r),
-                threshold=1.0,
-            )
+            {
+                "rule": literal(r.name),
+                "dimension": literal(r.dimension),
+                "severity": literal(r.severity),
+                "outcome": outcome(violations(r), r.hard),
+                "measured": pass_rate(r),
+                "threshold": literal(1.0),
+            }
             for r in rules
         ],
     )
 
 
-def row_rule_record(
-    rule: RowRule, run_id: str, captured_at: str | None, total: str = "total_rows"
-) -> Column:
+def row_rule_record(rule: RowRule, run_id: str, captured_at: str | None) -> dict[str, str]:
     """The validation fact of one row rule. Soft rules report a rate and never block."""
-    passed = F.lit(True) if not rule.hard else F.col(f"n_{rule.name}") == 0
-    return record(
-        run_id=run_id,
-        rule=rule.name,
-        dimension=rule.dimension,
-        scope="row",
-        severity=rule.severity,
-        passed=passed,
-        measured=pass_rate(rule, total),
-        threshold=1.0,
-        captured_at=stamp(captured_at),
-    )
+    return {
+        "run_id": literal(run_id),
+        "rule": literal(rule.name),
+        "dimension": literal(rule.dimension),
+        "scope": literal("row"),
+        "severity": literal(rule.severity),
+        "passed": f"({violations(rule)} = 0)" if rule.hard else literal(True),
+        "measured": pass_rate(rule),
+        "threshold": literal(1.0),
+        "captured_at": instant(captured_at),
+    }
 
 
 def failed_rows_scan(df: DataFrame, checks: Sequence[FailedRowsCheck]) -> DataFrame:
     """Rows matching each declared failure, all counted in one aggregate."""
-    counts = df.agg(*[F.count_if(F.expr(c.condition)).alias(c.name) for c in checks])
+    counts = df.agg(*[F.expr(f"count_if({c.condition}) AS {quoted(c.name)}") for c in checks])
     return as_rows(
         counts,
         [
-            record(
-                rule=c.name,
-                severity=c.severity,
-                failed_rows=F.col(f"`{c.name}`"),
-                outcome=F.when(F.col(f"`{c.name}`") == 0, "pass").otherwise(
-                    "fail" if c.severity == "error" else "warn"
-                ),
-            )
+            {
+                "rule": literal(c.name),
+                "severity": literal(c.severity),
+                "failed_rows": quoted(c.name),
+                "outcome": outcome(quoted(c.name), c.severity == "error"),
+            }
             for c in checks
         ],
     )
@@ -230,25 +223,25 @@ def check_agreement(
     names = list(dict.fromkeys([*by_rule, *by_check]))
     paired = [n for n in names if n in by_rule and n in by_check]
     counts = df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
+        F.expr("count(1) AS total_rows"),
         *[
-            F.count_if(
-                fails(by_rule[n])
-                != F.coalesce(F.expr(by_check[n].condition), F.lit(False))
-            ).alias(f"d_{n}")
+            F.expr(
+                f"count_if(({fails(by_rule[n])}) <> coalesce(({by_check[n].condition}), false))"
+                f" AS {quoted(n)}"
+            )
             for n in paired
         ],
     )
     return as_rows(
         counts,
         [
-            record(
-                rule=n,
-                has_rule=n in by_rule,
-                has_check=n in by_check,
-                compared_rows=F.col("total_rows"),
-                disagreeing_rows=F.col(f"d_{n}") if n in paired else F.lit(None).cast("bigint"),
-            )
+            {
+                "rule": literal(n),
+                "has_rule": literal(n in by_rule),
+                "has_check": literal(n in by_check),
+                "compared_rows": "total_rows",
+                "disagreeing_rows": quoted(n) if n in paired else null("BIGINT"),
+            }
             for n in names
         ],
     )

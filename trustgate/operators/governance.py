@@ -7,11 +7,12 @@ run ids are opaque and are compared only to break ties.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trustgate.functions.expressions import gap_level, rate_level, share_pct
+from trustgate.functions.expressions import gap_level, literal, quoted, rate_level, share_pct
 from trustgate.plans.spec import RowRule
 
 
@@ -32,24 +33,23 @@ def latest_run(facts: DataFrame) -> DataFrame:
 
 def of_run(df: DataFrame, run: DataFrame, column: str = "run_id") -> DataFrame:
     """The rows of the runs listed in ``run``, a frame of one row or a few."""
-    return df.join(
-        F.broadcast(run.select(F.col("run_id").alias("_run"))), F.col(column) == F.col("_run"), "left_semi"
-    )
+    runs = F.broadcast(run.select(F.col("run_id").alias("_run")))
+    return df.join(runs, F.col(column) == F.col("_run"), "left_semi")
+
+
+def _dimension_scores() -> list[Column]:
+    return [
+        F.expr("count(1) AS rules_evaluated"),
+        F.expr("count_if(passed) AS rules_passed"),
+        F.expr("avg(CAST(passed AS DOUBLE)) AS pass_rate"),
+        F.expr("max(measured) FILTER (WHERE rule = 'hard_quarantine_rate') AS quarantine_rate"),
+        F.expr("max(measured) FILTER (WHERE rule = 'uniqueness_rate') AS uniqueness_metric"),
+    ]
 
 
 def scorecard(validation: DataFrame) -> DataFrame:
     """Rules evaluated and passed, pass rate and key measures per run and dimension."""
-    return validation.groupBy("run_id", "dimension").agg(
-        F.count(F.lit(1)).alias("rules_evaluated"),
-        F.count_if("passed").alias("rules_passed"),
-        F.avg(F.col("passed").cast("double")).alias("pass_rate"),
-        F.max(F.when(F.col("rule") == "hard_quarantine_rate", F.col("measured"))).alias(
-            "quarantine_rate"
-        ),
-        F.max(F.when(F.col("rule") == "uniqueness_rate", F.col("measured"))).alias(
-            "uniqueness_metric"
-        ),
-    )
+    return validation.groupBy("run_id", "dimension").agg(*_dimension_scores())
 
 
 def profile_latest(profiles: DataFrame) -> DataFrame:
@@ -80,10 +80,11 @@ SEVERITY_EFFECT = {"error": "moves rows to quarantine", "warning": "scores only"
 
 def rule_detail(validation: DataFrame, run: DataFrame) -> DataFrame:
     """All rules of a run with the effect of their severity, error severity first."""
-    effect = F.lit(None)
-    for severity, label in SEVERITY_EFFECT.items():
-        effect = F.when(F.col("severity") == severity, label).otherwise(effect)
-    rows = of_run(validation, run).select(
+    cases = " ".join(
+        f"WHEN {literal(severity)} THEN {literal(label)}"
+        for severity, label in SEVERITY_EFFECT.items()
+    )
+    rows = of_run(validation, run).selectExpr(
         "rule",
         "dimension",
         "severity",
@@ -91,7 +92,7 @@ def rule_detail(validation: DataFrame, run: DataFrame) -> DataFrame:
         "passed",
         "measured",
         "threshold",
-        F.coalesce(effect, F.lit("—")).alias("effect"),
+        f"CASE severity {cases} ELSE '—' END AS effect",
     )
     return error_first(rows, "dimension", "rule")
 
@@ -102,65 +103,52 @@ def reliability(validation: DataFrame, cap: float) -> DataFrame:
     A run above the quarantine cap is bad whatever its rates. It is trusted when the mean
     reaches 0.95, the cap holds and no rule of error severity failed.
     """
-    failed = ~F.col("passed")
-    hard, soft = F.col("severity") == "error", F.col("severity") == "warning"
     dimensions = validation.groupBy("run_id", "dimension").agg(
-        F.count(F.lit(1)).alias("rules"),
-        F.count_if("passed").alias("passed_rules"),
-        F.avg(F.col("passed").cast("double")).alias("pass_rate"),
-        F.max(F.when(F.col("rule") == "hard_quarantine_rate", F.col("measured"))).alias("q"),
-        F.max(F.when(F.col("rule") == "uniqueness_rate", F.col("measured"))).alias("u"),
-        F.count_if(hard & failed).alias("hard"),
-        F.count_if(soft & failed).alias("soft"),
-        F.count_if(hard & failed & (F.col("scope") == "row")).alias("hard_row"),
+        *_dimension_scores(),
+        F.expr("count_if(severity = 'error' AND NOT passed) AS hard"),
+        F.expr("count_if(severity = 'warning' AND NOT passed) AS soft"),
+        F.expr("count_if(severity = 'error' AND NOT passed AND scope = 'row') AS hard_row"),
     )
     runs = dimensions.groupBy("run_id").agg(
-        F.avg("pass_rate").alias("mean_pass_rate"),
-        F.coalesce(F.max("q"), F.lit(0.0)).alias("quarantine_rate"),
-        F.max("u").alias("duplicate_rate"),
-        F.sum("rules").alias("rules_evaluated"),
-        F.sum("passed_rules").alias("rules_passed"),
-        F.sum("hard").alias("hard_failures"),
-        F.sum("soft").alias("soft_failures"),
-        F.sum("hard_row").alias("hard_row_failures"),
+        F.expr("avg(pass_rate) AS mean_pass_rate"),
+        F.expr("coalesce(max(quarantine_rate), 0.0D) AS quarantine_rate"),
+        F.expr("max(uniqueness_metric) AS duplicate_rate"),
+        F.expr("sum(rules_evaluated) AS rules_evaluated"),
+        F.expr("sum(rules_passed) AS rules_passed"),
+        F.expr("sum(hard) AS hard_failures"),
+        F.expr("sum(soft) AS soft_failures"),
+        F.expr("sum(hard_row) AS hard_row_failures"),
     )
-    within = F.col("quarantine_rate") <= cap
-    mean = F.col("mean_pass_rate")
-    return runs.select(
+    return runs.selectExpr("*", f"quarantine_rate <= {literal(cap)} AS within_cap").selectExpr(
         "*",
-        within.alias("within_cap"),
-        F.when(within, rate_level(mean)).otherwise("bad").alias("level"),
-        ((mean >= 0.95) & within & (F.col("hard_failures") == 0)).alias("trusted"),
+        f"CASE WHEN within_cap THEN {rate_level('mean_pass_rate')} ELSE 'bad' END AS level",
+        "mean_pass_rate >= 0.95D AND within_cap AND hard_failures = 0 AS trusted",
     )
 
 
 def layer_counts(counted: Mapping[str, DataFrame]) -> DataFrame:
     """Row count of every named table, one row each, as one union."""
-    parts = [
-        df.agg(F.lit(name).alias("object"), F.count(F.lit(1)).alias("row_count"))
-        for name, df in counted.items()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.agg(F.expr("count(1) AS row_count")).selectExpr(
+                f"{literal(name)} AS object", "row_count"
+            )
+            for name, df in counted.items()
+        ],
+    )
 
 
 def quarantine_share(clean: DataFrame, quarantine: DataFrame) -> DataFrame:
     """Rows on both sides and the quarantined percentage; NULL when both are empty."""
-    sides = clean.agg(
-        F.count(F.lit(1)).alias("c"), F.lit(0).cast("bigint").alias("q")
-    ).unionByName(
-        quarantine.agg(F.lit(0).cast("bigint").alias("c"), F.count(F.lit(1)).alias("q"))
+    sides = clean.agg(F.expr("count(1) AS c"), F.expr("0L AS q")).unionByName(
+        quarantine.agg(F.expr("0L AS c"), F.expr("count(1) AS q"))
     )
-    return sides.agg(
-        F.sum("c").alias("consumption_rows"), F.sum("q").alias("quarantine_rows")
-    ).withColumn(
-        "quarantine_pct",
-        share_pct(
-            F.col("quarantine_rows"), F.col("consumption_rows") + F.col("quarantine_rows"), 4
-        ),
+    totals = sides.agg(
+        F.expr("sum(c) AS consumption_rows"), F.expr("sum(q) AS quarantine_rows")
     )
+    share = share_pct("quarantine_rows", "(consumption_rows + quarantine_rows)", 4)
+    return totals.selectExpr("*", f"{share} AS quarantine_pct")
 
 
 def kpi_of_run(kpi: DataFrame, run: DataFrame, value: str, digits: int, order: str) -> DataFrame:
@@ -170,16 +158,17 @@ def kpi_of_run(kpi: DataFrame, run: DataFrame, value: str, digits: int, order: s
 
 def kpi_null_share(kpi: DataFrame, run: DataFrame, value: str) -> DataFrame:
     """Hourly KPI of a run with the percentage of rows the average ignored."""
-    null_pct = share_pct(F.col(f"null_{value}"), F.col("trip_count"), 2)
-    return kpi_of_run(kpi.withColumn("null_pct", null_pct), run, f"avg_{value}", 4, "pickup_hour")
+    share = share_pct(quoted(f"null_{value}"), "trip_count", 2)
+    with_share = kpi.selectExpr("*", f"{share} AS null_pct")
+    return kpi_of_run(with_share, run, f"avg_{value}", 4, "pickup_hour")
 
 
 def fitness_rollup(fitness: DataFrame) -> DataFrame:
     """Per run: approved checks, all checks and use cases covered."""
     return fitness.groupBy("run_id").agg(
-        F.count_if("passed").alias("approved"),
-        F.count(F.lit(1)).alias("total"),
-        F.count_distinct("use_case").alias("use_cases"),
+        F.expr("count_if(passed) AS approved"),
+        F.expr("count(1) AS total"),
+        F.expr("count(DISTINCT use_case) AS use_cases"),
     )
 
 
@@ -210,19 +199,19 @@ def preferred_layer(profiles: DataFrame, layer: str = "clean") -> DataFrame:
 
 def layer_rows(profiles: DataFrame) -> DataFrame:
     """Row count per layer as profiled."""
-    return profiles.where("column_name = '*' AND metric = 'row_count'").select(
-        "run_id", "layer", "table_name", F.col("metric_value").cast("bigint").alias("row_count")
+    return profiles.where("column_name = '*' AND metric = 'row_count'").selectExpr(
+        "run_id", "layer", "table_name", "CAST(metric_value AS BIGINT) AS row_count"
     )
 
 
 def worst_gaps(profiles: DataFrame, k: int = 5) -> DataFrame:
     """The k highest null rates with a level; ties by layer and column."""
-    gaps = profiles.where("metric = 'null_rate'").select(
+    gaps = profiles.where("metric = 'null_rate'").selectExpr(
         "layer",
         "table_name",
         "column_name",
-        F.col("metric_value").alias("null_rate"),
-        gap_level(F.col("metric_value")).alias("level"),
+        "metric_value AS null_rate",
+        f"{gap_level('metric_value')} AS level",
     )
     return gaps.orderBy(F.desc("null_rate"), "layer", "column_name").limit(k)
 

@@ -6,26 +6,25 @@ from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from trustgate.functions.expressions import literal, quoted
 from trustgate.plans.spec import FeedSpec, ProductSpec
 
 
 def to_canonical(df: DataFrame, feed: FeedSpec, spec: ProductSpec) -> DataFrame:
     """Rename one feed's columns, add its label and derive the period from the event time."""
-    label = F.lit(feed.label)
+    label = literal(feed.label)
     if feed.label_override:
-        label = F.coalesce(F.col(feed.label_override), label)
-    columns = {name: F.col(source) for name, source in feed.columns.items()}
-    columns |= {name: F.col(name) for name in feed.carry if name in df.columns}
+        label = f"coalesce({quoted(feed.label_override)}, {label})"
+    columns = {name: quoted(source) for name, source in feed.columns.items()}
+    columns |= {name: quoted(name) for name in feed.carry if name in df.columns}
     columns[spec.category] = label
-    columns[spec.period] = F.date_format(columns[spec.event_time], spec.period_format)
-    return df.select(*[column.alias(name) for name, column in columns.items()])
+    columns[spec.period] = f"date_format({columns[spec.event_time]}, {literal(spec.period_format)})"
+    return df.selectExpr(*[f"{sql} AS {quoted(name)}" for name, sql in columns.items()])
 
 
 def canonical(feeds: Iterable[tuple[DataFrame, FeedSpec]], spec: ProductSpec) -> DataFrame:
     """Bag union of all feeds in canonical form; nothing is deduplicated."""
     return reduce(
-        lambda left, right: left.unionByName(right),
-        [to_canonical(df, feed, spec) for df, feed in feeds],
+        DataFrame.unionByName, [to_canonical(df, feed, spec) for df, feed in feeds]
     )

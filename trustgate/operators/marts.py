@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustgate.functions.expressions import stamp
+from trustgate.functions.expressions import instant, literal, quoted
 
 
 def consumption(clean: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -20,21 +20,30 @@ def renamed_interface(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
 
 
+def _stamps(run_id: str, computed_at: str | None) -> list:
+    return [
+        F.expr(f"{literal(run_id)} AS run_id"),
+        F.expr(f"{instant(computed_at)} AS computed_at"),
+    ]
+
+
 def monthly_average(
     df: DataFrame,
     value: str,
     run_id: str,
     period: str = "year_month",
-    only: Column | None = None,
+    only: str = "true",
     computed_at: str | None = None,
 ) -> DataFrame:
     """Average and row count per period. Every row that cleared the gate counts, negatives too."""
-    rows = df if only is None else df.where(only)
-    return rows.groupBy(period).agg(
-        F.avg(value).alias(f"avg_{value}"),
-        F.count(F.lit(1)).alias("trip_count"),
-        F.lit(run_id).alias("run_id"),
-        stamp(computed_at).alias("computed_at"),
+    return (
+        df.where(only)
+        .groupBy(period)
+        .agg(
+            F.avg(value).alias(f"avg_{value}"),
+            F.expr("count(1) AS trip_count"),
+            *_stamps(run_id, computed_at),
+        )
     )
 
 
@@ -43,17 +52,19 @@ def hourly_average(
     value: str,
     run_id: str,
     event_time: str = "pickup_datetime",
-    only: Column | None = None,
+    only: str = "true",
     computed_at: str | None = None,
 ) -> DataFrame:
     """Average by hour of day, with the rows the average had to ignore."""
-    rows = df if only is None else df.where(only)
-    return rows.groupBy(F.hour(event_time).alias("pickup_hour")).agg(
-        F.avg(value).alias(f"avg_{value}"),
-        F.count(F.lit(1)).alias("trip_count"),
-        F.count_if(F.col(value).isNull()).alias(f"null_{value}"),
-        F.lit(run_id).alias("run_id"),
-        stamp(computed_at).alias("computed_at"),
+    return (
+        df.where(only)
+        .groupBy(F.hour(event_time).alias("pickup_hour"))
+        .agg(
+            F.avg(value).alias(f"avg_{value}"),
+            F.expr("count(1) AS trip_count"),
+            F.expr(f"count_if({quoted(value)} IS NULL) AS {quoted('null_' + value)}"),
+            *_stamps(run_id, computed_at),
+        )
     )
 
 
@@ -61,16 +72,14 @@ def completeness(
     kpi: DataFrame, name: str, exactly: int | None = None, at_least: int | None = None
 ) -> DataFrame:
     """Row count of a KPI table against the count its question needs."""
-    rows = F.count(F.lit(1))
-    if exactly is not None:
-        passed, needed = rows == exactly, exactly
-    else:
-        passed, needed = rows >= (at_least or 0), at_least or 0
-    return kpi.agg(
-        F.lit(name).alias("kpi"),
-        rows.alias("row_count"),
-        F.lit(needed).cast("bigint").alias("needed"),
-        passed.alias("passed"),
+    if (exactly is None) == (at_least is None):
+        raise ValueError("give either the exact or the least number of rows")
+    needed, sign = (exactly, "=") if at_least is None else (at_least, ">=")
+    return kpi.agg(F.expr("count(1) AS row_count")).selectExpr(
+        f"{literal(name)} AS kpi",
+        "row_count",
+        f"{needed}L AS needed",
+        f"row_count {sign} {needed} AS passed",
     )
 
 
@@ -79,19 +88,16 @@ def extremes(kpi: DataFrame, value: str, key: str) -> DataFrame:
 
     Equal values go to the smaller key.
     """
-
-    def first_by(ordering: Column) -> Column:
-        return F.min(F.struct(ordering, F.col(key).alias("key"), F.col(value).alias("value")))
-
-    found = kpi.where(F.col(value).isNotNull()).agg(
-        F.avg(value).alias("overall"),
-        first_by((-F.col(value)).alias("o")).alias("high"),
-        first_by(F.col(value).alias("o")).alias("low"),
+    v, k = quoted(value), quoted(key)
+    found = kpi.where(f"{v} IS NOT NULL").agg(
+        F.expr(f"avg({v}) AS overall"),
+        F.expr(f"min(struct(-{v} AS o, {k} AS key, {v} AS value)) AS high"),
+        F.expr(f"min(struct({v} AS value, {k} AS key)) AS low"),
     )
-    return found.select(
+    return found.selectExpr(
         "overall",
-        F.col("high.key").alias("high_key"),
-        F.col("high.value").alias("high_value"),
-        F.col("low.key").alias("low_key"),
-        F.col("low.value").alias("low_value"),
+        "high.key AS high_key",
+        "high.value AS high_value",
+        "low.key AS low_key",
+        "low.value AS low_value",
     )

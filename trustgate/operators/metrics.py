@@ -9,15 +9,23 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustgate.functions.expressions import as_rows, compare, ratio, record, stamp
-from trustgate.operators.gate import row_rule_record, violation_counts
+from trustgate.functions.expressions import (
+    as_rows,
+    compare,
+    instant,
+    literal,
+    null,
+    quoted,
+    ratio,
+)
+from trustgate.operators.gate import row_rule_record, violation_counts, violations
 from trustgate.plans.spec import (
     DECLARED_TYPES,
-    AggregateRule,
     ColumnSpec,
     FitnessRule,
     ProductSpec,
@@ -26,143 +34,159 @@ from trustgate.plans.spec import (
 
 logger = logging.getLogger(__name__)
 
-# The upper median: the middle count, the larger of the two when their number is even.
-UPPER_MEDIAN = "percentile_disc(0.5) WITHIN GROUP (ORDER BY {} DESC)"
+
+def upper_median(column: str) -> str:
+    """The middle value, the larger of the two when their number is even."""
+    return f"CAST(percentile_disc(0.5) WITHIN GROUP (ORDER BY {column} DESC) AS BIGINT)"
+
+
+def struct_of(columns: Sequence[str]) -> str:
+    """Several columns as one value, in which NULLs are equal to each other."""
+    return f"struct({', '.join(quoted(c) for c in columns)})"
 
 
 def measure(
-    df: DataFrame,
-    spec: ProductSpec,
-    accepted: Column,
-    rules: Sequence[RowRule] = (),
+    df: DataFrame, spec: ProductSpec, accepted: str, rules: Sequence[RowRule] = ()
 ) -> DataFrame:
     """One row with the counts every aggregate rule needs, and violations of ``rules``.
 
-    Rows are counted per period first. Distinct keys ride along as a distinct count of the
-    key as one struct, in which NULLs are equal; Spark groups by key before it shuffles,
-    so a key held by a third of all rows leaves each task as one row. Rejected rows share
-    one NULL key and cost nothing.
+    ``accepted`` tells clean rows from quarantined ones. Rows are counted per period first.
+    Distinct keys ride along as a distinct count of the key as one struct; Spark groups by
+    key before it shuffles, so a key held by a third of all rows leaves each task as one
+    row. Rejected rows share one NULL key and cost nothing.
 
     Period counts of distinct keys add up only when the key fixes the period. For other
     keys the total is counted in a second grouping set of the same pass.
     """
-    key = F.when(accepted, F.struct(*spec.business_key)) if spec.business_key else F.lit(None).cast("int")
-    flat = df.select(
+    key = struct_of(spec.business_key) if spec.business_key else null("INT")
+    flat = df.selectExpr("*", f"{accepted} AS _ok").selectExpr(
         "*",
-        accepted.alias("_ok"),
-        F.when(accepted, F.col(spec.period)).alias("_period"),
-        key.alias("_key"),
+        f"CASE WHEN _ok THEN {quoted(spec.period)} END AS _period",
+        f"CASE WHEN _ok THEN {key} END AS _key",
     )
     counts = [
-        F.count(F.lit(1)).alias("n"),
-        F.count_distinct("_key").alias("keys"),
+        F.expr("count(1) AS n"),
+        F.expr("count(DISTINCT _key) AS keys"),
         *violation_counts(rules),
     ]
     if spec.key_fixes_period or not spec.business_key:
-        periods = flat.groupBy("_ok", "_period").agg(*counts).withColumn("_all", F.lit(False))
-        distinct_keys = F.sum("keys")
+        periods = flat.groupBy("_ok", "_period").agg(*counts)
+        periods = periods.withColumn("_total", F.lit(False))
+        distinct_keys = "sum(keys)"
     else:
-        periods = flat.groupingSets(
-            [["_ok", "_period"], []],
-            "_ok",
-            "_period",
-        ).agg(*counts, (F.grouping("_ok") == 1).alias("_all"))
-        distinct_keys = F.max(F.when(F.col("_all"), F.col("keys")))
-    per_period = ~F.col("_all")
-    clean = per_period & F.col("_ok")
-    n, clean_n = F.when(per_period, F.col("n")), F.when(clean, F.col("n"))
-    return periods.withColumn("_clean_n", clean_n).agg(
-        F.coalesce(F.sum(n), F.lit(0)).alias("total_rows"),
-        F.coalesce(F.sum("_clean_n"), F.lit(0)).alias("clean_rows"),
-        F.count("_clean_n").alias("periods"),
-        F.coalesce(distinct_keys, F.lit(0)).alias("distinct_keys"),
-        F.min("_clean_n").alias("smallest_period"),
-        F.expr(UPPER_MEDIAN.format("_clean_n")).cast("bigint").alias("median_period"),
-        *[
-            F.coalesce(F.sum(F.when(per_period, F.col(f"n_{r.name}"))), F.lit(0)).alias(
-                f"n_{r.name}"
-            )
-            for r in rules
-        ],
+        sets = [[F.col("_ok"), F.col("_period")], []]
+        periods = flat.groupingSets(sets, "_ok", "_period").agg(
+            *counts, F.expr("grouping(_ok) = 1 AS _total")
+        )
+        distinct_keys = "max(CASE WHEN _total THEN keys END)"
+    sums = {
+        "total_rows": "sum(n) FILTER (WHERE NOT _total)",
+        "clean_rows": "sum(_clean_n)",
+        "distinct_keys": distinct_keys,
+        **{violations(r): f"sum({violations(r)}) FILTER (WHERE NOT _total)" for r in rules},
+    }
+    return periods.selectExpr("*", "CASE WHEN _ok AND NOT _total THEN n END AS _clean_n").agg(
+        *[F.expr(f"coalesce({total}, 0) AS {name}") for name, total in sums.items()],
+        F.expr("count(_clean_n) AS periods"),
+        F.expr("min(_clean_n) AS smallest_period"),
+        F.expr(f"{upper_median('_clean_n')} AS median_period"),
     )
 
 
-def aggregate_metrics(spec: ProductSpec) -> dict[str, Column]:
+def aggregate_metrics(spec: ProductSpec) -> dict[str, str]:
     """The metrics an aggregate rule can name, over the row ``measure`` yields."""
-    clean, total = F.col("clean_rows"), F.col("total_rows")
-    duplicates = F.when(
-        clean > 0, F.lit(1.0) - ratio(F.col("distinct_keys"), clean)
-    ).otherwise(0.0)
+    unique = ratio("distinct_keys", "clean_rows", 1.0)
+    return {
+        "distinct_year_month": "CAST(periods AS DOUBLE)",
+        "quarantine_rate": ratio("(total_rows - clean_rows)", "total_rows"),
+        "duplicate_rate": f"(1.0D - {unique})" if spec.business_key else literal(0.0),
+        "volume_anomaly_ratio": ratio("smallest_period", "median_period", 1.0),
+    }
+
+
+def _fact(
+    run_id: str,
+    captured_at: str | None,
+    rule: str,
+    dimension: str,
+    scope: str,
+    severity: str,
+    passed: str,
+    measured: str,
+    threshold: float | None,
+) -> dict[str, str]:
     return {
-        "distinct_year_month": F.col("periods").cast("double"),
-        "quarantine_rate": ratio(total - clean, total),
-        "duplicate_rate": duplicates if spec.business_key else F.lit(0.0),
-        "volume_anomaly_ratio": ratio(F.col("smallest_period"), F.col("median_period"), 1.0),
+        "run_id": literal(run_id),
+        "rule": literal(rule),
+        "dimension": literal(dimension),
+        "scope": literal(scope),
+        "severity": literal(severity),
+        "passed": passed,
+        "measured": measured,
+        "threshold": null("DOUBLE") if threshold is None else literal(float(threshold)),
+        "captured_at": instant(captured_at),
     }
 
 
-def aggregate_records(spec: ProductSpec, run_id: str, captured_at: str | None) -> list[Column]:
+def aggregate_records(
+    spec: ProductSpec, run_id: str, captured_at: str | None
+) -> list[dict[str, str]]:
     """One fact per aggregate rule, then the quarantine rate as information.
 
     A rule naming an unknown metric is skipped with a warning.
     """
     metrics = aggregate_metrics(spec)
-    common = {"run_id": run_id, "scope": "aggregate", "captured_at": stamp(captured_at)}
     facts = []
     for rule in spec.aggregate_rules:
-        if rule.metric not in metrics:
+        measured = metrics.get(rule.metric)
+        if measured is None:
             logger.warning("rule %s names unknown metric %s", rule.name, rule.metric)
             continue
-        measured = metrics[rule.metric]
-        facts.append(_aggregate_record(rule, measured, common))
+        facts.append(
+            _fact(
+                run_id,
+                captured_at,
+                rule.name,
+                rule.dimension,
+                "aggregate",
+                rule.severity,
+                compare(measured, rule.threshold, rule.comparator),
+                measured,
+                rule.threshold,
+            )
+        )
     facts.append(
         _fact(
-            common,
-            rule="hard_quarantine_rate",
-            dimension="accuracy",
-            severity="warning",
-            passed=True,
-            measured=metrics["quarantine_rate"],
-            threshold=F.lit(None).cast("double"),
+            run_id,
+            captured_at,
+            "hard_quarantine_rate",
+            "accuracy",
+            "aggregate",
+            "warning",
+            literal(True),
+            metrics["quarantine_rate"],
+            None,
         )
     )
     return facts
 
 
-def _aggregate_record(rule: AggregateRule, measured: Column, common: Mapping) -> Column:
-    return _fact(
-        common,
-        rule=rule.name,
-        dimension=rule.dimension,
-        severity=rule.severity,
-        passed=compare(measured, rule.threshold, rule.comparator),
-        measured=measured,
-        threshold=float(rule.threshold),
-    )
-
-
-def _fact(common: Mapping, **values) -> Column:
-    values = {**common, **values}
-    order = ("run_id", "rule", "dimension", "scope", "severity", "passed", "measured", "threshold",
-             "captured_at")
-    return record(**{name: values[name] for name in order})
-
-
 def soft_rate_records(
-    rates: Mapping[str, Column], spec: ProductSpec, run_id: str, captured_at: str | None
-) -> list[Column]:
+    rates: Mapping[str, str], spec: ProductSpec, run_id: str, captured_at: str | None
+) -> list[dict[str, str]]:
     """Soft rules' pass rates as passed facts without a threshold, for runs without row results."""
     dimensions = {r.name: r.dimension for r in spec.row_rules}
-    common = {"run_id": run_id, "scope": "row", "captured_at": stamp(captured_at)}
     return [
         _fact(
-            common,
-            rule=name,
-            dimension=dimensions.get(name, "validity"),
-            severity="warning",
-            passed=True,
-            measured=rate,
-            threshold=F.lit(None).cast("double"),
+            run_id,
+            captured_at,
+            name,
+            dimensions.get(name, "validity"),
+            "row",
+            "warning",
+            literal(True),
+            rate,
+            None,
         )
         for name, rate in rates.items()
     ]
@@ -173,7 +197,7 @@ def aggregate_rows(
     spec: ProductSpec,
     run_id: str,
     captured_at: str | None = None,
-    soft_rates: Mapping[str, Column] | None = None,
+    soft_rates: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Aggregate facts alone, with the soft pass rates when given."""
     return as_rows(
@@ -206,8 +230,9 @@ def merge_results(row_results: DataFrame, aggregate_results: DataFrame) -> DataF
 
     Both hold one row per rule and run.
     """
-    kept = aggregate_results.join(row_results.select("run_id", "rule"), ["run_id", "rule"], "left_anti")
-    return row_results.unionByName(kept.select(row_results.columns))
+    keys = ["run_id", "rule"]
+    kept = aggregate_results.join(row_results.select(keys), keys, "left_anti")
+    return row_results.unionByName(kept)
 
 
 def blocking(facts: DataFrame) -> DataFrame:
@@ -217,28 +242,27 @@ def blocking(facts: DataFrame) -> DataFrame:
 
 def period_coverage(clean: DataFrame, period: str) -> DataFrame:
     """Number of distinct periods; NULL is a period of its own."""
-    return clean.groupBy(period).count().agg(F.count(F.lit(1)).alias("distinct_periods"))
+    return clean.select(period).distinct().agg(F.expr("count(1) AS distinct_periods"))
 
 
 def duplicate_rate(clean: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows, distinct keys and the share of rows beyond the first of their key; NULLs are equal."""
-    keys = clean.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    keys = clean.groupBy(*key).agg(F.expr("count(1) AS n"))
     totals = keys.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("clean_rows"),
-        F.count(F.lit(1)).alias("distinct_keys"),
+        F.expr("coalesce(sum(n), 0) AS clean_rows"), F.expr("count(1) AS distinct_keys")
     )
-    unique = ratio(F.col("distinct_keys"), F.col("clean_rows"), 1.0)
-    return totals.withColumn("duplicate_rate", F.lit(1.0) - unique)
+    unique = ratio("distinct_keys", "clean_rows", 1.0)
+    return totals.selectExpr("*", f"1.0D - {unique} AS duplicate_rate")
 
 
 def volume_ratio(clean: DataFrame, period: str) -> DataFrame:
     """Smallest period against the upper median of all periods; 1 when there are none."""
-    volumes = clean.groupBy(period).agg(F.count(F.lit(1)).alias("n"))
-    return volumes.agg(
-        F.min("n").alias("smallest_period"),
-        F.expr(UPPER_MEDIAN.format("n")).cast("bigint").alias("median_period"),
-    ).withColumn(
-        "volume_anomaly_ratio", ratio(F.col("smallest_period"), F.col("median_period"), 1.0)
+    volumes = clean.groupBy(period).agg(F.expr("count(1) AS n"))
+    sizes = volumes.agg(
+        F.expr("min(n) AS smallest_period"), F.expr(f"{upper_median('n')} AS median_period")
+    )
+    return sizes.selectExpr(
+        "*", f"{ratio('smallest_period', 'median_period', 1.0)} AS volume_anomaly_ratio"
     )
 
 
@@ -248,58 +272,54 @@ def category_presence(clean: DataFrame, column: str, expected: Sequence[str]) ->
     The expected list joins the counts as zero-row entries of a union, so found and
     missing values need one aggregate.
     """
-    found = clean.groupBy(F.col(column).alias("category")).agg(F.count(F.lit(1)).alias("rows"))
-    one = clean.sparkSession.range(1)
-    declared = as_rows(one, [record(category=c, rows=F.lit(0).cast("bigint")) for c in expected])
-    both = found.withColumn("expected", F.lit(False)).unionByName(
-        declared.withColumn("expected", F.lit(True))
+    found = clean.groupBy(F.col(column).alias("category")).agg(
+        F.expr("count(1) AS n"), F.lit(False).alias("listed")
+    )
+    declared = as_rows(
+        clean.sparkSession.range(1),
+        [{"category": literal(c), "n": "0L", "listed": literal(True)} for c in expected],
     )
-    merged = both.groupBy("category").agg(
-        F.sum("rows").alias("row_count"), F.max("expected").alias("expected")
+    merged = found.unionByName(declared).groupBy("category")
+    return merged.agg(
+        F.expr("sum(n) AS row_count"),
+        F.expr("max(listed) AS expected"),
+        F.expr("max(listed) AND sum(n) > 0 AS passed"),
     )
-    return merged.withColumn("passed", F.col("expected") & (F.col("row_count") > 0))
 
 
 def fitness_measures(
-    consumption: DataFrame,
-    spec: ProductSpec,
-    hourly: DataFrame | None = None,
+    consumption: DataFrame, spec: ProductSpec, hourly: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """Readiness metrics, each a one-row ``measured`` frame.
 
     ``hourly`` is the table the hour coverage looks at, the consumption table by default.
     """
     hourly = consumption if hourly is None else hourly
-    measures = {}
+    months = hours = _constant(consumption, 0.0)
     if {spec.category, spec.period} <= set(consumption.columns):
-        measures["q1_month_count"] = _distinct_values(
-            consumption.where(F.col(spec.category) == spec.monthly_category), F.col(spec.period)
-        )
-    else:
-        measures["q1_month_count"] = _constant(consumption, 0.0)
+        fleet = consumption.where(F.col(spec.category) == spec.monthly_category)
+        months = _distinct_values(fleet, quoted(spec.period))
     if spec.event_time in hourly.columns:
         if spec.period in hourly.columns:
             window = F.col(spec.period) == spec.hourly_period
         else:
             window = F.month(spec.event_time) == int(spec.hourly_period[-2:])
-        measures["q2_hour_count"] = _distinct_values(
-            hourly.where(window), F.hour(spec.event_time)
-        )
-    else:
-        measures["q2_hour_count"] = _constant(consumption, 0.0)
+        hours = _distinct_values(hourly.where(window), f"hour({quoted(spec.event_time)})")
     present = set(spec.critical_columns) <= set(consumption.columns)
-    measures["cde_columns_present"] = _constant(consumption, 1.0 if present else 0.0)
-    return measures
+    return {
+        "q1_month_count": months,
+        "q2_hour_count": hours,
+        "cde_columns_present": _constant(consumption, 1.0 if present else 0.0),
+    }
 
 
-def _distinct_values(df: DataFrame, value: Column) -> DataFrame:
-    """Distinct values as a double; NULL is a value. At most a handful reach the last step."""
-    values = df.groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    return values.agg(F.count(F.lit(1)).cast("double").alias("measured"))
+def _distinct_values(df: DataFrame, value: str) -> DataFrame:
+    """Number of distinct values as a double; NULL is a value of its own."""
+    return df.selectExpr(value).distinct().agg(F.expr("CAST(count(1) AS DOUBLE) AS measured"))
 
 
 def _constant(df: DataFrame, value: float) -> DataFrame:
-    return df.sparkSession.range(1).select(F.lit(value).alias("measured"))
+    return df.sparkSession.range(1).selectExpr(f"{literal(value)} AS measured")
 
 
 def fitness_rows(
@@ -309,29 +329,31 @@ def fitness_rows(
     captured_at: str | None = None,
 ) -> DataFrame:
     """One fact per fitness rule. A metric nobody measures counts as 0."""
-    any_frame = next(iter(measures.values()))
-    parts = []
-    for rule in rules:
-        source = measures.get(rule.metric)
-        source = _constant(any_frame, 0.0) if source is None else source
-        measured = F.col("measured")
-        fact = record(
-            run_id=run_id,
-            use_case=rule.use_case,
-            rule=rule.name,
-            passed=compare(measured, rule.threshold, rule.comparator),
-            measured=measured,
-            expected=float(rule.threshold),
-            captured_at=stamp(captured_at),
-        )
-        parts.append(as_rows(source, [fact]))
-    facts = parts[0]
-    for part in parts[1:]:
-        facts = facts.unionByName(part)
-    return facts
+    unmeasured = _constant(next(iter(measures.values())), 0.0)
+    return reduce(
+        DataFrame.unionByName,
+        [
+            as_rows(
+                measures.get(rule.metric, unmeasured),
+                [
+                    {
+                        "run_id": literal(run_id),
+                        "use_case": literal(rule.use_case),
+                        "rule": literal(rule.name),
+                        "passed": compare("measured", rule.threshold, rule.comparator),
+                        "measured": "measured",
+                        "expected": literal(float(rule.threshold)),
+                        "captured_at": instant(captured_at),
+                    }
+                ],
+            )
+            for rule in rules
+        ],
+    )
 
 
 def blocking_fitness(facts: DataFrame, rules: Sequence[FitnessRule]) -> DataFrame:
+    """Failed fitness rules of error severity."""
     errors = [r.name for r in rules if r.severity == "error"]
     return facts.where(~F.col("passed") & F.col("rule").isin(errors)).select("rule")
 
@@ -342,28 +364,31 @@ def schema_conformance(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFram
     One aggregate covers all columns. A missing column has NULL counts.
     """
     types = dict(df.dtypes)
-    checks, facts = [], []
-    unknown = F.lit(None).cast("bigint")
+    checks, facts = ["count(1) AS rows_scanned"], []
     for c in columns:
         present = c.name in types
+        counts = dict.fromkeys(("missing", "off_list"), "0L" if present else null("BIGINT"))
+        conditions = {}
         if present and c.required:
-            checks.append(F.count_if(F.col(c.name).isNull()).alias(f"null_{c.name}"))
+            conditions["missing"] = f"{quoted(c.name)} IS NULL"
         if present and c.enum:
-            off_list = F.col(c.name).isNotNull() & ~F.col(c.name).isin(*c.enum)
-            checks.append(F.count_if(off_list).alias(f"enum_{c.name}"))
-        nothing = F.lit(0).cast("bigint") if present else unknown
+            allowed = ", ".join(literal(v) for v in c.enum)
+            conditions["off_list"] = f"{quoted(c.name)} NOT IN ({allowed})"
+        for kind, condition in conditions.items():
+            counts[kind] = quoted(f"{kind}_{c.name}")
+            checks.append(f"count_if({condition}) AS {counts[kind]}")
         facts.append(
-            record(
-                column_name=c.name,
-                declared_type=c.type,
-                present=present,
-                type_match=types.get(c.name) in DECLARED_TYPES[c.type],
-                null_violations=F.col(f"null_{c.name}") if present and c.required else nothing,
-                enum_violations=F.col(f"enum_{c.name}") if present and c.enum else nothing,
-                rows_scanned=F.col("rows_scanned"),
-            )
+            {
+                "column_name": literal(c.name),
+                "declared_type": literal(c.type),
+                "present": literal(present),
+                "type_match": literal(types.get(c.name) in DECLARED_TYPES[c.type]),
+                "null_violations": counts["missing"],
+                "enum_violations": counts["off_list"],
+                "rows_scanned": "rows_scanned",
+            }
         )
-    return as_rows(df.agg(F.count(F.lit(1)).alias("rows_scanned"), *checks), facts)
+    return as_rows(df.agg(*[F.expr(check) for check in checks]), facts)
 
 
 def undeclared_outputs(
@@ -373,24 +398,29 @@ def undeclared_outputs(
 
     Objects without a model have every column listed.
     """
+    declared = {name: {c.name for c in columns} for name, columns in models.items()}
     parts = []
     for name, df in published.items():
-        counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+        unknown = [c for c in df.columns if c not in declared.get(name, ())]
+        if not unknown:
+            continue
+        counts = df.agg(*[F.expr(f"count({quoted(c)}) AS {quoted(c)}") for c in unknown])
         parts.append(
             as_rows(
                 counts,
                 [
-                    record(object=name, column_name=c, filled_rows=F.col(f"`{c}`"))
-                    for c in df.columns
+                    {
+                        "object": literal(name),
+                        "column_name": literal(c),
+                        "filled_rows": quoted(c),
+                        "object_declared": literal(name in declared),
+                    }
+                    for c in unknown
                 ],
             )
         )
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    declared = [(name, c.name) for name, columns in models.items() for c in columns]
-    catalogue = found.sparkSession.createDataFrame(declared, "object string, column_name string")
-    has_model = F.col("object").isin(*models) if models else F.lit(False)
-    return found.join(catalogue, ["object", "column_name"], "left_anti").withColumn(
-        "object_declared", has_model
-    )
+    if not parts:
+        spark = next(iter(published.values())).sparkSession
+        columns = "object string, column_name string, filled_rows bigint, object_declared boolean"
+        return spark.createDataFrame([], columns)
+    return reduce(DataFrame.unionByName, parts)

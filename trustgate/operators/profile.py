@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trustgate.functions.expressions import as_rows, ratio, record, stamp
+from trustgate.functions.expressions import as_rows, instant, literal, null, quoted, ratio
 from trustgate.plans.spec import ProfileSpec
 
 NUMERIC = (T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
@@ -21,7 +21,7 @@ class Layer:
 
     name: str
     table: str
-    keeps: Column | None = None
+    keeps: str | None = None
     columns: tuple[str, ...] | None = None
 
 
@@ -48,55 +48,56 @@ def profile_layers(
 ) -> DataFrame:
     """Profile several layers that are row subsets of one table, in one aggregate.
 
-    Every layer's figures are conditional aggregates of the same pass; layers keeping the
+    Every layer's figures are filtered aggregates of the same pass; layers keeping the
     same rows share them. Declared columns a layer lacks are skipped and figures that are
     NULL are left out.
     """
-    aggregates: dict[str, Column] = {}
-    facts: list[Column] = []
-    for i, layer in enumerate(layers):
-        rows = f"l{i}_rows"
-        aggregates[rows] = _kept_count(layer, F.lit(1))
-
-        def fact(column: str, metric: str, value: Column, layer: Layer = layer) -> Column:
-            return record(
-                run_id=run_id,
-                layer=layer.name,
-                table_name=layer.table,
-                column_name=column,
-                metric=metric,
-                metric_value=value.cast("double"),
-                partition_key=F.col("_partition") if partition else F.lit(None).cast("string"),
-                captured_at=stamp(captured_at),
+    conditions = list(dict.fromkeys(layer.keeps for layer in layers))
+    flags = {sql: f"_keep{i}" for i, sql in enumerate(conditions) if sql is not None}
+    flagged = df.selectExpr("*", *[f"{sql} AS {flag}" for sql, flag in flags.items()])
+
+    aggregates: dict[str, str] = {}
+
+    def figure(function: str, argument: str, layer: Layer) -> str:
+        """The name of an aggregate over a layer's rows, declared once for equal row sets."""
+        condition = f" FILTER (WHERE {flags[layer.keeps]})" if layer.keeps is not None else ""
+        sql = f"{function}({argument}){condition}"
+        return aggregates.setdefault(sql, f"f{len(aggregates)}")
+
+    facts = []
+    for layer in layers:
+
+        def fact(column: str, metric: str, value: str, layer: Layer = layer) -> None:
+            facts.append(
+                {
+                    "run_id": literal(run_id),
+                    "layer": literal(layer.name),
+                    "table_name": literal(layer.table),
+                    "column_name": literal(column),
+                    "metric": literal(metric),
+                    "metric_value": f"CAST({value} AS DOUBLE)",
+                    "partition_key": "_partition" if partition else null("STRING"),
+                    "captured_at": instant(captured_at),
+                }
             )
 
+        rows = figure("count", "1", layer)
         if "row_count" in spec.metrics:
-            facts.append(fact("*", "row_count", F.col(rows)))
+            fact("*", "row_count", rows)
         shown = set(df.columns if layer.columns is None else layer.columns) & set(df.columns)
-        for j, name in enumerate(c for c in spec.columns if c in shown):
+        for name in (c for c in spec.columns if c in shown):
             if "null_rate" in spec.metrics:
-                filled = f"l{i}_c{j}_filled"
-                aggregates[filled] = _kept_count(layer, F.col(name))
-                missing = F.col(rows) - F.col(filled)
-                facts.append(fact(name, "null_rate", ratio(missing, F.col(rows))))
+                filled = figure("count", quoted(name), layer)
+                fact(name, "null_rate", ratio(f"({rows} - {filled})", rows))
             if isinstance(df.schema[name].dataType, NUMERIC):
                 for metric in ("min", "max", "avg"):
                     if metric in spec.metrics:
-                        alias = f"l{i}_c{j}_{metric}"
-                        aggregates[alias] = getattr(F, metric)(_kept(layer, F.col(name)))
-                        facts.append(fact(name, metric, F.col(alias)))
+                        fact(name, metric, figure(metric, quoted(name), layer))
 
-    columns = [column.alias(name) for name, column in aggregates.items()]
+    columns = [F.expr(f"{sql} AS {name}") for sql, name in aggregates.items()]
     if partition:
-        wide = df.groupBy(F.col(partition).cast("string").alias("_partition")).agg(*columns)
+        key = F.expr(f"CAST({quoted(partition)} AS STRING)").alias("_partition")
+        wide = flagged.groupBy(key).agg(*columns)
     else:
-        wide = df.agg(*columns)
+        wide = flagged.agg(*columns)
     return as_rows(wide, facts).where("metric_value IS NOT NULL")
-
-
-def _kept(layer: Layer, value: Column) -> Column:
-    return value if layer.keeps is None else F.when(layer.keeps, value)
-
-
-def _kept_count(layer: Layer, value: Column) -> Column:
-    return F.count(_kept(layer, value))

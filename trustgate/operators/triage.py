@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trustgate.functions.expressions import age_bucket, bucket_rank
+from trustgate.functions.expressions import age_bucket, bucket_rank, literal
 
 
 def incident_counts(quarantine: DataFrame) -> DataFrame:
@@ -16,7 +16,7 @@ def incident_counts(quarantine: DataFrame) -> DataFrame:
     Equal trails are counted before they are exploded, so the explode sees one row per
     distinct trail and task instead of one per quarantined row.
     """
-    trails = quarantine.groupBy("dq_run_id", "dq_failed_rules").agg(F.count(F.lit(1)).alias("n"))
+    trails = quarantine.groupBy("dq_run_id", "dq_failed_rules").agg(F.expr("count(1) AS n"))
     rules = trails.select(
         F.col("dq_run_id").alias("run_id"),
         F.explode(F.split("dq_failed_rules", ",")).alias("rule"),
@@ -53,45 +53,41 @@ def with_age(quarantine: DataFrame, captures: DataFrame, as_of: str | None) -> D
     ``as_of`` is a date, today by default. All rows of a run share one join key, so
     callers count or sample first and join the few rows that are left.
     """
-    today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
-    runs = captures.select(
-        F.col("run_id").alias("_run"), F.col("captured_at").alias("quarantined_at")
-    )
+    today = "current_date()" if as_of is None else f"CAST({literal(as_of)} AS DATE)"
+    runs = captures.selectExpr("run_id AS _run", "captured_at AS quarantined_at")
     joined = quarantine.join(runs, F.col("dq_run_id") == F.col("_run")).drop("_run")
-    return joined.withColumn(
-        "days_in_quarantine", F.datediff(today, F.to_date("quarantined_at"))
+    return joined.selectExpr(
+        "*", f"datediff({today}, to_date(quarantined_at)) AS days_in_quarantine"
     )
 
 
-def ageing(quarantine: DataFrame, captures: DataFrame, as_of: str | None = None) -> DataFrame:
-    """Per run: rows, since when, and youngest, oldest and mean age in days.
+def _counted_with_age(quarantine: DataFrame, captures: DataFrame, as_of: str | None) -> DataFrame:
+    """Rows per run with the run's age: age belongs to the run, not to the row."""
+    per_run = quarantine.groupBy("dq_run_id").agg(F.expr("count(1) AS n"))
+    return with_age(per_run, captures, as_of)
 
-    Age belongs to the run, so rows are counted per run before the join.
-    """
-    per_run = quarantine.groupBy("dq_run_id").agg(F.count(F.lit(1)).alias("n"))
-    return (
-        with_age(per_run, captures, as_of)
-        .groupBy(F.col("dq_run_id").alias("run_id"))
-        .agg(
-            F.sum("n").alias("quarantined_rows"),
-            F.min("quarantined_at").alias("quarantined_since"),
-            F.min("days_in_quarantine").alias("min_days"),
-            F.max("days_in_quarantine").alias("max_days"),
-            (F.sum(F.col("days_in_quarantine") * F.col("n")) / F.sum("n")).alias("avg_days"),
-        )
+
+def ageing(quarantine: DataFrame, captures: DataFrame, as_of: str | None = None) -> DataFrame:
+    """Per run: rows, since when, and youngest, oldest and mean age in days."""
+    runs = _counted_with_age(quarantine, captures, as_of).groupBy(
+        F.col("dq_run_id").alias("run_id")
+    )
+    return runs.agg(
+        F.expr("sum(n) AS quarantined_rows"),
+        F.expr("min(quarantined_at) AS quarantined_since"),
+        F.expr("min(days_in_quarantine) AS min_days"),
+        F.expr("max(days_in_quarantine) AS max_days"),
+        F.expr("sum(days_in_quarantine * n) / sum(n) AS avg_days"),
     )
 
 
 def age_buckets(quarantine: DataFrame, captures: DataFrame, as_of: str | None = None) -> DataFrame:
     """Quarantined rows per age bucket, youngest bucket first."""
-    per_run = quarantine.groupBy("dq_run_id").agg(F.count(F.lit(1)).alias("n"))
-    label = age_bucket(F.col("days_in_quarantine"))
-    return (
-        with_age(per_run, captures, as_of)
-        .groupBy(label.alias("age_bucket"))
-        .agg(F.sum("n").alias("row_count"))
-        .withColumn("bucket_rank", bucket_rank(F.col("age_bucket")))
-        .orderBy("bucket_rank")
+    bucket = F.expr(age_bucket("days_in_quarantine")).alias("age_bucket")
+    counted = _counted_with_age(quarantine, captures, as_of).groupBy(bucket)
+    rows = counted.agg(F.expr("sum(n) AS row_count"))
+    return rows.selectExpr("*", f"{bucket_rank('age_bucket')} AS bucket_rank").orderBy(
+        "bucket_rank"
     )
 
 
@@ -111,9 +107,8 @@ def stratified_sample(
     stratum = F.coalesce("dq_dominant_dimension", F.lit("unknown"))
     ranked = quarantine.withColumns({"_s": stratum, "_r": random_rank(seed, identity)})
     order = Window.partitionBy("_s").orderBy("_r", *identity)
-    return (
-        ranked.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k).drop("_s", "_r", "_n")
-    )
+    numbered = ranked.withColumn("_n", F.row_number().over(order))
+    return numbered.where(F.col("_n") <= k).drop("_s", "_r", "_n")
 
 
 def incident_sample(quarantine: DataFrame, order: Sequence[str], k: int = 25) -> DataFrame:

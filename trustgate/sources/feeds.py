@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustgate.functions.expressions import stamp
+from trustgate.functions.expressions import instant, literal, quoted
+
+FOOTER_READERS = 8
 
 
 def align_types(df: DataFrame, types: Mapping[str, str], strict: bool = True) -> DataFrame:
@@ -17,10 +20,10 @@ def align_types(df: DataFrame, types: Mapping[str, str], strict: bool = True) ->
     Only columns present under exactly the given spelling are cast. ``strict=False``
     turns text that does not parse into NULL instead of failing the job.
     """
-    cast = "cast" if strict else "try_cast"
-    return df.select(
+    cast = "CAST" if strict else "TRY_CAST"
+    return df.selectExpr(
         *[
-            getattr(F.col(f"`{c}`"), cast)(types[c]).alias(c) if c in types else F.col(f"`{c}`")
+            f"{cast}({quoted(c)} AS {types[c]}) AS {quoted(c)}" if c in types else quoted(c)
             for c in df.columns
         ]
     )
@@ -51,10 +54,11 @@ def read_feed(
     distinct layouts and not with the number of periods. ``source_file`` is the file a
     row came from, taken before any cast.
     """
+    paths = [part_path(template, feed, period) for period in periods]
+    with ThreadPoolExecutor(FOOTER_READERS) as pool:
+        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
     layouts: dict[str, tuple] = {}
-    for period in periods:
-        path = part_path(template, feed, period)
-        schema = spark.read.parquet(path).schema
+    for path, schema in zip(paths, schemas):
         layouts.setdefault(schema.json(), (schema, []))[1].append(path)
     scans = [
         align_types(
@@ -70,4 +74,6 @@ def read_feed(
 
 def with_provenance(df: DataFrame, feed: str, ingested_at: str | None = None) -> DataFrame:
     """Stamp the feed a row belongs to and when it was taken in."""
-    return df.withColumns({"ingest_ts": stamp(ingested_at), "taxi_type_hint": F.lit(feed)})
+    return df.selectExpr(
+        "*", f"{instant(ingested_at)} AS ingest_ts", f"{literal(feed)} AS taxi_type_hint"
+    )
