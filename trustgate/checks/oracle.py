@@ -549,9 +549,12 @@ UNION ALL
     "scorecard": f"WITH {FACTS} {SCORECARD}",
     "latest_run": f"""WITH {FACTS}
 SELECT run_id FROM facts GROUP BY run_id ORDER BY max(captured_at) DESC LIMIT 1""",
-    "run_list": f"""WITH {PROFILES}
+    "run_list": f"""WITH {RIDES},
+counted AS ({UNION.join(
+    f"SELECT '{run}' AS run_id, TIMESTAMP '{at}' AS captured_at, count(*) AS n FROM rides"
+    for _, run, at in BOTH)})
 SELECT run_id, strftime(max(captured_at), '%Y-%m-%d %H:%M:%S') AS last_captured
-FROM profiles GROUP BY run_id ORDER BY last_captured DESC""",
+FROM counted GROUP BY run_id ORDER BY last_captured DESC""",
     "failed_rules": f"""WITH {FACTS}
 SELECT dimension, rule, severity, passed, measured, threshold FROM facts
 WHERE run_id = '{b.RUN_LATEST}' AND passed = false
@@ -634,10 +637,10 @@ FROM aged GROUP BY 1, 3 ORDER BY bucket_rank""",
     "stratified_sample": f"""WITH {GATED_BOTH},{AGES},
 ranked AS (
   SELECT *, row_number() OVER (
-    PARTITION BY coalesce(dq_dominant_dimension, 'unknown')
+    PARTITION BY dq_run_id, coalesce(dq_dominant_dimension, 'unknown')
     ORDER BY md5('{b.SEED}|' || trip_id), trip_id) AS rn
-  FROM aged WHERE dq_run_id = '{b.RUN_LATEST}')
-SELECT trip_id, {PUBLISHED}, dq_failed_rules, dq_dominant_dimension,
+  FROM aged)
+SELECT trip_id, {PUBLISHED}, dq_run_id, dq_failed_rules, dq_dominant_dimension,
        strftime(captured_at, '%Y-%m-%d %H:%M:%S') AS quarantined_at, days AS days_in_quarantine
 FROM ranked WHERE rn <= 5""",
 }

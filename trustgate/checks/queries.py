@@ -89,14 +89,12 @@ def validations(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [validation_of(spark, sf_dir, *run) for run in RUNS]
 
 
-def profiles(
-    spark: SparkSession, sf_dir: str, spec: ProfileSpec = b.SPEC.profile
-) -> list[DataFrame]:
+def profiles(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Profiles of the three layers for both runs."""
     return [
         profile.profile_layers(
             b.trips(spark, sf_dir),
-            spec,
+            product.profile,
             run,
             [
                 profile.Layer("raw", "taxi_trips_projected"),
@@ -114,12 +112,17 @@ def profiles(
     ]
 
 
-ROW_COUNTS = ProfileSpec((), ("row_count",))
+def ride_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row count of the rides in every run: the shortest profile, from file footers alone."""
+    counted = ProfileSpec((), ("row_count",))
+    return union(
+        profile.profile(b.rides(spark, sf_dir), counted, run, "consumption", "rides", at)
+        for _, run, at in RUNS
+    )
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """When each run was captured, by its profile; row counts are profile enough."""
-    return triage.run_captures(union(profiles(spark, sf_dir, ROW_COUNTS)))
+    return triage.run_captures(ride_counts(spark, sf_dir))
 
 
 def fitness_facts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -573,7 +576,7 @@ def latest_run(spark, sf_dir):
 
 @query
 def run_list(spark, sf_dir):
-    runs = governance.run_list(union(profiles(spark, sf_dir, ROW_COUNTS)))
+    runs = governance.run_list(ride_counts(spark, sf_dir))
     return instants_as_text(runs, "last_captured")
 
 
@@ -675,11 +678,12 @@ def age_buckets(spark, sf_dir):
 
 @query
 def stratified_sample(spark, sf_dir):
-    drawn = triage.stratified_sample(quarantine(spark, sf_dir), b.SEED, ["trip_id"])
+    drawn = triage.stratified_sample(quarantines(spark, sf_dir), b.SEED, ["trip_id"])
     aged = triage.with_age(drawn, captures(spark, sf_dir), b.AS_OF)
     return instants_as_text(aged, "quarantined_at").select(
         "trip_id",
         *b.SPEC.consumption_columns,
+        "dq_run_id",
         "dq_failed_rules",
         "dq_dominant_dimension",
         "quarantined_at",

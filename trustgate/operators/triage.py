@@ -99,14 +99,14 @@ def random_rank(seed: str, identity: Sequence[str]) -> Column:
 def stratified_sample(
     quarantine: DataFrame, seed: str, identity: Sequence[str], k: int = 5
 ) -> DataFrame:
-    """At most k rows per dominant dimension, drawn at random but repeatably.
+    """At most k rows per run and dominant dimension, drawn at random but repeatably.
 
-    Spark limits each group inside every task before it shuffles, so the few dimensions
-    never gather their rows in one place.
+    Spark limits each group inside every task before it shuffles, so the few groups never
+    gather their rows in one place.
     """
     stratum = F.coalesce("dq_dominant_dimension", F.lit("unknown"))
     ranked = quarantine.withColumns({"_s": stratum, "_r": random_rank(seed, identity)})
-    order = Window.partitionBy("_s").orderBy("_r", *identity)
+    order = Window.partitionBy("dq_run_id", "_s").orderBy("_r", *identity)
     numbered = ranked.withColumn("_n", F.row_number().over(order))
     return numbered.where(F.col("_n") <= k).drop("_s", "_r", "_n")
 
