@@ -65,9 +65,10 @@ def test_missing_pickup_trips_three_rules_in_declaration_order(spark):
     assert found["dq_dominant_dimension"] == "consistency"
 
 
-def test_split_and_mark_keep_every_row(trips):
-    clean, quarantine = gate.split(trips, ROW_RULES, "r")
-    assert clean.count() + quarantine.count() == trips.count()
+def test_gate_and_mark_keep_every_row(trips):
+    clean, quarantine, summary, outcomes = gate.apply_gate(trips, ROW_RULES, "r")
+    assert clean.count() + quarantine.count() == trips.count() == summary.first()["input_rows"]
+    assert outcomes.count() == len(ROW_RULES)
     marked = gate.mark(trips, ROW_RULES, "r", "2023-06-01 00:00:00")
     kept = marked.where("NOT dq_quarantined").select(*trips.columns)
     assert kept.exceptAll(clean).isEmpty() and clean.exceptAll(kept).isEmpty()

@@ -50,7 +50,7 @@ SPARK_TYPES = {
 
 def test_every_query_has_a_counterpart():
     assert set(entry.queries()) == set(entry.oracle_sql())
-    assert len(entry.queries()) == 58
+    assert len(entry.queries()) == 64
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))

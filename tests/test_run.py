@@ -58,7 +58,7 @@ def new_store(tmp_path):
 def test_two_runs_end_to_end(spark, tmp_path):
     land(spark, tmp_path / "landing")
     store = new_store(tmp_path)
-    landing = str(tmp_path / "landing")
+    landing = f"{tmp_path}/landing/{taxi.FEED_PATH}"
     spec = replace(
         taxi.TAXI_TRIPS,
         aggregate_rules=tuple(
@@ -115,7 +115,7 @@ def test_two_runs_end_to_end(spark, tmp_path):
 def test_run_stops_at_the_job_that_blocks(spark, tmp_path):
     land(spark, tmp_path / "landing", skip_green_late_hours=True)
     results = run_product(
-        spark, taxi.TAXI_TRIPS, new_store(tmp_path), "r", str(tmp_path / "landing"), AT
+        spark, taxi.TAXI_TRIPS, new_store(tmp_path), "r", f"{tmp_path}/landing/{taxi.FEED_PATH}", AT
     )
     assert [r.job for r in results] == ["ingest", "build_clean", "publish_consumption"]
     assert results[-1].blocked_by == ("q2_hours_coverage",)
@@ -125,7 +125,7 @@ def test_missing_part_fails(spark, tmp_path):
     land(spark, tmp_path / "landing")
     spec = replace(taxi.TAXI_TRIPS, periods=(*taxi.PERIODS, "2023-06"))
     with pytest.raises(Exception, match="2023-06"):
-        run_product(spark, spec, new_store(tmp_path), "r", str(tmp_path / "landing"), AT)
+        run_product(spark, spec, new_store(tmp_path), "r", f"{tmp_path}/landing/{taxi.FEED_PATH}", AT)
 
 
 def test_missing_category_and_month_block_the_gate(spark, tmp_path):
@@ -135,7 +135,7 @@ def test_missing_category_and_month_block_the_gate(spark, tmp_path):
         expected_categories=("yellow", "green", "blue"),
     )
     store = new_store(tmp_path)
-    results = run_product(spark, spec, store, "r", str(tmp_path / "landing"), AT)
+    results = run_product(spark, spec, store, "r", f"{tmp_path}/landing/{taxi.FEED_PATH}", AT)
     assert results[-1].job == "build_clean"
     assert results[-1].blocked_by == ("month_coverage", "taxi_type=blue")
     stored = spark.table(store.name("governance", "dq_validation_result"))

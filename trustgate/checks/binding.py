@@ -17,7 +17,11 @@ from trustgate.plans.spec import AggregateRule, FeedSpec, FitnessRule, ProductSp
 # The window of the bound data and the two runs the governance queries look at.
 WINDOW = "year_month BETWEEN '1995-01' AND '2001-07'"
 EARLIER_WINDOW = "year_month BETWEEN '1995-01' AND '1999-12'"
-MONTHS = 79
+PERIODS = tuple(
+    f"{year}-{month:02d}" for year in range(1995, 2002) for month in range(1, 13)
+    if (year, month) <= (2001, 7)
+)
+MONTHS = len(PERIODS)
 HOURLY_PERIOD = "2024-01"
 YEARS = ("1995", "1996", "1997", "1998", "1999", "2000", "2001")
 RUN_EARLIER, RUN_LATEST = "run-9f", "run-2c"
@@ -66,6 +70,8 @@ SPEC: ProductSpec = replace(
     ),
     profile=ProfileSpec(taxi.CONSUMPTION_COLUMNS),
     business_key=("taxi_type", "vendor_id", "pickup_datetime"),
+    periods=PERIODS,
+    parts=YEARS,
     hourly_period=HOURLY_PERIOD,
 )
 EARLIER_SPEC: ProductSpec = SPEC.with_rule("year_month_in_window", EARLIER_WINDOW)
@@ -98,11 +104,13 @@ def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def raw_feed(spark: SparkSession, sf_dir: str, feed: FeedSpec) -> DataFrame:
-    """One feed under its own column names."""
+def raw_feed(spark: SparkSession, sf_dir: str, feed: FeedSpec, *extra: str) -> DataFrame:
+    """One feed under its own column names, with extra columns if asked."""
     rows = joined(spark, sf_dir).where(F.col("l_linestatus") == STATUS[feed.label])
     names = {**feed.columns, "trip_id": "trip_id", "fleet_override": "fleet_override"}
-    return rows.selectExpr(*[f"{sql} AS {names[name]}" for name, sql in TRIP_VALUES.items()])
+    return rows.selectExpr(
+        *[f"{sql} AS {names[name]}" for name, sql in TRIP_VALUES.items()], *extra
+    )
 
 
 def raw_feeds(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, FeedSpec]]:

@@ -353,6 +353,16 @@ def extremes(kpi: str, source: str, value: str, key: str) -> str:
 
 ALL_RULES = b.SPEC.row_rules
 
+# What a run stores: the facts of its three profiles, its rules and its fitness rules.
+TRIP_RUN = f"""
+profiled AS (
+{UNION.join(layered(b.RUN_LATEST, b.AT_LATEST))}),
+validated AS ({UNION.join(row_facts(*LATEST) + aggregate_facts(*LATEST))}),
+declared_fitness AS (
+{UNION.join(
+    f"SELECT '{r.name}' AS rule"
+    for r in b.SPEC.fitness_rules if r.name != "q2_hours_coverage")})"""
+
 ORACLE_SQL: dict[str, str] = {
     # feeds and tables
     "feed_scan": f"""WITH {FEED_ROWS}
@@ -393,6 +403,20 @@ FROM clean_{L} WHERE taxi_type = 'green' GROUP BY year_month""",
             taxi.KPI_HOURLY: "hourly",
         }
     ),
+    "product_run": f"WITH {KPIS}, {TRIP_RUN} "
+    + counts(
+        {
+            "raw.yellow_tripdata": "feed_rows WHERE feed = 'yellow'",
+            "raw.green_tripdata": "feed_rows WHERE feed = 'green'",
+            "clean.taxi_trips": f"clean_{L}",
+            "clean.taxi_trips_quarantine": f"quarantine_{L}",
+            "consumption.taxi_trips": f"clean_{L}",
+            f"consumption.{taxi.KPI_MONTHLY}": "monthly",
+            "governance.data_profile": "profiled",
+            "governance.dq_validation_result": "validated",
+            "governance.fitness_for_use_result": "declared_fitness",
+        }
+    ),
     # projection and gate
     "canonical": f"WITH {TRIPS} SELECT {TRIP_COLUMNS} FROM trips",
     "consumption": f"WITH {GATED} SELECT {PUBLISHED} FROM clean_{L}",
@@ -400,6 +424,12 @@ FROM clean_{L} WHERE taxi_type = 'green' GROUP BY year_month""",
 SELECT vendor_id AS "VendorID", passenger_count, total_amount,
        pickup_datetime AS tpep_pickup_datetime, dropoff_datetime AS tpep_dropoff_datetime,
        taxi_type, year_month FROM clean_{L}""",
+    "interface_sample": f"""WITH {GATED}
+SELECT vendor_id AS "VendorID", passenger_count, total_amount,
+       pickup_datetime AS tpep_pickup_datetime, dropoff_datetime AS tpep_dropoff_datetime
+FROM clean_{L}
+ORDER BY total_amount, pickup_datetime, dropoff_datetime, vendor_id, passenger_count NULLS FIRST
+LIMIT 10""",
     "rule_fail_flags": f"WITH {TRIPS} SELECT trip_id, "
     + ", ".join(f"{failing(r.expression)} AS fail_{r.name}" for r in ALL_RULES)
     + " FROM trips",
@@ -431,6 +461,9 @@ SELECT {N_TRIPS} AS input_rows, (SELECT count(*) FROM clean_{L}) AS clean_rows,
     "validation_result": f"WITH {GATED} SELECT * EXCLUDE (captured_at) FROM ("
     + UNION.join(row_facts(*LATEST) + aggregate_facts(*LATEST))
     + ")",
+    "merged_results": f"WITH {GATED} SELECT * EXCLUDE (captured_at) FROM ("
+    + UNION.join(row_facts(*LATEST) + aggregate_facts(*LATEST))
+    + ")",
     "failed_rows_checks": f"WITH {TRIPS} "
     + UNION.join(
         f"SELECT '{c.name}' AS rule, '{c.severity}' AS severity, count(*) AS failed_rows,"
@@ -519,6 +552,9 @@ WHERE run_id = (SELECT run_id FROM profiles ORDER BY captured_at DESC LIMIT 1)
         ["min", "avg", "max"],
         "(SELECT * FROM profiles WHERE metric IN ('min', 'max', 'avg') AND layer = 'clean')",
     ),
+    "layer_rows": f"""WITH {PROFILES}
+SELECT run_id, layer, table_name, CAST(metric_value AS BIGINT) AS row_count
+FROM profiles WHERE column_name = '*' AND metric = 'row_count'""",
     "worst_null_rates": f"""WITH {PROFILES}
 SELECT layer, table_name, column_name, metric_value AS null_rate,
        CASE WHEN metric_value < 0.05 THEN 'ok' WHEN metric_value < 0.4 THEN 'warn' ELSE 'bad' END
@@ -547,6 +583,10 @@ UNION ALL
 {extremes(taxi.KPI_HOURLY, "hours", "avg_passenger_count", "hour_key")}""",
     # governance views and run-scoped reads
     "scorecard": f"WITH {FACTS} {SCORECARD}",
+    "scorecard_latest_run": f"""WITH {FACTS}, card AS ({SCORECARD})
+SELECT run_id, dimension, rules_evaluated, rules_passed, round(pass_rate, 4) AS pass_rate,
+       round(quarantine_rate, 6) AS quarantine_rate, uniqueness_metric
+FROM card WHERE run_id = '{b.RUN_LATEST}' ORDER BY dimension""",
     "latest_run": f"""WITH {FACTS}
 SELECT run_id FROM facts GROUP BY run_id ORDER BY max(captured_at) DESC LIMIT 1""",
     "run_list": f"""WITH {RIDES},
@@ -588,6 +628,9 @@ SELECT run_id, round(mean_pass_rate, 6) AS mean_pass_rate, quarantine_rate, dupl
             WHEN mean_pass_rate >= 0.80 THEN 'warn' ELSE 'bad' END AS level,
        mean_pass_rate >= 0.95 AND quarantine_rate <= 0.05 AND hard_failures = 0 AS trusted
 FROM means JOIN failures USING (run_id)""",
+    "fitness_latest_run": f"""WITH {FITNESS}
+SELECT use_case, rule, passed, measured, expected, run_id FROM fitness
+WHERE run_id = '{b.RUN_LATEST}' ORDER BY use_case, rule""",
     "fitness_rollup": f"""WITH {FITNESS}
 SELECT run_id, CAST(sum(CASE WHEN passed THEN 1 ELSE 0 END) AS BIGINT) AS approved,
        count(*) AS total, count(DISTINCT use_case) AS use_cases

@@ -8,15 +8,17 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustgate.checks import binding as b
-from trustgate.functions.expressions import require_rows
+from trustgate.functions.expressions import as_rows, require_rows
 from trustgate.operators import gate, governance, harmonize, marts, metrics, profile, triage
 from trustgate.plans import taxi
-from trustgate.plans.spec import ProfileSpec, ProductSpec
+from trustgate.plans.run import Run, Store, lineage, run_product
+from trustgate.plans.spec import ProductSpec, ProfileSpec
 from trustgate.sources import feeds, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,7 +175,6 @@ def hourly_kpi(
 
 
 DRIFT_YEAR = "1998"
-LANDING_TYPES = {"VendorID": "bigint", "passenger_count": "double", "congestion_surcharge": "double"}
 
 
 def landing(spark: SparkSession, sf_dir: str) -> str:
@@ -183,29 +184,34 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     surcharge; later parts hold the surcharge as text.
     """
     root = tables.shared_dir(spark)
-    status = " ".join(f"WHEN '{code}' THEN '{name}'" for name, code in b.STATUS.items())
-    rows = b.joined(spark, sf_dir).selectExpr(
-        f"CASE l_linestatus {status} END AS feed",
-        "date_format(o_orderdate, 'yyyy') AS period",
-        f"{b.TRIP_VALUES['trip_id']} AS trip_id",
-        f"{b.TRIP_VALUES['vendor_id']} AS VendorID",
-        f"{b.TRIP_VALUES['passenger_count']} AS passenger_count",
-        f"{b.TRIP_VALUES['total_amount']} AS total_amount",
-        "CAST(l_tax AS STRING) AS congestion_surcharge",
-    )
-    early = rows.where(F.col("period") < DRIFT_YEAR).drop("congestion_surcharge")
-    early = feeds.align_types(early, {"VendorID": "double", "passenger_count": "bigint"})
-    late = rows.where(F.col("period") >= DRIFT_YEAR)
-    for part in (early, late):
-        keys = ["feed", "period"]
-        tables.by_partition(part, keys).write.mode("append").partitionBy(*keys).parquet(root)
+    keys = ["feed", "period"]
+    for feed in b.FEEDS:
+        rows = b.raw_feed(
+            spark,
+            sf_dir,
+            feed,
+            f"'{feed.label}' AS feed",
+            "date_format(o_orderdate, 'yyyy') AS period",
+            "CAST(l_tax AS STRING) AS congestion_surcharge",
+        )
+        early = feeds.align_types(
+            rows.where(F.col("period") < DRIFT_YEAR).drop("congestion_surcharge"),
+            {"VendorID": "double", "passenger_count": "bigint"},
+        )
+        late = rows.where(F.col("period") >= DRIFT_YEAR)
+        for part in (early, late):
+            tables.by_partition(part, keys).write.mode("append").partitionBy(*keys).parquet(root)
     return root + "/feed={feed}/period={period}"
 
 
 def landed(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
     template = landing(spark, sf_dir)
     return [
-        (name, feeds.read_feed(spark, template, name, b.YEARS, LANDING_TYPES)) for name in b.STATUS
+        (
+            feed.label,
+            feeds.read_feed(spark, template, feed.label, b.YEARS, b.SPEC.drifting_types),
+        )
+        for feed in b.FEEDS
     ]
 
 
@@ -323,6 +329,31 @@ def publish_all(spark, sf_dir):
     return governance.layer_counts({n.split(".")[-1]: spark.table(n) for n in names})
 
 
+@query
+def product_run(spark, sf_dir):
+    """All jobs from landing parts to KPIs over tables of their own, and the rows of each table."""
+    spec = replace(
+        b.SPEC,
+        fitness_rules=tuple(r for r in b.SPEC.fitness_rules if r.name != "q2_hours_coverage"),
+        hourly_period=b.PERIODS[0],
+        min_hours=1,
+    )
+    store = Store(prefix=f"tg_{uuid.uuid4().hex}_", location=tables.shared_dir(spark))
+    results = run_product(
+        spark, spec, store, b.RUN_LATEST, landing(spark, sf_dir), captured_at=b.AT_LATEST
+    )
+    blocked = [(r.job, r.blocked_by) for r in results if not r.ok]
+    if blocked:
+        raise RuntimeError(f"run blocked: {blocked}")
+    run = Run(spark, spec, store, b.RUN_LATEST)
+    facts = {
+        f"governance.{name}": run.facts(name)
+        for name in ("data_profile", "dq_validation_result", "fitness_for_use_result")
+    }
+    kpi = {f"consumption.{taxi.KPI_MONTHLY}": run.table("consumption", taxi.KPI_MONTHLY)}
+    return lineage(run).unionByName(governance.layer_counts(facts | kpi))
+
+
 # Projection and the gate
 
 
@@ -341,6 +372,17 @@ def view_rename(spark, sf_dir):
     return marts.renamed_interface(published(spark, sf_dir), b.SPEC.renamed_columns)
 
 
+@query
+def interface_sample(spark, sf_dir):
+    """Ten rows of the renamed interface; the values stand in the order of all columns."""
+    names = b.SPEC.renamed_columns
+    renamed = marts.renamed_interface(published(spark, sf_dir), names)
+    order = [names.get(c, c) for c in ("total_amount", "pickup_datetime", "dropoff_datetime")]
+    return triage.ordered_sample(renamed, [*order, "VendorID", "passenger_count"], 10).select(
+        "VendorID", "passenger_count", "total_amount", *order[1:]
+    )
+
+
 @query
 def rule_fail_flags(spark, sf_dir):
     flagged = gate.flag_rules(b.trips(spark, sf_dir), RULES)
@@ -382,6 +424,20 @@ def validation_result(spark, sf_dir):
     return validation_of(spark, sf_dir, *RUNS[1]).drop("captured_at")
 
 
+@query
+def merged_results(spark, sf_dir):
+    """Row results and aggregate results stored apart, merged with the row results ahead."""
+    measures = tables.staged(
+        metrics.measure(b.trips(spark, sf_dir), b.SPEC, gate.accepted(RULES), RULES)
+    )
+    rates = {r.name: gate.pass_rate(r) for r in b.SPEC.soft_rules}
+    rows = as_rows(
+        measures, [gate.row_rule_record(r, b.RUN_LATEST, b.AT_LATEST) for r in RULES]
+    )
+    aggregate = metrics.aggregate_rows(measures, b.SPEC, b.RUN_LATEST, b.AT_LATEST, rates)
+    return metrics.merge_results(rows, aggregate).drop("captured_at")
+
+
 @query
 def failed_rows_checks(spark, sf_dir):
     return gate.failed_rows_scan(b.trips(spark, sf_dir), b.SPEC.checks)
@@ -508,6 +564,11 @@ def profile_preferred(spark, sf_dir):
     return rounded(wide, 5, "min", "avg", "max")
 
 
+@query
+def layer_rows(spark, sf_dir):
+    return governance.layer_rows(union(profiles(spark, sf_dir)))
+
+
 @query
 def worst_null_rates(spark, sf_dir):
     return governance.worst_gaps(profiles(spark, sf_dir)[1])
@@ -569,6 +630,12 @@ def scorecard(spark, sf_dir):
     return governance.scorecard(union(validations(spark, sf_dir)))
 
 
+@query
+def scorecard_latest_run(spark, sf_dir):
+    facts = stored_facts(validations(spark, sf_dir))
+    return governance.scorecard_of_run(facts, governance.latest_run(facts))
+
+
 @query
 def latest_run(spark, sf_dir):
     return governance.latest_run(union(validations(spark, sf_dir)))
@@ -598,6 +665,12 @@ def reliability_rollup(spark, sf_dir):
     return rounded(facts, 6, "mean_pass_rate")
 
 
+@query
+def fitness_latest_run(spark, sf_dir):
+    facts = stored_facts(fitness_facts(spark, sf_dir))
+    return governance.fitness_of_run(facts, governance.latest_run(facts))
+
+
 @query
 def fitness_rollup(spark, sf_dir):
     return governance.fitness_rollup(union(fitness_facts(spark, sf_dir)))
@@ -651,7 +724,7 @@ def incident_enriched(spark, sf_dir):
 
 @query
 def incident_sample(spark, sf_dir):
-    rows = triage.incident_sample(quarantine(spark, sf_dir), ["trip_id"])
+    rows = triage.ordered_sample(quarantine(spark, sf_dir), ["trip_id"], 25)
     return rows.select(
         "trip_id",
         "taxi_type",

@@ -26,9 +26,13 @@ from trustgate.plans.spec import FailedRowsCheck, RowRule, SpecError
 ENGINE = "trustgate"
 
 
-class Split(NamedTuple):
+class Gate(NamedTuple):
+    """Everything the gate says about one input; each frame is a plan of its own."""
+
     clean: DataFrame
     quarantine: DataFrame
+    summary: DataFrame
+    outcomes: DataFrame
 
 
 def hard_rules(rules: Sequence[RowRule]) -> list[RowRule]:
@@ -80,13 +84,6 @@ def quarantine_rows(
     )
 
 
-def split(
-    df: DataFrame, rules: Sequence[RowRule], run_id: str, quarantined_at: str | None = None
-) -> Split:
-    """Clean and quarantined rows; together they are the input."""
-    return Split(clean_rows(df, rules), quarantine_rows(df, rules, run_id, quarantined_at))
-
-
 def mark(
     df: DataFrame, rules: Sequence[RowRule], run_id: str, quarantined_at: str | None = None
 ) -> DataFrame:
@@ -179,6 +176,21 @@ def rule_outcomes(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     )
 
 
+def apply_gate(
+    df: DataFrame, rules: Sequence[RowRule], run_id: str, quarantined_at: str | None = None
+) -> Gate:
+    """Clean and quarantined rows, which together are the input, its counts and each rule's outcome.
+
+    A caller that uses several of the frames writes ``mark`` to a table and reads that.
+    """
+    return Gate(
+        clean_rows(df, rules),
+        quarantine_rows(df, rules, run_id, quarantined_at),
+        gate_summary(df, rules),
+        rule_outcomes(df, rules),
+    )
+
+
 def row_rule_record(rule: RowRule, run_id: str, captured_at: str | None) -> dict[str, str]:
     """The validation fact of one row rule. Soft rules report a rate and never block."""
     return {

@@ -52,6 +52,14 @@ def scorecard(validation: DataFrame) -> DataFrame:
     return validation.groupBy("run_id", "dimension").agg(*_dimension_scores())
 
 
+def scorecard_of_run(validation: DataFrame, run: DataFrame) -> DataFrame:
+    """A run's scorecard with rounded rates, by dimension."""
+    scores = scorecard(of_run(validation, run))
+    return scores.withColumns(
+        {"pass_rate": F.round("pass_rate", 4), "quarantine_rate": F.round("quarantine_rate", 6)}
+    ).orderBy("dimension")
+
+
 def profile_latest(profiles: DataFrame) -> DataFrame:
     """The profile of the latest run."""
     return of_run(profiles, latest_run(profiles))
@@ -63,6 +71,14 @@ def fitness_summary(fitness: DataFrame) -> DataFrame:
     )
 
 
+def fitness_of_run(fitness: DataFrame, run: DataFrame) -> DataFrame:
+    """A run's fitness results by use case."""
+    results = of_run(fitness, run).select(
+        "use_case", "rule", "passed", "measured", "expected", "run_id"
+    )
+    return results.orderBy("use_case", "rule")
+
+
 def error_first(df: DataFrame, *then: str) -> DataFrame:
     return df.orderBy(F.when(F.col("severity") == "error", 0).otherwise(1), *then)
 

@@ -111,6 +111,6 @@ def stratified_sample(
     return numbered.where(F.col("_n") <= k).drop("_s", "_r", "_n")
 
 
-def incident_sample(quarantine: DataFrame, order: Sequence[str], k: int = 25) -> DataFrame:
-    """The first k quarantined rows in a stated order."""
-    return quarantine.orderBy(*order).limit(k)
+def ordered_sample(df: DataFrame, order: Sequence[str], k: int) -> DataFrame:
+    """The first k rows in a stated order."""
+    return df.orderBy(*order).limit(k)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -106,17 +107,18 @@ def names_in(df: DataFrame) -> tuple[str, ...]:
     return tuple(sorted(row[0] for row in df.collect()))
 
 
-def ingest(run: Run, landing: str, path: str = taxi.FEED_PATH) -> JobResult:
-    """Landing files to one raw table per feed, and a profile of the harmonised whole.
+def ingest(run: Run, template: str) -> JobResult:
+    """Landing parts to one raw table per feed, and a profile of the harmonised whole.
 
+    ``template`` is the path of a part, with ``{feed}`` and ``{period}`` to fill in.
     An empty feed blocks; a profile that cannot be taken does not.
     """
+    spec = run.spec
     run.store.prepare(run.spark)
     rows = {}
-    for feed in run.spec.feeds:
-        template = f"{landing.rstrip('/')}/{path}"
+    for feed in spec.feeds:
         df = feeds.read_feed(
-            run.spark, template, feed.label, run.spec.periods, taxi.DRIFTING_TYPES
+            run.spark, template, feed.label, spec.landing_parts, spec.drifting_types
         )
         name = run.store.name("raw", raw_table(feed.label))
         stamped = feeds.with_provenance(df, feed.label, run.captured_at)
@@ -177,7 +179,8 @@ def publish_consumption(run: Run) -> JobResult:
     spec, store, spark = run.spec, run.store, run.spark
     name = store.name("consumption", TRIPS)
     published = marts.consumption(run.table("clean", TRIPS), spec.consumption_columns)
-    tables.write_table(published, name, [spec.period], store.fmt)
+    # The gated table already lies in period order, file by file: no second shuffle.
+    tables.write_table(published, name, [spec.period], store.fmt, rebalance=False)
     tables.publish_views(
         spark,
         {"vw_taxi_trips_tlc": rename_view(name, spec)},
@@ -243,14 +246,15 @@ def run_product(
     spec: ProductSpec,
     store: Store,
     run_id: str,
-    landing: str,
+    template: str,
     captured_at: str | None = None,
 ) -> list[JobResult]:
     """All jobs in order, stopping after the first that blocks."""
     run = Run(spark, spec, store, run_id, captured_at)
     results = []
-    for job in (lambda: ingest(run, landing), *_steps(run)):
-        result = job()
+    jobs = (partial(ingest, template=template), build_clean, publish_consumption, analyse)
+    for job in jobs:
+        result = job(run)
         results.append(result)
         if not result.ok:
             logger.error("%s blocked in run %s by %s", result.job, run_id, result.blocked_by)
@@ -258,14 +262,6 @@ def run_product(
     return results
 
 
-def _steps(run: Run) -> list[Callable[[], JobResult]]:
-    return [
-        lambda: build_clean(run),
-        lambda: publish_consumption(run),
-        lambda: analyse(run),
-    ]
-
-
 def lineage(run: Run) -> DataFrame:
     """Rows of every table on the way from the feeds to the consumer."""
     stored = [("raw", raw_table(feed.label)) for feed in run.spec.feeds]

@@ -149,7 +149,11 @@ class FeedSpec:
 
 @dataclass(frozen=True)
 class ProductSpec:
-    """One governed product: feeds, rules, declared columns and the key facts about its tables."""
+    """One governed product: feeds, rules, declared columns and the key facts about its tables.
+
+    ``periods`` are the periods it promises to cover, ``parts`` the landing parts of each feed
+    where they are not one per period.
+    """
 
     feeds: tuple[FeedSpec, ...] = ()
     row_rules: tuple[RowRule, ...] = ()
@@ -168,6 +172,8 @@ class ProductSpec:
     consumption_columns: tuple[str, ...] = ()
     renamed_columns: Mapping[str, str] = field(default_factory=dict)
     periods: tuple[str, ...] = ()
+    parts: tuple[str, ...] = ()
+    drifting_types: Mapping[str, str] = field(default_factory=dict)
     monthly_category: str = ""
     hourly_period: str = ""
     min_hours: int = 20
@@ -185,6 +191,10 @@ class ProductSpec:
     def soft_rules(self) -> tuple[RowRule, ...]:
         return tuple(r for r in self.row_rules if not r.hard)
 
+    @property
+    def landing_parts(self) -> tuple[str, ...]:
+        return self.parts or self.periods
+
     @property
     def key_fixes_period(self) -> bool:
         """True when equal business keys always share a period, so counts add up over periods."""

@@ -175,6 +175,7 @@ TAXI_TRIPS = ProductSpec(
     consumption_columns=CONSUMPTION_COLUMNS,
     renamed_columns=RENAMED,
     periods=PERIODS,
+    drifting_types=DRIFTING_TYPES,
     monthly_category="yellow",
     hourly_period="2023-05",
     min_hours=20,
