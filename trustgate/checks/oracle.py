@@ -102,6 +102,11 @@ GATED = TRIPS + "," + gated(*LATEST)
 GATED_BOTH = GATED + "," + gated(*EARLIER)
 
 
+def rounded(value: str, digits: int) -> str:
+    """Half up from eight decimals, exactly."""
+    return f"CAST(round(CAST({value} AS DECIMAL(28, 8)), {digits}) AS DOUBLE)"
+
+
 def violations(rule) -> str:
     return f"(SELECT CAST(count(*) AS BIGINT) FROM trips WHERE {failing(rule.expression)})"
 
@@ -247,14 +252,15 @@ profiles AS MATERIALIZED (
 )"""
 
 PROFILE_OUT = (
-    "run_id, layer, table_name, column_name, metric, round(metric_value, 5) AS metric_value,"
+    f"run_id, layer, table_name, column_name, metric, {rounded('metric_value', 5)} AS metric_value,"
     " partition_key"
 )
 
 
 def matrix(metrics, source: str) -> str:
     columns = ", ".join(
-        f"round(max(CASE WHEN metric = '{m}' THEN metric_value END), 5) AS \"{m}\"" for m in metrics
+        rounded(f"max(CASE WHEN metric = '{m}' THEN metric_value END)", 5) + f' AS "{m}"'
+        for m in metrics
     )
     return f"""SELECT run_id, layer, table_name, column_name, {columns} FROM {source}
 GROUP BY run_id, layer, table_name, column_name"""
@@ -344,11 +350,11 @@ def conformance(column) -> str:
 
 
 def extremes(kpi: str, source: str, value: str, key: str) -> str:
-    return f"""SELECT '{kpi}' AS kpi, round(avg({value}), 4) AS overall,
+    return f"""SELECT '{kpi}' AS kpi, {rounded(f'avg({value})', 4)} AS overall,
   (SELECT {key} FROM {source} ORDER BY {value} DESC, {key} LIMIT 1) AS high_key,
-  round(max({value}), 4) AS high_value,
+  {rounded(f'max({value})', 4)} AS high_value,
   (SELECT {key} FROM {source} ORDER BY {value}, {key} LIMIT 1) AS low_key,
-  round(min({value}), 4) AS low_value FROM {source}"""
+  {rounded(f'min({value})', 4)} AS low_value FROM {source}"""
 
 
 ALL_RULES = b.SPEC.row_rules
@@ -563,16 +569,16 @@ FROM profiles WHERE metric = 'null_rate' AND run_id = '{b.RUN_LATEST}'
 ORDER BY metric_value DESC, layer, column_name LIMIT 5""",
     # KPIs
     "kpi_monthly_avg": f"""WITH {KPIS}
-SELECT year_month, round(avg_total_amount, 4) AS avg_total_amount, trip_count, run_id
+SELECT year_month, {rounded('avg_total_amount', 4)} AS avg_total_amount, trip_count, run_id
 FROM monthly ORDER BY year_month""",
     "kpi_hourly_avg": f"""WITH {KPIS}
-SELECT pickup_hour, round(avg_passenger_count, 6) AS avg_passenger_count, trip_count,
+SELECT pickup_hour, {rounded('avg_passenger_count', 6)} AS avg_passenger_count, trip_count,
        null_passenger_count, run_id FROM hourly ORDER BY pickup_hour""",
     "kpi_latest_run": f"""WITH {KPIS}
-SELECT year_month, round(avg_total_amount, 2) AS avg_total_amount, trip_count, run_id
+SELECT year_month, {rounded('avg_total_amount', 2)} AS avg_total_amount, trip_count, run_id
 FROM monthly ORDER BY year_month""",
     "kpi_null_share": f"""WITH {KPIS}
-SELECT pickup_hour, round(avg_passenger_count, 4) AS avg_passenger_count, trip_count,
+SELECT pickup_hour, {rounded('avg_passenger_count', 4)} AS avg_passenger_count, trip_count,
        null_passenger_count,
        round(100.0::DOUBLE * null_passenger_count / nullif(trip_count, 0), 2) AS null_pct, run_id
 FROM hourly ORDER BY pickup_hour""",
@@ -621,7 +627,7 @@ failures AS (
          count(CASE WHEN severity = 'error' AND NOT passed AND scope = 'row' THEN 1 END)
            AS hard_row_failures
   FROM facts GROUP BY run_id)
-SELECT run_id, round(mean_pass_rate, 6) AS mean_pass_rate, quarantine_rate, duplicate_rate,
+SELECT run_id, {rounded('mean_pass_rate', 6)} AS mean_pass_rate, quarantine_rate, duplicate_rate,
        rules_evaluated, rules_passed, hard_failures, soft_failures, hard_row_failures,
        quarantine_rate <= 0.05 AS within_cap,
        CASE WHEN quarantine_rate > 0.05 THEN 'bad' WHEN mean_pass_rate >= 0.95 THEN 'ok'

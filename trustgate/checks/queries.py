@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustgate.checks import binding as b
+from trustgate.functions import expressions
 from trustgate.functions.expressions import as_rows, require_rows
 from trustgate.operators import gate, governance, harmonize, marts, metrics, profile, triage
 from trustgate.plans import taxi
@@ -37,8 +38,7 @@ def query(fn: Query) -> Query:
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    """Averages of doubles depend on the order of summation in their last digits."""
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    return df.withColumns({c: F.expr(expressions.rounded(c, digits)) for c in columns})
 
 
 def instants_as_text(df: DataFrame, *columns: str) -> DataFrame:

@@ -88,6 +88,15 @@ def share_pct(part: str, whole: str, digits: int) -> str:
     return f"round({share}, {digits})"
 
 
+def rounded(value: str, digits: int) -> str:
+    """Round half up, taking eight decimals first.
+
+    The last digits of an average depend on the order of summation; they should not
+    decide which way a tie goes.
+    """
+    return f"round(round({value}, 8), {digits})"
+
+
 def require_rows(count: str, message: str) -> str:
     """The count itself; zero fails the job."""
     return (

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trustgate.functions.expressions import gap_level, literal, quoted, rate_level, share_pct
+from trustgate.functions.expressions import gap_level, literal, quoted, rate_level, rounded, share_pct
 from trustgate.plans.spec import RowRule
 
 
@@ -169,7 +169,7 @@ def quarantine_share(clean: DataFrame, quarantine: DataFrame) -> DataFrame:
 
 def kpi_of_run(kpi: DataFrame, run: DataFrame, value: str, digits: int, order: str) -> DataFrame:
     """A run's KPI rows with the value rounded, in key order."""
-    return of_run(kpi, run).withColumn(value, F.round(value, digits)).orderBy(order)
+    return of_run(kpi, run).withColumn(value, F.expr(rounded(quoted(value), digits))).orderBy(order)
 
 
 def kpi_null_share(kpi: DataFrame, run: DataFrame, value: str) -> DataFrame:
