@@ -91,7 +91,8 @@ def test_unknown_counts_as_failure(spark, rule):
 
 
 def test_nan_is_above_every_number(spark):
-    df = spark.createDataFrame([(1, float("nan"), float("nan"), at(1), at(2), "green", "2023-05")], SCHEMA)
+    nan = float("nan")
+    df = spark.createDataFrame([(1, nan, nan, at(1), at(2), "green", "2023-05")], SCHEMA)
     flags = gate.flag_rules(df, ROW_RULES).first()
     assert flags["fail_passenger_count_range"] is True
     assert flags["fail_total_amount_non_negative"] is False
@@ -109,7 +110,8 @@ def test_outcomes_and_validation_facts(spark, trips):
     assert facts["passenger_count_range"]["passed"] is True
     assert facts["passenger_count_range"]["measured"] == pytest.approx(5 / 7)
     assert facts["dropoff_after_pickup"]["passed"] is False
-    assert facts["pickup_not_null"]["passed"] is True and facts["pickup_not_null"]["measured"] == 1.0
+    assert facts["pickup_not_null"]["passed"] is True
+    assert facts["pickup_not_null"]["measured"] == 1.0
     assert facts["hard_quarantine_rate"]["measured"] == pytest.approx(3 / 7)
 
 
@@ -159,7 +161,10 @@ def test_disagreement_and_missing_checks_are_reported(trips):
 
 
 def test_failed_rows_scan_ignores_unknown(trips):
-    checks = [FailedRowsCheck("few", "passenger_count < 2"), FailedRowsCheck("soft", "total_amount < 0", "warning")]
+    checks = [
+        FailedRowsCheck("few", "passenger_count < 2"),
+        FailedRowsCheck("soft", "total_amount < 0", "warning"),
+    ]
     found = {r["rule"]: r for r in gate.failed_rows_scan(trips, checks).collect()}
     assert (found["few"]["failed_rows"], found["few"]["outcome"]) == (5, "fail")
     assert (found["soft"]["failed_rows"], found["soft"]["outcome"]) == (2, "warn")

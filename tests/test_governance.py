@@ -74,7 +74,11 @@ def test_profile_per_partition(trips):
 
 def test_canonical_of_two_vocabularies(spark):
     t = datetime(2023, 3, 4, 5)
-    ddl = "VendorID bigint, passenger_count double, total_amount double, {0}_pickup_datetime timestamp, {0}_dropoff_datetime timestamp, source_file string, extra int"
+    ddl = (
+        "VendorID bigint, passenger_count double, total_amount double,"
+        " {0}_pickup_datetime timestamp, {0}_dropoff_datetime timestamp,"
+        " source_file string, extra int"
+    )
     yellow = spark.createDataFrame([(1, 1.0, 2.0, t, t, "f", 9)], ddl.format("tpep"))
     green = spark.createDataFrame([(2, 1.0, 3.0, None, t, "g", 9)], ddl.format("lpep"))
     out = harmonize.canonical([(yellow, YELLOW), (green, GREEN)], TAXI_TRIPS)
@@ -99,12 +103,16 @@ def test_kpis(trips):
 
 
 def test_extremes_break_ties_by_key(spark):
-    df = spark.createDataFrame([("b", 2.0), ("a", 2.0), ("d", 1.0), ("c", 1.0), ("e", None)], "k string, v double")
+    rows = [("b", 2.0), ("a", 2.0), ("d", 1.0), ("c", 1.0), ("e", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
     row = marts.extremes(df, "v", "k").first()
     assert (row["high_key"], row["low_key"], row["overall"]) == ("a", "c", 1.5)
 
 
-FACTS = "run_id string, rule string, dimension string, scope string, severity string, passed boolean, measured double, threshold double, captured_at timestamp"
+FACTS = (
+    "run_id string, rule string, dimension string, scope string, severity string,"
+    " passed boolean, measured double, threshold double, captured_at timestamp"
+)
 
 
 @pytest.fixture(scope="module")
@@ -117,7 +125,7 @@ def facts(spark):
             ("m", "a", "accuracy", "row", "error", True, 1.0, 1.0, new),
             ("m", "b", "validity", "row", "warning", True, 0.5, 1.0, new),
             ("m", "uniqueness_rate", "uniqueness", "aggregate", "warning", False, 0.3, 0.01, new),
-            ("m", "hard_quarantine_rate", "accuracy", "aggregate", "warning", True, 0.01, None, new),
+            ("m", "hard_quarantine_rate", "accuracy", "aggregate", "warning", True, 0.0, None, new),
         ],
         FACTS,
     )
@@ -149,7 +157,10 @@ def test_scorecard_and_reliability(facts):
 
 
 def test_preferred_layer_falls_back(spark):
-    ddl = "run_id string, layer string, table_name string, column_name string, metric string, metric_value double"
+    ddl = (
+        "run_id string, layer string, table_name string, column_name string, metric string,"
+        " metric_value double"
+    )
     rows = [("a", layer, "t", "x", "max", 1.0) for layer in ("raw", "clean")]
     rows += [("b", layer, "t", "x", "max", 1.0) for layer in ("raw", "consumption")]
     out = governance.preferred_layer(spark.createDataFrame(rows, ddl)).collect()
@@ -173,7 +184,10 @@ def test_share_of_nothing_is_unknown(spark, trips):
 
 @pytest.fixture(scope="module")
 def quarantine(spark):
-    rows = [(f"t{i}", "run", "a,b" if i % 2 else "b", "validity" if i % 3 else None) for i in range(60)]
+    rows = [
+        (f"t{i}", "run", "a,b" if i % 2 else "b", "validity" if i % 3 else None)
+        for i in range(60)
+    ]
     rows += [("x1", "old", "c, ,a", "accuracy"), ("x2", "lost", "a", "accuracy")]
     ddl = "trip_id string, dq_run_id string, dq_failed_rules string, dq_dominant_dimension string"
     return spark.createDataFrame(rows, ddl)
@@ -182,7 +196,11 @@ def quarantine(spark):
 @pytest.fixture(scope="module")
 def captures(spark):
     ddl = "run_id string, captured_at timestamp"
-    rows = [("run", datetime(2024, 2, 8, 23)), ("old", datetime(2024, 2, 1)), ("run", datetime(2024, 2, 2))]
+    rows = [
+        ("run", datetime(2024, 2, 8, 23)),
+        ("old", datetime(2024, 2, 1)),
+        ("run", datetime(2024, 2, 2)),
+    ]
     return triage.run_captures(spark.createDataFrame(rows, ddl))
 
 
@@ -203,14 +221,18 @@ def test_ageing_counts_runs_with_a_capture(quarantine, captures):
     assert (ages["run"]["quarantined_rows"], ages["run"]["max_days"]) == (60, 2)
     assert ages["old"]["avg_days"] == 9.0
     buckets = triage.age_buckets(quarantine, captures, "2024-02-10").collect()
-    assert [(r["age_bucket"], r["row_count"]) for r in buckets] == [("1-3 days", 60), ("8+ days", 1)]
+    assert [(r["age_bucket"], r["row_count"]) for r in buckets] == [
+        ("1-3 days", 60),
+        ("8+ days", 1),
+    ]
     today = triage.age_buckets(quarantine, captures, "2024-02-08").collect()
     assert [r["age_bucket"] for r in today] == ["today", "4-7 days"]
 
 
 def test_sample_is_capped_repeatable_and_seeded(quarantine):
     def draw(seed):
-        return {r["trip_id"] for r in triage.stratified_sample(quarantine, seed, ["trip_id"], 5).collect()}
+        drawn = triage.stratified_sample(quarantine, seed, ["trip_id"], 5)
+        return {r["trip_id"] for r in drawn.collect()}
 
     first = draw("1")
     assert len(first) == 5 + 5 + 1 + 1

@@ -114,7 +114,8 @@ def test_missing_key_parts_are_equal(spark):
 
 @pytest.mark.parametrize("sizes", [[3], [1, 4], [1, 2, 3, 4], [5, 5, 1, 9, 2]])
 def test_volume_ratio_uses_the_upper_median(spark, sizes):
-    df = spark.createDataFrame([(str(i),) for i, n in enumerate(sizes) for _ in range(n)], "m string")
+    rows = [(str(i),) for i, n in enumerate(sizes) for _ in range(n)]
+    df = spark.createDataFrame(rows, "m string")
     row = metrics.volume_ratio(df, "m").first()
     median = sorted(sizes)[len(sizes) // 2]
     assert row["median_period"] == median
@@ -130,8 +131,8 @@ def test_row_results_supersede_aggregate_ones(spark):
     schema = "run_id string, rule string, measured double"
     rows = spark.createDataFrame([("r", "a", 1.0)], schema)
     aggregate = spark.createDataFrame([("r", "a", 0.5), ("r", "b", 0.2), ("s", "a", 0.1)], schema)
-    merged = {(r["run_id"], r["rule"]): r["measured"] for r in metrics.merge_results(rows, aggregate).collect()}
-    assert merged == {("r", "a"): 1.0, ("r", "b"): 0.2, ("s", "a"): 0.1}
+    merged = metrics.merge_results(rows, aggregate).collect()
+    assert {(r["run_id"], r["rule"]): r["measured"] for r in merged} == {("r", "a"): 1.0, ("r", "b"): 0.2, ("s", "a"): 0.1}
 
 
 def test_category_presence(spark):
@@ -200,7 +201,8 @@ def test_undeclared_outputs(spark):
     models = {"a": (ColumnSpec("x", "long"),)}
     a = spark.createDataFrame([(1, None), (2, 3)], "x long, y long")
     found = metrics.undeclared_outputs({"a": a, "b": a.select("x")}, models).collect()
-    assert {(r["object"], r["column_name"], r["filled_rows"], r["object_declared"]) for r in found} == {
+    names = ("object", "column_name", "filled_rows", "object_declared")
+    assert {tuple(r[n] for n in names) for r in found} == {
         ("a", "y", 1, True),
         ("b", "x", 2, False),
     }

@@ -125,7 +125,8 @@ def test_missing_part_fails(spark, tmp_path):
     land(spark, tmp_path / "landing")
     spec = replace(taxi.TAXI_TRIPS, periods=(*taxi.PERIODS, "2023-06"))
     with pytest.raises(Exception, match="2023-06"):
-        run_product(spark, spec, new_store(tmp_path), "r", f"{tmp_path}/landing/{taxi.FEED_PATH}", AT)
+        template = f"{tmp_path}/landing/{taxi.FEED_PATH}"
+        run_product(spark, spec, new_store(tmp_path), "r", template, AT)
 
 
 def test_missing_category_and_month_block_the_gate(spark, tmp_path):
@@ -135,7 +136,8 @@ def test_missing_category_and_month_block_the_gate(spark, tmp_path):
         expected_categories=("yellow", "green", "blue"),
     )
     store = new_store(tmp_path)
-    results = run_product(spark, spec, store, "r", f"{tmp_path}/landing/{taxi.FEED_PATH}", AT)
+    template = f"{tmp_path}/landing/{taxi.FEED_PATH}"
+    results = run_product(spark, spec, store, "r", template, AT)
     assert results[-1].job == "build_clean"
     assert results[-1].blocked_by == ("month_coverage", "taxi_type=blue")
     stored = spark.table(store.name("governance", "dq_validation_result"))

@@ -391,7 +391,8 @@ SELECT trip_id, vendor_id AS "VendorID", passenger_count, total_amount, fleet_ov
        CASE WHEN feed = 'green' THEN dropoff_datetime END AS lpep_dropoff_datetime,
        feed AS taxi_type_hint
 FROM feed_rows""",
-    "feed_counts": f"WITH {FEED_ROWS} SELECT feed, count(*) AS row_count FROM feed_rows GROUP BY feed",
+    "feed_counts": f"""WITH {FEED_ROWS}
+SELECT feed, count(*) AS row_count FROM feed_rows GROUP BY feed""",
     "write_roundtrip": f"WITH {GATED} SELECT {TRIP_COLUMNS} FROM clean_{L}",
     "governance_append": f"""WITH {FACTS}
 SELECT * EXCLUDE (captured_at) REPLACE (

@@ -45,20 +45,18 @@ def instants_as_text(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in columns})
 
 
-def stored_facts(runs: Iterable[DataFrame]) -> DataFrame:
-    """Facts of several runs, appended run by run and read back as one table."""
-    path = None
-    for facts in runs:
-        spark = facts.sparkSession
-        path = path or tables.shared_dir(spark)
-        tables.append_facts(facts, path)
-    return tables.read_facts(spark, path)
-
-
 def union(parts: Iterable[DataFrame]) -> DataFrame:
     return feeds.union_parts(parts)
 
 
+def stored(runs: Iterable[DataFrame]) -> DataFrame:
+    """Both runs' facts as a table, for reads that look at them twice.
+
+    They are written by one job, in which the second run reuses the first one's shuffles.
+    """
+    return tables.staged(union(runs))
+
+
 def clean(spark: SparkSession, sf_dir: str, spec: ProductSpec = b.SPEC) -> DataFrame:
     return gate.clean_rows(b.trips(spark, sf_dir), spec.row_rules)
 
@@ -285,7 +283,10 @@ def write_roundtrip(spark, sf_dir):
 @query
 def governance_append(spark, sf_dir):
     earlier, latest = validations(spark, sf_dir)
-    return stored_facts([earlier.drop("threshold"), latest]).drop("captured_at")
+    path = tables.shared_dir(spark)
+    tables.append_facts(earlier.drop("threshold"), path)
+    tables.append_facts(latest, path)
+    return tables.read_facts(spark, path).drop("captured_at")
 
 
 MONTHLY_SQL = """
@@ -548,7 +549,7 @@ def profile_by_partition(spark, sf_dir):
 
 @query
 def profile_latest(spark, sf_dir):
-    facts = governance.profile_latest(stored_facts(profiles(spark, sf_dir)))
+    facts = governance.profile_latest(stored(profiles(spark, sf_dir)))
     return instants_as_text(rounded(facts, 5, "metric_value"), "captured_at")
 
 
@@ -591,7 +592,7 @@ def kpi_hourly_avg(spark, sf_dir):
 
 @query
 def kpi_latest_run(spark, sf_dir):
-    kpis = stored_facts(monthly_kpi(spark, sf_dir, *run) for run in RUNS)
+    kpis = stored(monthly_kpi(spark, sf_dir, *run) for run in RUNS)
     instants = kpis.withColumnRenamed("computed_at", "captured_at")
     run = governance.latest_run(instants)
     return governance.kpi_of_run(
@@ -601,7 +602,7 @@ def kpi_latest_run(spark, sf_dir):
 
 @query
 def kpi_null_share(spark, sf_dir):
-    kpis = stored_facts(hourly_kpi(spark, sf_dir, run, at) for _, run, at in RUNS)
+    kpis = stored(hourly_kpi(spark, sf_dir, run, at) for _, run, at in RUNS)
     run = governance.latest_run(kpis.withColumnRenamed("computed_at", "captured_at"))
     return governance.kpi_null_share(kpis.drop("computed_at"), run, "passenger_count")
 
@@ -632,7 +633,7 @@ def scorecard(spark, sf_dir):
 
 @query
 def scorecard_latest_run(spark, sf_dir):
-    facts = stored_facts(validations(spark, sf_dir))
+    facts = stored(validations(spark, sf_dir))
     return governance.scorecard_of_run(facts, governance.latest_run(facts))
 
 
@@ -649,13 +650,13 @@ def run_list(spark, sf_dir):
 
 @query
 def failed_rules(spark, sf_dir):
-    facts = stored_facts(validations(spark, sf_dir))
+    facts = stored(validations(spark, sf_dir))
     return governance.failed_rules(facts, governance.latest_run(facts))
 
 
 @query
 def rule_detail(spark, sf_dir):
-    facts = stored_facts(validations(spark, sf_dir))
+    facts = stored(validations(spark, sf_dir))
     return governance.rule_detail(facts, governance.latest_run(facts))
 
 
@@ -667,7 +668,7 @@ def reliability_rollup(spark, sf_dir):
 
 @query
 def fitness_latest_run(spark, sf_dir):
-    facts = stored_facts(fitness_facts(spark, sf_dir))
+    facts = stored(fitness_facts(spark, sf_dir))
     return governance.fitness_of_run(facts, governance.latest_run(facts))
 
 

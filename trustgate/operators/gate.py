@@ -92,9 +92,9 @@ def mark(
     Written once, partitioned by ``dq_quarantined``, this one table serves clean and
     quarantine from a single pass over the input.
     """
-    columns = trail_columns(rules, run_id, quarantined_at)
+    columns = trail_columns(rules, run_id, quarantined_at).items()
     return df.selectExpr("*", f"NOT {accepted(rules)} AS dq_quarantined").selectExpr(
-        "*", *[f"CASE WHEN dq_quarantined THEN {sql} END AS {name}" for name, sql in columns.items()]
+        "*", *[f"CASE WHEN dq_quarantined THEN {sql} END AS {name}" for name, sql in columns]
     )
 
 

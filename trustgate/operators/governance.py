@@ -12,7 +12,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trustgate.functions.expressions import gap_level, literal, quoted, rate_level, rounded, share_pct
+from trustgate.functions.expressions import (
+    gap_level,
+    literal,
+    quoted,
+    rate_level,
+    rounded,
+    share_pct,
+)
 from trustgate.plans.spec import RowRule
 
 

@@ -233,7 +233,10 @@ class ProductSpec:
             if _one_of("scope", rule["scope"], ("row", "aggregate"), rule["name"]) == "row":
                 row_rules.append(
                     RowRule(
-                        rule["name"], rule["dimension"], rule["severity"], rule.get("expression", "")
+                        rule["name"],
+                        rule["dimension"],
+                        rule["severity"],
+                        rule.get("expression", ""),
                     )
                 )
             else:
