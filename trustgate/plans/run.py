@@ -34,13 +34,16 @@ class Store:
     """Where a product's tables live.
 
     ``prefix`` goes before the layer names, so that several products share one catalog.
-    ``location`` is the folder for new namespaces, the warehouse by default.
+    ``location`` is the folder for new namespaces, the warehouse by default. ``rebalance``
+    shuffles the gated rows into their partitions before they are written; turn it off where
+    landing parts already hold a period each and a few small files cost less than the shuffle.
     """
 
     catalog: str = ""
     prefix: str = ""
     location: str | None = None
     fmt: str = "parquet"
+    rebalance: bool = True
 
     def schema(self, layer: str) -> str:
         return self.prefix + layer
@@ -143,7 +146,13 @@ def build_clean(run: Run) -> JobResult:
     canonical = run.canonical()
     marked = gate.mark(canonical, spec.row_rules, run.run_id, run.captured_at)
     gated_name = store.name("clean", GATED)
-    tables.write_table(marked, gated_name, ["dq_quarantined", spec.period], store.fmt)
+    tables.write_table(
+        marked,
+        gated_name,
+        ["dq_quarantined", spec.period],
+        store.fmt,
+        rebalance=store.rebalance,
+    )
 
     columns = ", ".join(quoted(c) for c in canonical.columns)
     trail = ", ".join(gate.trail_columns(spec.row_rules, run.run_id))
