@@ -77,6 +77,27 @@ def test_overwrite_replaces_rows_partitions_and_schema(spark, schema):
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
 
 
+def test_failed_overwrite_leaves_the_old_table(spark, schema):
+    name = tables.qualified(schema, "t")
+    df = spark.createDataFrame([(1, "a", True), (2, "b", None)], "id int, m string, f boolean")
+    tables.write_table(df, name, ["m", "f"])
+    assert spark.table(name).dtypes == [("id", "int"), ("m", "string"), ("f", "boolean")]
+    broken = df.selectExpr("id", "m", "CAST(raise_error('stop') AS BOOLEAN) AS f")
+    with pytest.raises(Exception, match="stop"):
+        tables.write_table(broken, name, ["m"])
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == [
+        (1, "a", True),
+        (2, "b", None),
+    ]
+
+
+def test_a_table_may_be_replaced_from_itself(spark, schema):
+    name = tables.qualified(schema, "t")
+    tables.write_table(spark.range(5).toDF("id"), name)
+    tables.write_table(spark.table(name).where("id > 2"), name)
+    assert spark.table(name).count() == 2
+
+
 def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
     """Two thirds of the rows share a month; no task writes them all, small months stay whole."""
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")

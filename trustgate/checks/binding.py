@@ -30,6 +30,7 @@ AS_OF = "2024-02-10"
 SEED = "42"
 
 STATUS = {"yellow": "F", "green": "O"}
+LABEL = "CASE l_linestatus WHEN 'F' THEN 'yellow' WHEN 'O' THEN 'green' END"
 
 FEEDS = tuple(
     replace(feed, carry=("trip_id",), label_override="fleet_override")
@@ -104,13 +105,11 @@ def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def raw_feed(spark: SparkSession, sf_dir: str, feed: FeedSpec, *extra: str) -> DataFrame:
-    """One feed under its own column names, with extra columns if asked."""
+def raw_feed(spark: SparkSession, sf_dir: str, feed: FeedSpec) -> DataFrame:
+    """One feed under its own column names."""
     rows = joined(spark, sf_dir).where(F.col("l_linestatus") == STATUS[feed.label])
-    names = {**feed.columns, "trip_id": "trip_id", "fleet_override": "fleet_override"}
-    return rows.selectExpr(
-        *[f"{sql} AS {names[name]}" for name, sql in TRIP_VALUES.items()], *extra
-    )
+    values = rows.selectExpr(*[f"{sql} AS {name}" for name, sql in TRIP_VALUES.items()])
+    return values.withColumnsRenamed(dict(feed.columns))
 
 
 def raw_feeds(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, FeedSpec]]:
@@ -124,11 +123,8 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     the label is taken from the slice's own column.
     """
     rows = joined(spark, sf_dir).where(F.col("l_linestatus").isin(*STATUS.values()))
-    label = "CASE l_linestatus " + " ".join(
-        f"WHEN '{status}' THEN '{name}'" for name, status in STATUS.items()
-    )
     named = rows.selectExpr(
-        *[f"{sql} AS {name}" for name, sql in TRIP_VALUES.items()], f"{label} END AS label"
+        *[f"{sql} AS {name}" for name, sql in TRIP_VALUES.items()], f"{LABEL} AS label"
     )
     return named.selectExpr(
         *[name for name in TRIP_VALUES if name != "fleet_override"],

@@ -179,26 +179,29 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     """Write both feeds as yearly parts and return the path template of a part.
 
     Parts before 1998 hold vendors as doubles and whole passenger counts, and lack the
-    surcharge; later parts hold the surcharge as text.
+    surcharge; later parts hold the surcharge as text. The tables are joined once; the
+    parts are written from the stored result, which lies in their order already.
     """
-    root = tables.shared_dir(spark)
     keys = ["feed", "period"]
-    for feed in b.FEEDS:
-        rows = b.raw_feed(
-            spark,
-            sf_dir,
-            feed,
-            f"'{feed.label}' AS feed",
+    rows = tables.staged(
+        b.joined(spark, sf_dir).selectExpr(
+            f"{b.LABEL} AS feed",
             "date_format(o_orderdate, 'yyyy') AS period",
+            *[f"{sql} AS {name}" for name, sql in b.TRIP_VALUES.items()],
             "CAST(l_tax AS STRING) AS congestion_surcharge",
-        )
+        ),
+        keys,
+    )
+    root = tables.shared_dir(spark)
+    for feed in b.FEEDS:
+        own = rows.where(F.col("feed") == feed.label).withColumnsRenamed(dict(feed.columns))
         early = feeds.align_types(
-            rows.where(F.col("period") < DRIFT_YEAR).drop("congestion_surcharge"),
+            own.where(F.col("period") < DRIFT_YEAR).drop("congestion_surcharge"),
             {"VendorID": "double", "passenger_count": "bigint"},
         )
-        late = rows.where(F.col("period") >= DRIFT_YEAR)
+        late = own.where(F.col("period") >= DRIFT_YEAR)
         for part in (early, late):
-            tables.by_partition(part, keys).write.mode("append").partitionBy(*keys).parquet(root)
+            part.write.mode("append").partitionBy(*keys).parquet(root)
     return root + "/feed={feed}/period={period}"
 
 
