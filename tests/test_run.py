@@ -112,13 +112,33 @@ def test_two_runs_end_to_end(spark, tmp_path):
     assert january["avg_total_amount"] == pytest.approx((10 + 11 + 12 + 13 - 5) / 5)
 
 
-def test_run_stops_at_the_job_that_blocks(spark, tmp_path):
+@pytest.mark.parametrize("publish_blocked", [False, True])
+def test_run_stops_at_the_job_that_blocks(spark, tmp_path, publish_blocked):
     land(spark, tmp_path / "landing", skip_green_late_hours=True)
-    results = run_product(
-        spark, taxi.TAXI_TRIPS, new_store(tmp_path), "r", f"{tmp_path}/landing/{taxi.FEED_PATH}", AT
-    )
+    store = replace(new_store(tmp_path), publish_blocked=publish_blocked)
+    template = f"{tmp_path}/landing/{taxi.FEED_PATH}"
+    results = run_product(spark, taxi.TAXI_TRIPS, store, "r", template, AT)
     assert [r.job for r in results] == ["ingest", "build_clean", "publish_consumption"]
     assert results[-1].blocked_by == ("q2_hours_coverage",)
+    assert spark.table(store.name("governance", "vw_fitness_summary")).count() == 3
+    assert spark.catalog.tableExists(store.name("consumption", "taxi_trips")) is publish_blocked
+
+
+def test_blocked_gate_leaves_the_published_rows(spark, tmp_path):
+    land(spark, tmp_path / "landing")
+    store = new_store(tmp_path)
+    template = f"{tmp_path}/landing/{taxi.FEED_PATH}"
+    run_product(spark, taxi.TAXI_TRIPS, store, "good", template, AT)
+    clean = store.name("clean", "taxi_trips")
+    before = spark.table(clean).count()
+    strict = taxi.TAXI_TRIPS.with_rule("year_month_in_window", "year_month = '2023-01'")
+    results = run_product(spark, strict, store, "bad-1", template, AT)
+    assert results[-1].blocked_by == ("month_coverage",)
+    assert spark.table(clean).count() == before
+    runs = spark.table(store.name("clean", "taxi_trips_quarantine")).select("dq_run_id").distinct()
+    assert [r[0] for r in runs.collect()] == ["good"]
+    kept = spark.table(store.name("clean", "taxi_trips_gated_bad_1"))
+    assert kept.where("dq_quarantined").count() > 2
 
 
 def test_missing_part_fails(spark, tmp_path):

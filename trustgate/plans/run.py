@@ -7,6 +7,7 @@ its facts are stored either way.
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import partial
@@ -24,7 +25,6 @@ logger = logging.getLogger(__name__)
 
 LAYERS = ("raw", "clean", "consumption", "governance")
 TRIPS = "taxi_trips"
-GATED = "taxi_trips_gated"
 QUARANTINE = "taxi_trips_quarantine"
 FACTS = ("data_profile", "dq_validation_result", "fitness_for_use_result")
 
@@ -37,6 +37,7 @@ class Store:
     ``location`` is the folder for new namespaces, the warehouse by default. ``rebalance``
     shuffles the gated rows into their partitions before they are written; turn it off where
     landing parts already hold a period each and a few small files cost less than the shuffle.
+    ``publish_blocked`` replaces tables and views even when a rule blocks the run.
     """
 
     catalog: str = ""
@@ -44,6 +45,7 @@ class Store:
     location: str | None = None
     fmt: str = "parquet"
     rebalance: bool = True
+    publish_blocked: bool = False
 
     def schema(self, layer: str) -> str:
         return self.prefix + layer
@@ -136,81 +138,80 @@ def ingest(run: Run, template: str) -> JobResult:
     return JobResult("ingest", empty, rows)
 
 
+def gated_table(run: Run) -> str:
+    """The marked rows of one run, under a name of their own."""
+    return run.store.name("clean", f"{TRIPS}_gated_{re.sub(r'[^0-9A-Za-z]', '_', run.run_id)}")
+
+
 def build_clean(run: Run) -> JobResult:
     """Raw to clean and quarantine, every rule scored, the clean layer profiled.
 
-    The marked rows are written once. Clean and quarantine are views on that table's
-    partitions; rule counts, aggregate metrics and profile read the stored columns.
+    The marked rows are written once, to a table of the run. Rule counts, aggregate metrics
+    and profile read its columns; then the clean and quarantine views are pointed at its
+    partitions, unless a rule blocks.
     """
     spec, store, spark = run.spec, run.store, run.spark
     canonical = run.canonical()
     marked = gate.mark(canonical, spec.row_rules, run.run_id, run.captured_at)
-    gated_name = store.name("clean", GATED)
-    tables.write_table(
-        marked,
-        gated_name,
-        ["dq_quarantined", spec.period],
-        store.fmt,
-        rebalance=store.rebalance,
-    )
-
-    columns = ", ".join(quoted(c) for c in canonical.columns)
-    trail = ", ".join(gate.trail_columns(spec.row_rules, run.run_id))
-    tables.publish_views(
-        spark,
-        {
-            TRIPS: f"SELECT {columns} FROM {gated_name} WHERE NOT dq_quarantined",
-            QUARANTINE: f"SELECT {columns}, {trail} FROM {gated_name} WHERE dq_quarantined",
-        },
-        store.schema("clean"),
-        store.catalog,
-    )
+    name = gated_table(run)
+    partitions = ["dq_quarantined", spec.period]
+    tables.write_table(marked, name, partitions, store.fmt, rebalance=store.rebalance)
 
-    gated = spark.table(gated_name)
+    gated = spark.table(name)
     measures = metrics.measure(gated, spec, "NOT dq_quarantined", spec.row_rules)
     facts = metrics.validation_rows(measures, spec, run.run_id, run.captured_at)
     run.append(facts, "dq_validation_result")
-    clean = run.table("clean", TRIPS)
+    clean = gated.where("NOT dq_quarantined").select(*canonical.columns)
     run.profile(clean, "clean", TRIPS)
 
-    rows = {TRIPS: clean.count(), QUARANTINE: run.table("clean", QUARANTINE).count()}
+    rows = {TRIPS: clean.count(), QUARANTINE: gated.where("dq_quarantined").count()}
     blocked = names_in(metrics.blocking(run.facts("dq_validation_result")))
     presence = metrics.category_presence(clean, spec.category, spec.expected_categories)
     wrong = names_in(presence.where("NOT passed").selectExpr("coalesce(category, 'NULL')"))
-    blocked += tuple(f"{spec.category}={name}" for name in wrong)
+    blocked += tuple(f"{spec.category}={category}" for category in wrong)
     if not any(rows.values()):
         blocked += ("empty input",)
+
+    if store.publish_blocked or not blocked:
+        columns = ", ".join(quoted(c) for c in canonical.columns)
+        trail = ", ".join(gate.trail_columns(spec.row_rules, run.run_id))
+        views = {
+            TRIPS: f"SELECT {columns} FROM {name} WHERE NOT dq_quarantined",
+            QUARANTINE: f"SELECT {columns}, {trail} FROM {name} WHERE dq_quarantined",
+        }
+        tables.publish_views(spark, views, store.schema("clean"), store.catalog)
     return JobResult("build_clean", blocked, rows)
 
 
 def publish_consumption(run: Run) -> JobResult:
-    """Clean to the consumer table and its renamed view, checked for fitness and profiled."""
+    """Clean to the consumer table and its renamed view, checked for fitness and profiled.
+
+    Fitness looks at the rows about to be published; the table is replaced unless it blocks.
+    """
     spec, store, spark = run.spec, run.store, run.spark
-    name = store.name("consumption", TRIPS)
     published = marts.consumption(run.table("clean", TRIPS), spec.consumption_columns)
-    # The gated table already lies in period order, file by file: no second shuffle.
-    tables.write_table(published, name, [spec.period], store.fmt, rebalance=False)
-    tables.publish_views(
-        spark,
-        {"vw_taxi_trips_tlc": rename_view(name, spec)},
-        store.schema("consumption"),
-        store.catalog,
-    )
-    consumption = spark.table(name)
-    rows = {TRIPS: consumption.count()}
+    rows = {TRIPS: published.count()}
     if rows[TRIPS] == 0:
         return JobResult("publish_consumption", ("empty consumption",), rows)
     facts = metrics.fitness_rows(
-        metrics.fitness_measures(consumption, spec),
+        metrics.fitness_measures(published, spec),
         spec.fitness_rules,
         run.run_id,
         run.captured_at,
     )
     run.append(facts, "fitness_for_use_result")
-    run.profile(consumption, "consumption", TRIPS)
     tables.publish_views(spark, governance_views(store), store.schema("governance"), store.catalog)
     failed = metrics.blocking_fitness(run.facts("fitness_for_use_result"), spec.fitness_rules)
-    return JobResult("publish_consumption", names_in(failed), rows)
+    blocked = names_in(failed)
+
+    if store.publish_blocked or not blocked:
+        name = store.name("consumption", TRIPS)
+        # The gated table already lies in period order, file by file: no second shuffle.
+        tables.write_table(published, name, [spec.period], store.fmt, rebalance=False)
+        views = {"vw_taxi_trips_tlc": rename_view(name, spec)}
+        tables.publish_views(spark, views, store.schema("consumption"), store.catalog)
+        run.profile(spark.table(name), "consumption", TRIPS)
+    return JobResult("publish_consumption", blocked, rows)
 
 
 def analyse(run: Run) -> JobResult:
