@@ -259,7 +259,11 @@ def run_product(
     template: str,
     captured_at: str | None = None,
 ) -> list[JobResult]:
-    """All jobs in order, stopping after the first that blocks."""
+    """All jobs in order, stopping after the first that blocks.
+
+    Periods and hours are those of UTC: the session's time zone is set to it.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     run = Run(spark, spec, store, run_id, captured_at)
     results = []
     jobs = (partial(ingest, template=template), build_clean, publish_consumption, analyse)
