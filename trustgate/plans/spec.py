@@ -151,7 +151,8 @@ class FeedSpec:
 class ProductSpec:
     """One governed product: feeds, rules, declared columns and the key facts about its tables.
 
-    ``periods`` are the periods it promises to cover, ``parts`` the landing parts of each feed
+    ``period`` is the event time in ``period_format`` and nothing else: equal event times share
+    a period. ``periods`` are the periods it promises to cover, ``parts`` the landing parts of each feed
     where they are not one per period.
     """
 
