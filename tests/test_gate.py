@@ -188,3 +188,15 @@ def test_bad_specs_raise():
         compare("x", 1, "near")
     with pytest.raises(SpecError):
         replace(TAXI_TRIPS, row_rules=ROW_RULES + ROW_RULES[:1])
+
+
+@pytest.mark.parametrize("name", ["passenger_count_range", "vendor_id_not_null"])
+def test_mandatory_rules_keep_their_severity(name):
+    other = {"error": "warning", "warning": "error"}
+    changed = tuple(
+        replace(r, severity=other[r.severity]) if r.name == name else r for r in ROW_RULES
+    )
+    with pytest.raises(SpecError, match=name):
+        replace(TAXI_TRIPS, row_rules=changed)
+    with pytest.raises(SpecError, match=name):
+        replace(TAXI_TRIPS, row_rules=tuple(r for r in ROW_RULES if r.name != name))

@@ -9,7 +9,7 @@ from datetime import datetime
 import pytest
 
 from tests.test_gate import ROWS, SCHEMA
-from trustgate import ColumnSpec, FitnessRule, ProductSpec
+from trustgate import ColumnSpec, FitnessRule, ProductSpec, SpecError
 from trustgate.operators import gate, metrics
 from trustgate.plans.taxi import (
     AGGREGATE_RULES,
@@ -250,3 +250,8 @@ def test_contract_mapping_builds_the_product():
     assert spec.profile == TAXI_TRIPS.profile
     assert spec.models["taxi_trips"] == TRIP_COLUMNS
     assert [c.severity for c in spec.checks] == ["error", "warning"]
+    for block in ("fitness_for_use", "profiling"):
+        with pytest.raises(SpecError, match=block.split("_")[0]):
+            ProductSpec.from_contract({**contract, block: None})
+    with pytest.raises(SpecError, match="severity"):
+        ProductSpec.from_contract({**contract, "quality": [{"name": "a", "scope": "row"}]})

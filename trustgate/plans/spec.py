@@ -152,7 +152,8 @@ class ProductSpec:
     """One governed product: feeds, rules, declared columns and the key facts about its tables.
 
     ``period`` is the event time in ``period_format`` and nothing else: equal event times share
-    a period. ``periods`` are the periods it promises to cover, ``parts`` the landing parts of each feed
+    a period. ``mandatory_rules`` names row rules that must be declared, with the severity each
+    must have. ``periods`` are the periods it promises to cover, ``parts`` the landing parts of each feed
     where they are not one per period.
     """
 
@@ -161,6 +162,7 @@ class ProductSpec:
     aggregate_rules: tuple[AggregateRule, ...] = ()
     fitness_rules: tuple[FitnessRule, ...] = ()
     checks: tuple[FailedRowsCheck, ...] = ()
+    mandatory_rules: Mapping[str, str] = field(default_factory=dict)
     profile: ProfileSpec = field(default_factory=lambda: ProfileSpec(()))
     models: Mapping[str, tuple[ColumnSpec, ...]] = field(default_factory=dict)
     business_key: tuple[str, ...] = ()
@@ -183,6 +185,10 @@ class ProductSpec:
         _unique("rule names", [r.name for r in (*self.row_rules, *self.aggregate_rules)])
         _unique("fitness rule names", [r.name for r in self.fitness_rules])
         _unique("check names", [c.name for c in self.checks])
+        declared = {r.name: r.severity for r in self.row_rules}
+        for name, severity in self.mandatory_rules.items():
+            if declared.get(name) != severity:
+                raise SpecError(f"{name}: must be a row rule of severity {severity}")
 
     @property
     def hard_rules(self) -> tuple[RowRule, ...]:
@@ -225,7 +231,12 @@ class ProductSpec:
         ``profiling`` the profile and ``models`` the declared columns. ``checks`` is a
         ``{"checks for <table>": [{"failed rows": {...}}]}`` mapping. Everything a contract
         does not state (business key, periods, expected categories) comes as ``settings``.
+        A contract without fitness rules or profiled columns is refused.
         """
+        if not contract.get("fitness_for_use"):
+            raise SpecError("a contract needs fitness_for_use rules")
+        if not (contract.get("profiling") or {}).get("columns"):
+            raise SpecError("a contract needs profiling columns")
         row_rules, aggregate_rules = [], []
         for rule in contract.get("quality") or ():
             missing = [k for k in ("name", "dimension", "scope", "severity") if k not in rule]
@@ -260,9 +271,9 @@ class ProductSpec:
                 rule.get("severity", "error"),
                 rule.get("use_case", ""),
             )
-            for rule in contract.get("fitness_for_use") or ()
+            for rule in contract["fitness_for_use"]
         )
-        profiling = contract.get("profiling") or {}
+        profiling = contract["profiling"]
         models = {
             name: tuple(
                 ColumnSpec(
@@ -293,7 +304,7 @@ class ProductSpec:
             fitness_rules=fitness,
             checks=tuple(failed_rows),
             profile=ProfileSpec(
-                tuple(profiling.get("columns") or ()),
+                tuple(profiling["columns"]),
                 tuple(profiling.get("metrics") or PROFILE_METRICS),
             ),
             models=models,

@@ -68,6 +68,20 @@ ROW_RULES = (
     RowRule("vendor_id_enum", "validity", "warning", "vendor_id IN (1, 2)"),
 )
 
+# Amounts below zero may be refunds and missing passenger counts are common: removing those rows
+# would bias the averages, so these two rules may never turn hard.
+MANDATORY_RULES = {
+    "dropoff_after_pickup": "error",
+    "vendor_id_not_null": "error",
+    "total_amount_not_null": "error",
+    "pickup_not_null": "error",
+    "dropoff_not_null": "error",
+    "taxi_type_valid": "error",
+    "year_month_in_window": "error",
+    "passenger_count_range": "warning",
+    "total_amount_non_negative": "warning",
+}
+
 CHECKS = (
     FailedRowsCheck("dropoff_after_pickup",
                     "dropoff_datetime IS NULL OR pickup_datetime IS NULL"
@@ -161,6 +175,7 @@ TAXI_TRIPS = ProductSpec(
     aggregate_rules=AGGREGATE_RULES,
     fitness_rules=FITNESS_RULES,
     checks=CHECKS,
+    mandatory_rules=MANDATORY_RULES,
     profile=ProfileSpec(CONSUMPTION_COLUMNS),
     models=MODELS,
     business_key=(
