@@ -22,6 +22,8 @@ SEED = 20_011
 BUCKET_BYTES = 16 << 20
 #: Rows of a bucket on average, for tables of very short texts.
 BUCKET_ROWS = 200_000
+#: Buckets whose first slots are sent to all tasks when shards are read.
+SENT_BUCKETS = 100_000
 
 
 def shard_of(doc_id: Column, shards: int, seed: int = SEED) -> Column:
@@ -103,6 +105,9 @@ def read_shards(docs: DataFrame, path: str) -> DataFrame:
     starts = counts.select(
         "shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
     )
+    # A few numbers per bucket: sent to the rows where they are few, else rows are dealt to them.
+    if starts.count() <= SENT_BUCKETS:
+        starts = F.broadcast(starts)
     return files.join(starts, ["shard", "bucket"]).select(
         "shard", (F.col("start") + F.col("place")).alias("slot"), "size", "row"
     )
