@@ -14,8 +14,10 @@ import re
 #: White space before a space: there a text isn't cut.
 BLANK = re.compile(r"\s ")
 #: Pieces and pre-tokens of one generation of a worker's memory.
-PIECES = 150_000
-TOKENS = 500_000
+PIECES = 250_000
+TOKENS = 600_000
+#: Signs that end a plain piece; a run of them is one match.
+SIGNS = ".,;:!?#*$%&|<>"
 #: Longer ones are encoded without being remembered.
 LONGEST = 64
 
@@ -61,16 +63,22 @@ class Memory(dict):
 
 
 def parts_of(piece: str) -> tuple[str, ...] | None:
-    """Pre-tokens of a plain piece: letters, maybe after a space, maybe before a stop or comma.
+    """Pre-tokens of a plain piece, or None for any other piece.
 
-    None for any other piece. Only letters below U+0250 count as plain, on which all versions of
-    the character tables agree.
+    Plain are letters, maybe after a space and before signs, and two of those with one line end
+    between them. Only letters below U+0250 count, on which all character tables agree.
     """
     body = piece[1:] if piece[:1] == " " else piece
     if body.isalpha():
         return (piece,) if max(body) < "\u0250" else None
-    if body[-1:] in (".", ",") and body[:-1].isalpha() and max(body) < "\u0250":
-        return piece[:-1], body[-1]
+    line, end, rest = piece.partition("\n")
+    if end:
+        first, second = parts_of(line), rest[:1] != " " and parts_of(rest)
+        return (*first, end, *second) if first and second else None
+    word = body.rstrip(SIGNS)
+    if word.isalpha() and max(word) < "\u0250":
+        at = len(piece) - len(body) + len(word)
+        return piece[:at], piece[at:]
     return None
 
 

@@ -138,7 +138,10 @@ def _memory(path: str) -> TextMemory:
     if tokenizer.normalizer is not None:
         raise ValueError("texts are cut before encoding, so a normalizer can't be applied")
     cut_up, run = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
-    shown = {ord(" "): cut_up(" ")[0][0]}
+    # Byte-level files show printable bytes as themselves, the others as characters from 256 on.
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    shown = {b: 256 + i for i, b in enumerate(others)}
 
     def split(piece: str) -> list[str]:
         """Pre-tokens, which the library gives with bytes shown as characters."""
@@ -147,10 +150,8 @@ def _memory(path: str) -> TextMemory:
     def encode(token: str) -> bytes:
         if token[0] == SHOWN:
             token = token[1:]
-        elif token.isascii():
-            token = token.translate(shown)
         else:
-            token = cut_up(token)[0][0]
+            token = token.encode().decode("latin-1").translate(shown)
         return array("I", [t.id for t in run(token)]).tobytes()
 
     return TextMemory(split, encode)
