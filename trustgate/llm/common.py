@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 #: Rows and text bytes handled at once inside a task; a longer text makes a batch of its own.
 BATCH_ROWS = 2_000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
