@@ -12,7 +12,7 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Callable
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -121,18 +121,25 @@ def merge(token: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Codec:
-    """Encoder and decoder over one file of ranks."""
+    """Encoder and decoder over one file of ranks; what only one of them needs is made on use."""
 
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as f:
             pairs = (line.split() for line in f if line.strip())
             self.ranks = {base64.b64decode(key): int(rank) for key, rank in pairs}
-        self.whole = PerfectHash(self.ranks)
-        self.memory = TextMemory(regex.compile(pattern).findall, self._token)
+        self.pattern = pattern
         self.bytes_of = [b""] * (max(self.ranks.values(), default=-1) + 1)
         for key, rank in self.ranks.items():
             self.bytes_of[rank] = key
 
+    @cached_property
+    def whole(self) -> PerfectHash:
+        return PerfectHash(self.ranks)
+
+    @cached_property
+    def memory(self) -> TextMemory:
+        return TextMemory(regex.compile(self.pattern).findall, self._token)
+
     def _token(self, token: str) -> bytes:
         raw = token.encode()
         known = self.whole.get(raw)
