@@ -137,7 +137,9 @@ def test_blocked_gate_leaves_the_published_rows(spark, tmp_path):
     assert spark.table(clean).count() == before
     runs = spark.table(store.name("clean", "taxi_trips_quarantine")).select("dq_run_id").distinct()
     assert [r[0] for r in runs.collect()] == ["good"]
-    kept = spark.table(store.name("clean", "taxi_trips_gated_bad_1"))
+    tables = [t.name for t in spark.catalog.listTables(store.schema("clean"))]
+    (gated,) = [t for t in tables if t.startswith(f"taxi_trips_gated_{b'bad-1'.hex()}_")]
+    kept = spark.table(store.name("clean", gated))
     assert kept.where("dq_quarantined").count() > 2
 
 
@@ -162,3 +164,33 @@ def test_missing_category_and_month_block_the_gate(spark, tmp_path):
     assert results[-1].blocked_by == ("month_coverage", "taxi_type=blue")
     stored = spark.table(store.name("governance", "dq_validation_result"))
     assert metrics.blocking(stored).count() == 1
+
+
+def test_repeated_and_similar_run_ids_stay_apart(spark, tmp_path):
+    """A blocked run changes no published row, a repeated one replaces its own facts."""
+    land(spark, tmp_path / "landing")
+    store = new_store(tmp_path)
+    template = f"{tmp_path}/landing/{taxi.FEED_PATH}"
+    spec = replace(taxi.TAXI_TRIPS, min_hours=1)
+    first = run_product(spark, spec, store, "run-1", template, AT)
+    assert first[1].ok
+    before = spark.table(store.name("clean", "taxi_trips")).count()
+    facts = spark.table(store.name("governance", "dq_validation_result")).count()
+    run_product(spark, spec, store, "run-1", template, AT)
+    assert spark.table(store.name("governance", "dq_validation_result")).count() == facts
+    wrong = spec.with_rule("year_month_in_window", "year_month = '2023-01'")
+    blocked = run_product(spark, wrong, store, "run_1", template, AT)
+    assert not blocked[1].ok
+    assert spark.table(store.name("clean", "taxi_trips")).count() == before
+
+
+def test_a_blocked_first_run_with_a_quote_shows_its_scorecard(spark, tmp_path):
+    land(spark, tmp_path / "landing")
+    store = new_store(tmp_path)
+    template = f"{tmp_path}/landing/{taxi.FEED_PATH}"
+    wrong = taxi.TAXI_TRIPS.with_rule("year_month_in_window", "year_month = '2023-01'")
+    results = run_product(spark, wrong, store, "o'x", template, AT)
+    assert [r.ok for r in results] == [True, False]
+    views = [v.name for v in spark.catalog.listTables(store.schema("governance"))]
+    cards = [v for v in views if "scorecard" in v]
+    assert cards and spark.table(store.name("governance", cards[0])).count() > 0

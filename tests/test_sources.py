@@ -174,3 +174,33 @@ def test_staged_copy_lies_under_the_shared_folder(spark):
     assert copy.schema.simpleString() == df.schema.simpleString()
     assert base in copy.inputFiles()[0]
     assert [tuple(r) for r in copy.collect()] == [(1, "2023-01", None)]
+
+
+def test_managed_and_appended_tables_are_replaced_whole(spark, schema):
+    managed, appended = tables.qualified(schema, "managed"), tables.qualified(schema, "appended")
+    spark.range(5).toDF("id").write.saveAsTable(managed)
+    tables.append_table(spark.range(5).toDF("id"), appended)
+    for name in (managed, appended):
+        for n in (100, 7):
+            tables.write_table(spark.range(n).toDF("id"), name)
+            assert spark.table(name).count() == n
+        assert len(tables.drop_old_versions(spark, name)) == 1
+        assert spark.table(name).count() == 7
+
+
+def test_repeated_facts_take_the_place_of_the_earlier_ones(spark, schema):
+    name = tables.qualified(schema, "repeated")
+    for run, value in (("o'x", 1), ("run-1", 2), ("o'x", 3)):
+        df = spark.createDataFrame([(run, value)], "run_id string, v int")
+        tables.replace_facts(df, name, {"run_id": run})
+    got = sorted(tuple(r) for r in spark.table(name).collect())
+    assert got == [("o'x", 3), ("run-1", 2)]
+
+
+def test_a_part_with_files_of_two_layouts_keeps_all_columns(spark, tmp_path):
+    part = f"{tmp_path}/f_p.parquet"
+    spark.createDataFrame([(1,)], "a int").coalesce(1).write.parquet(part)
+    more = spark.createDataFrame([(2, "x")], "a int, b string")
+    more.coalesce(1).write.mode("append").parquet(part)
+    df = feeds.read_feed(spark, f"{tmp_path}/{{feed}}_{{period}}.parquet", "f", ["p"], {})
+    assert sorted(tuple(r) for r in df.select("a", "b").collect()) == [(1, None), (2, "x")]

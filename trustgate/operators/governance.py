@@ -40,7 +40,7 @@ def latest_run(facts: DataFrame) -> DataFrame:
 
 def of_run(df: DataFrame, run: DataFrame, column: str = "run_id") -> DataFrame:
     """The rows of the runs listed in ``run``, a frame of one row or a few."""
-    runs = F.broadcast(run.select(F.col("run_id").alias("_run")))
+    runs = run.select(F.col("run_id").alias("_run"))
     return df.join(runs, F.col(column) == F.col("_run"), "left_semi")
 
 
@@ -195,11 +195,18 @@ def fitness_rollup(fitness: DataFrame) -> DataFrame:
     )
 
 
+def _of_tables(profiles: DataFrame) -> DataFrame:
+    """Facts of whole tables: those of single partitions lie beside them and are left out."""
+    if "partition_key" not in profiles.columns:
+        return profiles
+    return profiles.where("partition_key IS NULL")
+
+
 def _wide(profiles: DataFrame, metrics: Sequence[str]) -> DataFrame:
     return (
-        profiles.groupBy("run_id", "layer", "table_name", "column_name")
+        _of_tables(profiles).groupBy("run_id", "layer", "table_name", "column_name")
         .pivot("metric", list(metrics))
-        .agg(F.first("metric_value", ignorenulls=True))
+        .agg(F.max("metric_value"))
     )
 
 
@@ -213,7 +220,7 @@ def preferred_layer(profiles: DataFrame, layer: str = "clean") -> DataFrame:
 
     The window spans one run's facts, a few dozen rows.
     """
-    numeric = profiles.where(F.col("metric").isin("min", "max", "avg"))
+    numeric = _of_tables(profiles).where(F.col("metric").isin("min", "max", "avg"))
     wanted = F.col("layer") == layer
     in_run = F.max(wanted).over(Window.partitionBy("run_id"))
     ranges = _wide(numeric, ["min", "avg", "max"]).withColumn("_has", in_run)
@@ -222,21 +229,26 @@ def preferred_layer(profiles: DataFrame, layer: str = "clean") -> DataFrame:
 
 def layer_rows(profiles: DataFrame) -> DataFrame:
     """Row count per layer as profiled."""
-    return profiles.where("column_name = '*' AND metric = 'row_count'").selectExpr(
+    totals = _of_tables(profiles).where("column_name = '*' AND metric = 'row_count'")
+    return totals.selectExpr(
         "run_id", "layer", "table_name", "CAST(metric_value AS BIGINT) AS row_count"
     )
 
 
 def worst_gaps(profiles: DataFrame, k: int = 5) -> DataFrame:
-    """The k highest null rates with a level; ties by layer and column."""
-    gaps = profiles.where("metric = 'null_rate'").selectExpr(
+    """The k highest null rates of every run with a level; ties by layer and column."""
+    gaps = _of_tables(profiles).where("metric = 'null_rate'").selectExpr(
+        "run_id",
         "layer",
         "table_name",
         "column_name",
         "metric_value AS null_rate",
         f"{gap_level('metric_value')} AS level",
     )
-    return gaps.orderBy(F.desc("null_rate"), "layer", "column_name").limit(k)
+    worst = [F.desc("null_rate"), F.asc("layer"), F.asc("column_name")]
+    rank = F.row_number().over(Window.partitionBy("run_id").orderBy(*worst))
+    kept = gaps.withColumn("_rank", rank).where(F.col("_rank") <= k)
+    return kept.drop("_rank", "run_id").orderBy(*worst)
 
 
 def rule_catalogue(spark: SparkSession, rules: Sequence[RowRule]) -> DataFrame:

@@ -28,7 +28,14 @@ def incident_counts(quarantine: DataFrame) -> DataFrame:
 
 
 def top_reasons(incidents: DataFrame, k: int = 20) -> DataFrame:
-    return incidents.orderBy(F.desc("incident_count"), "rule", "run_id").limit(k)
+    """The k most frequent reasons of every run; a run's window spans one row per rule."""
+    order = Window.partitionBy("run_id").orderBy(F.desc("incident_count"), "rule")
+    return (
+        incidents.withColumn("_rank", F.row_number().over(order))
+        .where(F.col("_rank") <= k)
+        .drop("_rank")
+        .orderBy(F.desc("incident_count"), "rule", "run_id")
+    )
 
 
 def enrich(incidents: DataFrame, catalogue: DataFrame) -> DataFrame:

@@ -7,12 +7,14 @@ its facts are stored either way.
 from __future__ import annotations
 
 import logging
-import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import partial
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trustgate.functions.expressions import quoted
 from trustgate.operators import gate, governance, harmonize, marts, metrics, profile
@@ -66,6 +68,7 @@ class JobResult:
     job: str
     blocked_by: tuple[str, ...] = ()
     rows: dict[str, int] = field(default_factory=dict)
+    skipped: tuple[str, ...] = ()
 
     @property
     def ok(self) -> bool:
@@ -74,28 +77,37 @@ class JobResult:
 
 @dataclass(frozen=True)
 class Run:
-    """One run of one product over one store."""
+    """One run of one product over one store.
+
+    ``attempt`` tells repeated runs of one id apart: each writes tables of its own, and its facts
+    take the place of the earlier attempt's.
+    """
 
     spark: SparkSession
     spec: ProductSpec
     store: Store
     run_id: str
     captured_at: str | None = None
+    attempt: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
 
     def table(self, layer: str, name: str) -> DataFrame:
         return self.spark.table(self.store.name(layer, name))
 
-    def append(self, facts: DataFrame, name: str) -> None:
-        tables.append_table(facts, self.store.name("governance", name), self.store.fmt)
+    def append(self, facts: DataFrame, name: str, **keys: object) -> None:
+        """Store facts of this run; ``keys`` tell its parts of one facts table apart."""
+        target = self.store.name("governance", name)
+        tables.replace_facts(facts, target, {"run_id": self.run_id, **keys}, self.store.fmt)
 
     def facts(self, name: str) -> DataFrame:
         """This run's facts, as stored."""
-        return self.table("governance", name).where(f"run_id = '{self.run_id}'")
+        return self.table("governance", name).where(F.col("run_id") == F.lit(self.run_id))
 
     def profile(self, df: DataFrame, layer: str, table: str) -> None:
         self.append(
             profile.profile(df, self.spec.profile, self.run_id, layer, table, self.captured_at),
             "data_profile",
+            layer=layer,
+            table_name=table,
         )
 
     def canonical(self) -> DataFrame:
@@ -116,7 +128,7 @@ def ingest(run: Run, template: str) -> JobResult:
     """Landing parts to one raw table per feed, and a profile of the harmonised whole.
 
     ``template`` is the path of a part, with ``{feed}`` and ``{period}`` to fill in.
-    An empty feed blocks; a profile that cannot be taken does not.
+    An empty feed blocks; a profile that Spark cannot take does not, but the result names it.
     """
     spec = run.spec
     run.store.prepare(run.spark)
@@ -130,17 +142,33 @@ def ingest(run: Run, template: str) -> JobResult:
         tables.write_table(stamped, name, fmt=run.store.fmt)
         rows[name] = run.spark.table(name).count()
     empty = tuple(name for name, n in rows.items() if n == 0)
+    skipped: tuple[str, ...] = ()
     if not empty:
         try:
             run.profile(run.canonical(), "raw", "taxi_trips_projected")
-        except Exception:
+        except PySparkException:
             logger.exception("raw profile skipped in run %s", run.run_id)
-    return JobResult("ingest", empty, rows)
+            skipped = ("raw profile",)
+    return JobResult("ingest", empty, rows, skipped)
 
 
 def gated_table(run: Run) -> str:
-    """The marked rows of one run, under a name of their own."""
-    return run.store.name("clean", f"{TRIPS}_gated_{re.sub(r'[^0-9A-Za-z]', '_', run.run_id)}")
+    """The marked rows of one attempt: no two run ids, nor attempts of one, share the name."""
+    return run.store.name("clean", f"{TRIPS}_gated_{run.run_id.encode().hex()}_{run.attempt}")
+
+
+def publish_governance(run: Run) -> None:
+    """The governance views whose facts exist so far; a blocked run shows its scorecard too."""
+    store, spark = run.store, run.spark
+    needed = [store.name("governance", f) for f in FACTS] + [store.name("clean", QUARANTINE)]
+    missing = [name for name in needed if not spark.catalog.tableExists(name)]
+    views = {
+        name: text
+        for name, text in governance_views(store).items()
+        if not any(m in text for m in missing)
+    }
+    if views:
+        tables.publish_views(spark, views, store.schema("governance"), store.catalog)
 
 
 def build_clean(run: Run) -> JobResult:
@@ -158,6 +186,8 @@ def build_clean(run: Run) -> JobResult:
     tables.write_table(marked, name, partitions, store.fmt, rebalance=store.rebalance)
 
     gated = spark.table(name)
+    if gated.isEmpty():
+        return JobResult("build_clean", ("empty input",))
     measures = metrics.measure(gated, spec, "NOT dq_quarantined", spec.row_rules)
     facts = metrics.validation_rows(measures, spec, run.run_id, run.captured_at)
     run.append(facts, "dq_validation_result")
@@ -169,9 +199,6 @@ def build_clean(run: Run) -> JobResult:
     presence = metrics.category_presence(clean, spec.category, spec.expected_categories)
     wrong = names_in(presence.where("NOT passed").selectExpr("coalesce(category, 'NULL')"))
     blocked += tuple(f"{spec.category}={category}" for category in wrong)
-    if not any(rows.values()):
-        blocked += ("empty input",)
-
     if store.publish_blocked or not blocked:
         columns = ", ".join(quoted(c) for c in canonical.columns)
         trail = ", ".join(gate.trail_columns(spec.row_rules, run.run_id))
@@ -180,6 +207,7 @@ def build_clean(run: Run) -> JobResult:
             QUARANTINE: f"SELECT {columns}, {trail} FROM {name} WHERE dq_quarantined",
         }
         tables.publish_views(spark, views, store.schema("clean"), store.catalog)
+    publish_governance(run)
     return JobResult("build_clean", blocked, rows)
 
 
@@ -200,7 +228,7 @@ def publish_consumption(run: Run) -> JobResult:
         run.captured_at,
     )
     run.append(facts, "fitness_for_use_result")
-    tables.publish_views(spark, governance_views(store), store.schema("governance"), store.catalog)
+    publish_governance(run)
     failed = metrics.blocking_fitness(run.facts("fitness_for_use_result"), spec.fitness_rules)
     blocked = names_in(failed)
 
@@ -215,7 +243,7 @@ def publish_consumption(run: Run) -> JobResult:
 
 
 def analyse(run: Run) -> JobResult:
-    """Consumption to the KPI tables; too few months or hours block."""
+    """Consumption to the KPI tables; too few months or hours block and leave the old tables."""
     spec, store = run.spec, run.store
     consumption = run.table("consumption", TRIPS)
     kpis: dict[str, Callable[[], DataFrame]] = {
@@ -236,18 +264,19 @@ def analyse(run: Run) -> JobResult:
             run.captured_at,
         ),
     }
-    tables.publish_tables(
-        run.spark, kpis, store.schema("consumption"), catalog=store.catalog, fmt=store.fmt
-    )
+    made = {name: tables.staged(kpi()) for name, kpi in kpis.items()}
     checks = marts.completeness(
-        run.table("consumption", taxi.KPI_MONTHLY), taxi.KPI_MONTHLY, exactly=len(spec.periods)
+        made[taxi.KPI_MONTHLY], taxi.KPI_MONTHLY, exactly=len(spec.periods)
     ).unionByName(
-        marts.completeness(
-            run.table("consumption", taxi.KPI_HOURLY), taxi.KPI_HOURLY, at_least=spec.min_hours
-        )
+        marts.completeness(made[taxi.KPI_HOURLY], taxi.KPI_HOURLY, at_least=spec.min_hours)
     )
     found = checks.collect()
     short = tuple(row["kpi"] for row in found if not row["passed"])
+    if store.publish_blocked or not short:
+        ready = {name: (lambda df=df: df) for name, df in made.items()}
+        tables.publish_tables(
+            run.spark, ready, store.schema("consumption"), catalog=store.catalog, fmt=store.fmt
+        )
     return JobResult("analyse", short, {row["kpi"]: row["row_count"] for row in found})
 
 

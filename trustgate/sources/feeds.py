@@ -50,15 +50,18 @@ def read_feed(
 ) -> DataFrame:
     """Scan one feed; a period without a part fails.
 
-    Parts sharing a schema are read by one scan, so the plan grows with the number of
-    distinct layouts and not with the number of periods. ``source_file`` is the file a
+    Files sharing a schema are read by one scan, so the plan grows with the number of distinct
+    layouts and not with the number of periods. Every file of a part is looked at, as one part
+    may hold files of several layouts. ``source_file`` is the file a
     row came from, taken before any cast.
     """
-    paths = [part_path(template, feed, period) for period in periods]
+    parts = [part_path(template, feed, period) for period in periods]
     with ThreadPoolExecutor(FOOTER_READERS) as pool:
-        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
+        found = pool.map(lambda path: sorted(spark.read.parquet(path).inputFiles()), parts)
+        files = [file for part in found for file in part]
+        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema, files))
     layouts: dict[str, tuple] = {}
-    for path, schema in zip(paths, schemas):
+    for path, schema in zip(files, schemas):
         layouts.setdefault(schema.json(), (schema, []))[1].append(path)
     scans = [
         align_types(
