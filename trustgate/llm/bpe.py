@@ -27,6 +27,9 @@ from trustgate.llm.common import map_texts, texts_of
 from trustgate.llm.pieces import TextMemory
 
 
+#: Pieces and pre-tokens of one generation of a worker's memory; workers outlive a stage.
+PIECES = 100_000
+TOKENS = 200_000
 #: Rows decoded at once.
 DECODE_ROWS = 256
 
@@ -138,7 +141,8 @@ class Codec:
 
     @cached_property
     def memory(self) -> TextMemory:
-        return TextMemory(regex.compile(self.pattern).findall, self._token)
+        split = regex.compile(self.pattern).findall
+        return TextMemory(split, self._token, PIECES, TOKENS)
 
     def _token(self, token: str) -> bytes:
         raw = token.encode()

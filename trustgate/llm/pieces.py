@@ -85,11 +85,11 @@ def parts_of(piece: str) -> tuple[str, ...] | None:
 class TextMemory:
     """Ids of texts from the ids of their pre-tokens, at two levels: pieces and pre-tokens."""
 
-    def __init__(self, split, encode):
+    def __init__(self, split, encode, pieces: int = PIECES, tokens: int = TOKENS):
         """split: a piece's pre-tokens; encode: packed ids of a pre-token."""
         self.split = split
-        self.tokens = Memory(encode, TOKENS)
-        self.pieces = Memory(self._piece, PIECES)
+        self.tokens = Memory(encode, tokens)
+        self.pieces = Memory(self._piece, pieces)
 
     def _piece(self, piece: str) -> bytes:
         parts = parts_of(piece)

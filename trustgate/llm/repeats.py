@@ -137,9 +137,14 @@ def _stretch_rows(part: list[tuple[int, int, int, bytes]], gram: int) -> pa.Reco
     order = np.lexsort((at, mark, doc, body, markers))
     repeat = np.zeros(len(order), bool)
     m, b = markers[order], body[order]
-    repeat[order[1:]] = (m[1:] == m[:-1]) & (b[1:] == b[:-1])
+    like = (m[1:] == m[:-1]) & (b[1:] == b[:-1])
+    repeat[order[1:]] = like
+    # A place that is there twice comes from a repeated row, and is no repeat of itself.
+    again = np.zeros(len(order), bool)
+    place = [x[order] for x in (doc, mark, at)]
+    again[order[1:]] = like & np.logical_and.reduce([x[1:] == x[:-1] for x in place])
     columns = (repeat, markers, body, doc, mark, at, counts.astype(np.int64))
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_FOUND)
+    return pa.RecordBatch.from_arrays([pa.array(c[~again]) for c in columns], names=_FOUND)
 
 
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, int, bytes]]:
@@ -165,7 +170,7 @@ def _settle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch = pa.Table.from_batches([tail, batch]).combine_chunks().to_batches()[0]
         yield from _settled(batch, last, batch.num_rows - 1)
         if batch.num_rows > 1:
-            last = tuple(batch.column(c)[batch.num_rows - 2].as_py() for c in _FOUND[:3])
+            last = tuple(batch.column(c)[batch.num_rows - 2].as_py() for c in _FOUND)
         tail = batch.slice(batch.num_rows - 1)
     if tail is not None:
         yield from _settled(tail, last, 1)
@@ -185,8 +190,13 @@ def _settled(batch: pa.RecordBatch, before, number: int) -> Iterator[pa.RecordBa
     if before is not None and not before[0] and not done[0]:
         like[0] = before[1] == marker[0]
         same[0] = like[0] and before[2] == body[0]
+    places = [batch.column(c).to_numpy() for c in ("doc", "mark", "start")]
+    again = same.copy()  # the same place once more, from a repeated row
+    again[1:] &= np.logical_and.reduce([x[1:] == x[:-1] for x in places])
+    if again[0]:
+        again[0] = before[3:6] == tuple(int(x[0]) for x in places)
     repeat = done | same
-    kept = (repeat | like[:n] | like[1 : n + 1])[:number]
+    kept = ((repeat | like[:n] | like[1 : n + 1]) & ~again)[:number]
     out = batch.slice(0, number).set_column(0, "repeat", pa.array(repeat[:number]))
     yield out.filter(pa.array(kept))
 
@@ -296,7 +306,11 @@ def _search(rows: list[tuple[int, int, int, int, bytes]]) -> pa.RecordBatch:
     start = start + step
     order = np.lexsort((start, mark, doc, kind))
     repeat = np.zeros(len(of), bool)
-    repeat[order[1:]] = kind[order[1:]] == kind[order[:-1]]
+    like = kind[order[1:]] == kind[order[:-1]]
+    # The first place of a class stays, also where a repeated row shows it again.
+    first = np.maximum.accumulate(np.where(np.append(True, ~like), np.arange(len(order)), 0))
+    own = [x[order] for x in (doc, mark, start)]
+    repeat[order] = ~np.logical_and.reduce([x == x[first] for x in own])
     at = np.flatnonzero(repeat)
     new = np.ones(len(at), bool)
     new[1:] = (np.diff(at) != 1) | (np.diff(of[at]) != 0)

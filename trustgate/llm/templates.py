@@ -31,7 +31,7 @@ SHARE = 0.5
 #: Benchmark text that one pass holds in memory; a larger benchmark takes several passes.
 PASS_BYTES = 32 << 20
 #: Remembered raw words per worker.
-REMEMBER = 400_000
+REMEMBER = 150_000
 
 # Words that stand for numbers, and units of measure.
 NUMBER_WORDS = frozenset(
