@@ -212,7 +212,10 @@ def choose_cutoffs(
     steps = counts.groupBy("stratum", "feature").agg(
         F.sum("good").alias("n"),
         *[
-            F.sum(F.when(F.col("above") > i, F.col(side)).otherwise(0)).alias(f"{side}{i}")
+            # Who is above the i-th cutoff is above all stricter ones, which come after it.
+            F.sum(F.when(F.col("above") >= number - i, F.col(side)).otherwise(0)).alias(
+                f"{side}{i}"
+            )
             for i in range(number)
             for side in ("good", "bad")
         ],
@@ -243,11 +246,9 @@ def choose_cutoffs(
         ),
     )
     tests = sum(map(len, GRID.values()))
-    strata = judged.select("stratum").distinct().agg(F.count("*").alias("strata"))
+    strata = max(1, judged.select("stratum").distinct().count())
     tail = binomial_tail(F.col("k"), F.col("n"), allowed / len(GRID))
-    passed = each.crossJoin(F.broadcast(strata)).where(
-        (F.col("bad") > 0) & (tail <= F.lit(chance) / (F.col("strata") * tests))
-    )
+    passed = each.where((F.col("bad") > 0) & (tail <= F.lit(chance / (strata * tests))))
     best = F.max(F.struct(F.col("bad"), -F.col("step"), F.col("cutoff"))).alias("best")
     return (
         passed.groupBy("stratum", "feature")
