@@ -55,7 +55,7 @@ def test_secrets(docs):
     found = secrets.link(text)
     assert [p.kind for p in found.spans] == ["ident", "assign", "access", "endpoint"]
     assert found.links
-    alone = secrets.link("user=bob9 https://a.example.com/x Aa1" + "b" * 30)
+    alone = secrets.link("user=bob9 https://a.example.com/x Aa1" + "zY" * 12)
     assert [p.kind for p in alone.spans] == ["ident", "endpoint", "blob"]
     assert not secrets.link("user=bob9 https://a.example.com/x").spans
     assert not secrets.link("see https://a.example.com/x").spans
