@@ -180,6 +180,15 @@ def test_share_of_nothing_is_unknown(spark, trips):
     assert governance.quarantine_share(gate.clean_rows(trips, ROW_RULES), quarantine).first()[
         "quarantine_pct"
     ] == round(300 / 7, 4)
+    marked = gate.mark(trips, ROW_RULES, "r")
+    assert governance.marked_share(marked.where("false")).first()["quarantine_pct"] is None
+    assert governance.marked_share(marked).first()["quarantine_pct"] == round(300 / 7, 4)
+
+
+def test_parts_of_one_frame_are_counted_in_one_pass(spark):
+    df = spark.range(10)
+    counted = governance.counts_where(df, {"it's even": "id % 2 = 0", "none": "id < 0"})
+    assert {tuple(r) for r in counted.collect()} == {("it's even", 5), ("none", 0)}
 
 
 @pytest.fixture(scope="module")

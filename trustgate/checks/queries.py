@@ -683,31 +683,24 @@ def fitness_rollup(spark, sf_dir):
 @query
 def layer_counts(spark, sf_dir):
     marked = gate.mark(b.trips(spark, sf_dir), RULES, b.RUN_LATEST, b.AT_LATEST)
-    rows = tables.staged(
-        marked.select("taxi_type", "year_month", "dq_quarantined", "dq_run_id", "total_amount")
-    )
-    accepted = rows.where(~F.col("dq_quarantined"))
-    return governance.layer_counts(
-        {
-            "canonical.yellow": rows.where("taxi_type = 'yellow'"),
-            "canonical.green": rows.where("taxi_type = 'green'"),
-            "clean.taxi_trips": accepted,
-            "clean.taxi_trips_quarantine": rows.where(F.col("dq_run_id") == b.RUN_LATEST),
-            "consumption.taxi_trips": accepted,
-            f"consumption.{taxi.KPI_MONTHLY}": marts.monthly_average(
-                accepted, "total_amount", b.RUN_LATEST, only="taxi_type = 'yellow'"
-            ),
-            f"consumption.{taxi.KPI_HOURLY}": hourly_kpi(spark, sf_dir),
-        }
-    )
+    parts = {
+        "canonical.yellow": "taxi_type = 'yellow'",
+        "canonical.green": "taxi_type = 'green'",
+        "clean.taxi_trips": "NOT dq_quarantined",
+        "clean.taxi_trips_quarantine": "dq_quarantined",
+        "consumption.taxi_trips": "NOT dq_quarantined",
+    }
+    kpis = {
+        f"consumption.{taxi.KPI_MONTHLY}": monthly_kpi(spark, sf_dir),
+        f"consumption.{taxi.KPI_HOURLY}": hourly_kpi(spark, sf_dir),
+    }
+    return governance.counts_where(marked, parts).unionByName(governance.layer_counts(kpis))
 
 
 @query
 def quarantine_pct(spark, sf_dir):
-    marked = gate.mark(b.trips(spark, sf_dir), RULES, b.RUN_LATEST, b.AT_LATEST)
-    narrow = tables.staged(marked.select("dq_quarantined"))
-    return governance.quarantine_share(
-        narrow.where(~F.col("dq_quarantined")), narrow.where("dq_quarantined")
+    return governance.marked_share(
+        gate.mark(b.trips(spark, sf_dir), RULES, b.RUN_LATEST, b.AT_LATEST)
     )
 
 

@@ -162,16 +162,38 @@ def layer_counts(counted: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def counts_where(df: DataFrame, parts: Mapping[str, str]) -> DataFrame:
+    """Row count of every named part of one frame, one row each, in a single pass."""
+    counts = [F.expr(f"count_if({where})").alias(f"n{i}") for i, where in enumerate(parts.values())]
+    rows = ", ".join(
+        f"struct({literal(name)} AS object, n{i} AS row_count)" for i, name in enumerate(parts)
+    )
+    return df.agg(*counts).selectExpr(f"inline(array({rows}))")
+
+
+def _with_share(totals: DataFrame) -> DataFrame:
+    share = share_pct("quarantine_rows", "(consumption_rows + quarantine_rows)", 4)
+    return totals.selectExpr("*", f"{share} AS quarantine_pct")
+
+
+def marked_share(marked: DataFrame) -> DataFrame:
+    """``quarantine_share`` of marked rows, in a single pass over them."""
+    return _with_share(
+        marked.agg(
+            F.expr("count_if(NOT dq_quarantined) AS consumption_rows"),
+            F.expr("count_if(dq_quarantined) AS quarantine_rows"),
+        )
+    )
+
+
 def quarantine_share(clean: DataFrame, quarantine: DataFrame) -> DataFrame:
     """Rows on both sides and the quarantined percentage; NULL when both are empty."""
     sides = clean.agg(F.expr("count(1) AS c"), F.expr("0L AS q")).unionByName(
         quarantine.agg(F.expr("0L AS c"), F.expr("count(1) AS q"))
     )
-    totals = sides.agg(
-        F.expr("sum(c) AS consumption_rows"), F.expr("sum(q) AS quarantine_rows")
+    return _with_share(
+        sides.agg(F.expr("sum(c) AS consumption_rows"), F.expr("sum(q) AS quarantine_rows"))
     )
-    share = share_pct("quarantine_rows", "(consumption_rows + quarantine_rows)", 4)
-    return totals.selectExpr("*", f"{share} AS quarantine_pct")
 
 
 def kpi_of_run(kpi: DataFrame, run: DataFrame, value: str, digits: int, order: str) -> DataFrame:
