@@ -29,8 +29,8 @@ def test_profile_has_seventeen_rows(trips):
     assert len(found) == 17
     assert found["*", "row_count"] == 7.0
     assert found["vendor_id", "null_rate"] == 1 / 7
-    assert (found["total_amount", "min"], found["total_amount", "max"]) == (-5.0, 12.5)
-    assert found["passenger_count", "avg"] == pytest.approx(6.0 / 6)
+    assert (found["total_amount", "min"], found["total_amount", "max"]) == (-40.0, 55.5)
+    assert found["passenger_count", "avg"] == pytest.approx(19.0 / 6)
 
 
 def test_profile_of_nothing(spark, trips):
@@ -69,7 +69,7 @@ def test_profile_per_partition(trips):
     counts = {
         r["partition_key"]: r["metric_value"] for r in facts.where("column_name = '*'").collect()
     }
-    assert counts == {"yellow": 5.0, "green": 1.0, "pink": 1.0}
+    assert counts == {"yellow": 3.0, "green": 3.0, "black": 1.0}
 
 
 def test_canonical_of_two_vocabularies(spark):
@@ -91,13 +91,13 @@ def test_canonical_of_two_vocabularies(spark):
 def test_kpis(trips):
     clean = gate.clean_rows(trips, ROW_RULES)
     monthly = marts.monthly_average(clean, "total_amount", "r", only="taxi_type = 'yellow'").first()
-    assert monthly["avg_total_amount"] == pytest.approx((12.5 + 10 - 5) / 3)
+    assert monthly["avg_total_amount"] == pytest.approx((55.5 - 0.01 + 1.5) / 3)
     assert monthly["trip_count"] == 3
     hourly = marts.hourly_average(clean, "passenger_count", "r", only="year_month = '2023-05'")
     rows = {r["pickup_hour"]: r for r in hourly.collect()}
-    assert rows[11]["avg_passenger_count"] is None and rows[11]["null_passenger_count"] == 1
+    assert rows[23]["avg_passenger_count"] is None and rows[23]["null_passenger_count"] == 1
     best = marts.extremes(hourly, "avg_passenger_count", "pickup_hour").first()
-    assert (best["high_key"], best["low_key"]) == (10, 12)
+    assert (best["high_key"], best["low_key"]) == (6, 0)
     assert marts.completeness(hourly, "k", at_least=5).first()["passed"] is False
     assert marts.completeness(hourly, "k", exactly=4).first()["passed"] is True
 
