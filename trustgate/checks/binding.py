@@ -26,7 +26,11 @@ HOURLY_PERIOD = "2024-01"
 YEARS = ("1995", "1996", "1997", "1998", "1999", "2000", "2001")
 RUN_EARLIER, RUN_LATEST = "run-9f", "run-2c"
 AT_EARLIER, AT_LATEST = "2024-02-01 06:00:00", "2024-02-08 06:00:00"
+RUN_UNVALIDATED, AT_UNVALIDATED = "run-7e", "2024-02-09 06:00:00"
 AS_OF = "2024-02-10"
+#: The hour that the full run's trips begin at, and the period whose hours it looks at.
+HOUR = "(l_partkey + 5 * l_linenumber) % 24"
+RUN_PERIOD = "1996-03"
 SEED = "42"
 
 STATUS = {"yellow": "F", "green": "O"}

@@ -7,6 +7,7 @@ Only the declared rules, thresholds and run labels come from the product's decla
 from __future__ import annotations
 
 from trustgate.checks import binding as b
+from trustgate.operators.profile import MISSING
 from trustgate.plans import taxi
 from trustgate.plans.spec import COMPARATORS, ProductSpec
 
@@ -14,7 +15,9 @@ LATEST = (b.SPEC, b.RUN_LATEST, b.AT_LATEST)
 EARLIER = (b.EARLIER_SPEC, b.RUN_EARLIER, b.AT_EARLIER)
 BOTH = (EARLIER, LATEST)
 
-FEED_ROWS = """
+def feed_rows(shift: str = "") -> str:
+    """The feeds' rows; ``shift`` is added to both ends of a trip."""
+    return f"""
 feed_rows AS MATERIALIZED (
   SELECT
     concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS trip_id,
@@ -25,10 +28,10 @@ feed_rows AS MATERIALIZED (
     CASE WHEN l_partkey % 307 = 0 THEN NULL
          WHEN l_returnflag = 'R' THEN -l_extendedprice
          ELSE l_extendedprice END AS total_amount,
-    CASE WHEN l_orderkey % 401 = 0 THEN NULL ELSE o_orderdate END AS pickup_datetime,
+    CASE WHEN l_orderkey % 401 = 0 THEN NULL ELSE o_orderdate{shift} END AS pickup_datetime,
     CASE WHEN l_orderkey % 503 = 0 THEN NULL
-         WHEN l_orderkey % 20 = 0 THEN l_shipdate
-         ELSE greatest(l_shipdate, o_orderdate) END AS dropoff_datetime,
+         WHEN l_orderkey % 20 = 0 THEN l_shipdate{shift}
+         ELSE greatest(l_shipdate, o_orderdate){shift} END AS dropoff_datetime,
     CASE WHEN l_partkey % 997 = 0 THEN 'pink' END AS fleet_override,
     CASE l_linestatus WHEN 'F' THEN 'yellow' WHEN 'O' THEN 'green' END AS feed,
     strftime(o_orderdate, '%Y') AS order_year,
@@ -36,16 +39,16 @@ feed_rows AS MATERIALIZED (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 )"""
 
-TRIPS = (
-    FEED_ROWS
-    + """,
+
+FEED_ROWS = feed_rows()
+TRIPS_OF = """,
 trips AS MATERIALIZED (
   SELECT trip_id, vendor_id, passenger_count, total_amount, pickup_datetime, dropoff_datetime,
          coalesce(fleet_override, feed) AS taxi_type,
          strftime(pickup_datetime, '%Y-%m') AS year_month
   FROM feed_rows WHERE feed IS NOT NULL
 )"""
-)
+TRIPS = FEED_ROWS + TRIPS_OF
 
 RIDES = """
 rides AS (
@@ -189,12 +192,12 @@ facts AS MATERIALIZED (
 )"""
 
 
-def fitness_facts(spec, run, at) -> list[str]:
+def fitness_facts(spec, run, at, hours: str = "") -> list[str]:
     months = (
         f"(SELECT count(*) FROM (SELECT DISTINCT year_month FROM clean_{suffix(run)}"
         " WHERE taxi_type = 'yellow'))"
     )
-    hours = (
+    hours = hours or (
         "(SELECT count(*) FROM (SELECT DISTINCT hour(pickup_datetime) FROM rides"
         f" WHERE year_month = '{b.HOURLY_PERIOD}'))"
     )
@@ -217,7 +220,7 @@ def profile_facts(
     source: str, run: str, layer: str, table: str, at: str, partition: str | None = None
 ) -> list[str]:
     head = f"'{run}' AS run_id, '{layer}' AS layer, '{table}' AS table_name"
-    slot = partition or "CAST(NULL AS VARCHAR)"
+    slot = f"coalesce({partition}, '{MISSING}')" if partition else "CAST(NULL AS VARCHAR)"
     tail = f"GROUP BY {partition}" if partition else ""
 
     def one(column: str, name: str, value: str) -> str:
@@ -318,6 +321,10 @@ aged AS (
          CAST(datediff('day', CAST(c.captured_at AS DATE), DATE '{b.AS_OF}') AS INTEGER) AS days
   FROM quarantines q JOIN captures c ON q.dq_run_id = c.run_id)"""
 
+DAYS = """days AS (
+  SELECT reverse(strftime(ts, '%Y%m%d')) AS run_id, max(ts) AS captured_at
+  FROM events GROUP BY 1)"""
+
 BAD_CHECK = {c.name: f"coalesce({c.condition}, false)" for c in b.SPEC.checks}
 
 DECLARED = [
@@ -359,15 +366,26 @@ def extremes(kpi: str, source: str, value: str, key: str) -> str:
 
 ALL_RULES = b.SPEC.row_rules
 
-# What a run stores: the facts of its three profiles, its rules and its fitness rules.
-TRIP_RUN = f"""
-profiled AS (
-{UNION.join(layered(b.RUN_LATEST, b.AT_LATEST))}),
-validated AS ({UNION.join(row_facts(*LATEST) + aggregate_facts(*LATEST))}),
-declared_fitness AS (
-{UNION.join(
-    f"SELECT '{r.name}' AS rule"
-    for r in b.SPEC.fitness_rules if r.name != "q2_hours_coverage")})"""
+# The full run: trips with an hour, fitness of its own rows, and all that it stores.
+HOURLY = f"{feed_rows(f' + to_hours(CAST({b.HOUR} AS INTEGER))')}{TRIPS_OF},{gated(*LATEST)}"
+RUN_HOURS = f"""(SELECT count(*) FROM (SELECT DISTINCT hour(pickup_datetime) FROM clean_{L}
+  WHERE year_month = '{b.RUN_PERIOD}'))"""
+UNJUDGED = "CAST(NULL AS BOOLEAN) AS passed"
+
+
+def kpi_values(unjudged: str = "") -> str:
+    """Every value of the KPI tables, from CTEs monthly and hourly."""
+    return f"""SELECT '{taxi.KPI_MONTHLY}' AS object, year_month AS item,
+  {rounded('avg_total_amount', 4)} AS measured{unjudged} FROM monthly
+UNION ALL
+SELECT '{taxi.KPI_HOURLY}', CAST(pickup_hour AS VARCHAR),
+  {rounded('avg_passenger_count', 6)}{unjudged} FROM hourly"""
+
+
+def counted(objects: dict[str, str], unjudged: str = "") -> str:
+    return f"""SELECT object, '*' AS item, CAST(row_count AS DOUBLE) AS measured{unjudged}
+FROM ({counts(objects)})"""
+
 
 ORACLE_SQL: dict[str, str] = {
     # feeds and tables
@@ -401,8 +419,19 @@ SELECT * EXCLUDE (captured_at) REPLACE (
 SELECT year_month, count(*) AS trip_count, min(total_amount) AS min_amount,
        max(total_amount) AS max_amount, '{b.RUN_LATEST}' AS run_id
 FROM clean_{L} WHERE taxi_type = 'green' GROUP BY year_month""",
-    "publish_all": f"WITH {KPIS} "
-    + counts(
+    "rerun_facts": f"WITH {FACTS} {SCORECARD}",
+    "model_folder": f"WITH {GATED} "
+    + UNION.join(
+        f"SELECT '{model}' AS model, {item} AS item, count(*) AS trip_count,"
+        f" max(total_amount) AS top_amount, '{b.RUN_LATEST}' AS run_id"
+        f" FROM clean_{L} WHERE taxi_type = 'yellow' GROUP BY {item}"
+        for model, item in (
+            ("fleet_months", "year_month"),
+            ("fleet_vendors", "CAST(vendor_id AS VARCHAR)"),
+        )
+    ),
+    "publish_all": f"WITH {KPIS} {kpi_values()} UNION ALL "
+    + counted(
         {
             "taxi_trips": f"clean_{L}",
             "vw_taxi_trips_tlc": f"clean_{L}",
@@ -410,19 +439,31 @@ FROM clean_{L} WHERE taxi_type = 'green' GROUP BY year_month""",
             taxi.KPI_HOURLY: "hourly",
         }
     ),
-    "product_run": f"WITH {KPIS}, {TRIP_RUN} "
-    + counts(
+    "product_run": f"""WITH {HOURLY},
+monthly AS ({monthly(b.RUN_LATEST)}),
+hourly AS (
+  SELECT hour(pickup_datetime) AS pickup_hour, avg(passenger_count) AS avg_passenger_count
+  FROM clean_{L} WHERE year_month = '{b.RUN_PERIOD}' GROUP BY 1),
+profiled AS (
+{UNION.join(layered(b.RUN_LATEST, b.AT_LATEST))}),
+validated AS ({UNION.join(row_facts(*LATEST) + aggregate_facts(*LATEST))}),
+fit AS ({UNION.join(fitness_facts(*LATEST, RUN_HOURS))})
+{kpi_values(", " + UNJUDGED)}
+UNION ALL
+SELECT 'data_profile', concat_ws('.', layer, column_name, metric),
+       {rounded('metric_value', 5)}, {UNJUDGED} FROM profiled WHERE metric_value IS NOT NULL
+UNION ALL SELECT 'dq_validation_result', rule, measured, passed FROM validated
+UNION ALL SELECT 'fitness_for_use_result', rule, measured, passed FROM fit
+UNION ALL """
+    + counted(
         {
             "raw.yellow_tripdata": "feed_rows WHERE feed = 'yellow'",
             "raw.green_tripdata": "feed_rows WHERE feed = 'green'",
             "clean.taxi_trips": f"clean_{L}",
             "clean.taxi_trips_quarantine": f"quarantine_{L}",
             "consumption.taxi_trips": f"clean_{L}",
-            f"consumption.{taxi.KPI_MONTHLY}": "monthly",
-            "governance.data_profile": "profiled",
-            "governance.dq_validation_result": "validated",
-            "governance.fitness_for_use_result": "declared_fitness",
-        }
+        },
+        ", " + UNJUDGED,
     ),
     # projection and gate
     "canonical": f"WITH {TRIPS} SELECT {TRIP_COLUMNS} FROM trips",
@@ -563,11 +604,12 @@ WHERE run_id = (SELECT run_id FROM profiles ORDER BY captured_at DESC LIMIT 1)
 SELECT run_id, layer, table_name, CAST(metric_value AS BIGINT) AS row_count
 FROM profiles WHERE column_name = '*' AND metric = 'row_count'""",
     "worst_null_rates": f"""WITH {PROFILES}
-SELECT layer, table_name, column_name, metric_value AS null_rate,
+SELECT run_id, layer, table_name, column_name, metric_value AS null_rate,
        CASE WHEN metric_value < 0.05 THEN 'ok' WHEN metric_value < 0.4 THEN 'warn' ELSE 'bad' END
          AS level
-FROM profiles WHERE metric = 'null_rate' AND run_id = '{b.RUN_LATEST}'
-ORDER BY metric_value DESC, layer, column_name LIMIT 5""",
+FROM profiles WHERE metric = 'null_rate'
+QUALIFY row_number() OVER (
+  PARTITION BY run_id ORDER BY metric_value DESC, layer, column_name) <= 5""",
     # KPIs
     "kpi_monthly_avg": f"""WITH {KPIS}
 SELECT year_month, {rounded('avg_total_amount', 4)} AS avg_total_amount, trip_count, run_id
@@ -576,7 +618,8 @@ FROM monthly ORDER BY year_month""",
 SELECT pickup_hour, {rounded('avg_passenger_count', 6)} AS avg_passenger_count, trip_count,
        null_passenger_count, run_id FROM hourly ORDER BY pickup_hour""",
     "kpi_latest_run": f"""WITH {KPIS}
-SELECT year_month, {rounded('avg_total_amount', 2)} AS avg_total_amount, trip_count, run_id
+SELECT year_month, {rounded('avg_total_amount', 2)} AS avg_total_amount, trip_count, run_id,
+       '{b.AT_LATEST}' AS computed_at
 FROM monthly ORDER BY year_month""",
     "kpi_null_share": f"""WITH {KPIS}
 SELECT pickup_hour, {rounded('avg_passenger_count', 4)} AS avg_passenger_count, trip_count,
@@ -594,14 +637,9 @@ UNION ALL
 SELECT run_id, dimension, rules_evaluated, rules_passed, round(pass_rate, 4) AS pass_rate,
        round(quarantine_rate, 6) AS quarantine_rate, uniqueness_metric
 FROM card WHERE run_id = '{b.RUN_LATEST}' ORDER BY dimension""",
-    "latest_run": f"""WITH {FACTS}
-SELECT run_id FROM facts GROUP BY run_id ORDER BY max(captured_at) DESC LIMIT 1""",
-    "run_list": f"""WITH {RIDES},
-counted AS ({UNION.join(
-    f"SELECT '{run}' AS run_id, TIMESTAMP '{at}' AS captured_at, count(*) AS n FROM rides"
-    for _, run, at in BOTH)})
-SELECT run_id, strftime(max(captured_at), '%Y-%m-%d %H:%M:%S') AS last_captured
-FROM counted GROUP BY run_id ORDER BY last_captured DESC""",
+    "latest_run": f"WITH {DAYS} SELECT run_id FROM days ORDER BY captured_at DESC LIMIT 1",
+    "run_list": f"""WITH {DAYS}
+SELECT run_id, strftime(captured_at, '%Y-%m-%d %H:%M:%S') AS last_captured FROM days""",
     "failed_rules": f"""WITH {FACTS}
 SELECT dimension, rule, severity, passed, measured, threshold FROM facts
 WHERE run_id = '{b.RUN_LATEST}' AND passed = false
@@ -661,7 +699,9 @@ SELECT c AS consumption_rows, q AS quarantine_rows,
     # triage
     "incident_top_rules": f"""WITH {GATED_BOTH},{INCIDENTS}
 SELECT run_id, rule, incident_count FROM incidents
-ORDER BY incident_count DESC, rule, run_id LIMIT 20""",
+QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY incident_count DESC, rule) <= 3""",
+    "reasons_latest_run": f"""WITH {GATED_BOTH},{INCIDENTS}
+SELECT run_id, rule, incident_count FROM incidents WHERE run_id = '{b.RUN_LATEST}'""",
     "incident_enriched": f"""WITH {GATED_BOTH},{INCIDENTS},
 declared(rule, dimension, severity) AS (VALUES {", ".join(
     str((r.name, r.dimension, r.severity)) for r in ALL_RULES if r.name != "year_month_in_window")})

@@ -9,13 +9,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import replace
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustgate.checks import binding as b
 from trustgate.functions import expressions
-from trustgate.functions.expressions import as_rows, require_rows
+from trustgate.functions.expressions import as_rows, literal, require_rows
 from trustgate.operators import gate, governance, harmonize, marts, metrics, profile, triage
 from trustgate.plans import taxi
 from trustgate.plans.run import Run, Store, lineage, run_product
@@ -30,6 +31,9 @@ RUNS = (
     (b.EARLIER_SPEC, b.RUN_EARLIER, b.AT_EARLIER),
     (b.SPEC, b.RUN_LATEST, b.AT_LATEST),
 )
+#: KPIs and fitness facts also hold a newer run without validation facts: it must not be read.
+WITH_UNVALIDATED = (*RUNS, (b.EARLIER_SPEC, b.RUN_UNVALIDATED, b.AT_UNVALIDATED))
+MODELS = Path(__file__).with_name("models")
 
 
 def query(fn: Query) -> Query:
@@ -49,6 +53,34 @@ def union(parts: Iterable[DataFrame]) -> DataFrame:
     return feeds.union_parts(parts)
 
 
+def contents(df: DataFrame, name: str, item: str, value: str) -> DataFrame:
+    """A published table's cells: one row per item with its value."""
+    return df.selectExpr(
+        f"{literal(name)} AS object", f"{item} AS item", f"CAST({value} AS DOUBLE) AS measured"
+    )
+
+
+def kpi_contents(monthly: DataFrame, hourly: DataFrame) -> DataFrame:
+    average = expressions.rounded
+    return union(
+        [
+            contents(monthly, taxi.KPI_MONTHLY, "year_month", average("avg_total_amount", 4)),
+            contents(
+                hourly,
+                taxi.KPI_HOURLY,
+                "CAST(pickup_hour AS STRING)",
+                average("avg_passenger_count", 6),
+            ),
+        ]
+    )
+
+
+def scratch_schema(spark: SparkSession) -> str:
+    schema = f"tg_{uuid.uuid4().hex}"
+    tables.ensure_namespaces(spark, [schema], tables.shared_dir(spark))
+    return schema
+
+
 def stored(runs: Iterable[DataFrame]) -> DataFrame:
     """Both runs' facts as a table, for reads that look at them twice.
 
@@ -112,6 +144,34 @@ def profiles(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ]
 
 
+def all_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of both runs' layers and, in the same table, of the latest one by period."""
+    by_period = profile.profile(
+        b.trips(spark, sf_dir),
+        b.SPEC.profile,
+        b.RUN_LATEST,
+        "raw",
+        "taxi_trips_projected",
+        b.AT_LATEST,
+        "year_month",
+    )
+    return union([*profiles(spark, sf_dir), by_period])
+
+
+def validated_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest run by the validation facts, which all run-scoped reads go by."""
+    return governance.latest_run(union(validations(spark, sf_dir)))
+
+
+def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ride counts of a run per day, captured with the day's last ride; ids don't sort by time."""
+    rides = b.rides(spark, sf_dir)
+    run = F.reverse(F.date_format("pickup_datetime", "yyyyMMdd")).alias("run_id")
+    return rides.groupBy(run).agg(
+        F.count(F.lit(1)).alias("measured"), F.max("pickup_datetime").alias("captured_at")
+    )
+
+
 def ride_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row count of the rides in every run: the shortest profile, from file footers alone."""
     counted = ProfileSpec((), ("row_count",))
@@ -125,7 +185,7 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return triage.run_captures(ride_counts(spark, sf_dir))
 
 
-def fitness_facts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+def fitness_facts(spark: SparkSession, sf_dir: str, runs=RUNS) -> list[DataFrame]:
     return [
         metrics.fitness_rows(
             metrics.fitness_measures(
@@ -137,7 +197,7 @@ def fitness_facts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
             run,
             at,
         )
-        for spec, run, at in RUNS
+        for spec, run, at in runs
     ]
 
 
@@ -175,19 +235,24 @@ def hourly_kpi(
 DRIFT_YEAR = "1998"
 
 
-def landing(spark: SparkSession, sf_dir: str) -> str:
+def landing(spark: SparkSession, sf_dir: str, hour: str = "0") -> str:
     """Write both feeds as yearly parts and return the path template of a part.
 
+    ``hour`` is added to both ends of a trip: order dates alone are all midnight.
+
     Parts before 1998 hold vendors as doubles and whole passenger counts, and lack the
     surcharge; later parts hold the surcharge as text. The tables are joined once; the
     parts are written from the stored result, which lies in their order already.
     """
     keys = ["feed", "period"]
+    values = dict(b.TRIP_VALUES)
+    for end in ("pickup_datetime", "dropoff_datetime"):
+        values[end] += f" + make_interval(0, 0, 0, 0, CAST({hour} AS INT))"
     rows = tables.staged(
         b.joined(spark, sf_dir).selectExpr(
             f"{b.LABEL} AS feed",
             "date_format(o_orderdate, 'yyyy') AS period",
-            *[f"{sql} AS {name}" for name, sql in b.TRIP_VALUES.items()],
+            *[f"{sql} AS {name}" for name, sql in values.items()],
             "CAST(l_tax AS STRING) AS congestion_surcharge",
         ),
         keys,
@@ -307,10 +372,34 @@ def model_params(spark, sf_dir):
     return tables.model_frame(spark, MONTHLY_SQL, params, {"trips": clean(spark, sf_dir)})
 
 
+@query
+def rerun_facts(spark, sf_dir):
+    """The scorecard after a run was repeated under another rule: only its second attempt counts."""
+    name = tables.qualified(scratch_schema(spark), "dq_validation_result")
+    attempts = (RUNS[0], (b.EARLIER_SPEC, b.RUN_LATEST, b.AT_EARLIER), RUNS[1])
+    for spec, run, at in attempts:
+        facts = validation_of(spark, sf_dir, spec, run, at)
+        tables.replace_facts(facts, name, {"run_id": run})
+    return governance.scorecard(spark.table(name))
+
+
+@query
+def model_folder(spark, sf_dir):
+    """The rows of every table published from a folder of SQL files."""
+    params = {"run_id": b.RUN_LATEST, "fleet": "yellow"}
+    frames = {"trips": clean(spark, sf_dir)}
+    names = tables.publish_tables(
+        spark, tables.load_models(MODELS), scratch_schema(spark), params, frames
+    )
+    return union(
+        spark.table(n).withColumn("model", F.lit(n.rpartition(".")[2])) for n in names
+    )
+
+
 @query
 def publish_all(spark, sf_dir):
-    schema = f"tg_{uuid.uuid4().hex}"
-    tables.ensure_namespaces(spark, [schema], tables.shared_dir(spark))
+    """Rows of all published tables and views, and every value of the KPI tables."""
+    schema = scratch_schema(spark)
     base = tables.qualified(schema, "taxi_trips")
     tables.write_table(published(spark, sf_dir), base, ["year_month"])
     trips = spark.table(base)
@@ -323,39 +412,53 @@ def publish_all(spark, sf_dir):
     renamed = ", ".join(
         f"{c} AS {b.SPEC.renamed_columns.get(c, c)}" for c in b.SPEC.consumption_columns
     )
-    names = [
-        base,
-        *tables.publish_tables(spark, kpis, schema),
-        *tables.publish_views(
-            spark, {"vw_taxi_trips_tlc": f"SELECT {renamed} FROM {base}"}, schema
-        ),
-    ]
-    return governance.layer_counts({n.split(".")[-1]: spark.table(n) for n in names})
+    tables.publish_tables(spark, kpis, schema)
+    tables.publish_views(spark, {"vw_taxi_trips_tlc": f"SELECT {renamed} FROM {base}"}, schema)
+    made = {
+        name: spark.table(tables.qualified(schema, name))
+        for name in ("taxi_trips", "vw_taxi_trips_tlc", *kpis)
+    }
+    counts = governance.layer_counts(made).selectExpr(
+        "object", "'*' AS item", "CAST(row_count AS DOUBLE) AS measured"
+    )
+    return counts.unionByName(kpi_contents(made[taxi.KPI_MONTHLY], made[taxi.KPI_HOURLY]))
 
 
 @query
 def product_run(spark, sf_dir):
-    """All jobs from landing parts to KPIs over tables of their own, and the rows of each table."""
-    spec = replace(
-        b.SPEC,
-        fitness_rules=tuple(r for r in b.SPEC.fitness_rules if r.name != "q2_hours_coverage"),
-        hourly_period=b.PERIODS[0],
-        min_hours=1,
-    )
+    """All jobs from landing parts to KPIs: the rows of each table, every fact, every KPI value."""
+    spec = replace(b.SPEC, hourly_period=b.RUN_PERIOD)
     store = Store(prefix=f"tg_{uuid.uuid4().hex}_", location=tables.shared_dir(spark))
-    results = run_product(
-        spark, spec, store, b.RUN_LATEST, landing(spark, sf_dir), captured_at=b.AT_LATEST
-    )
+    template = landing(spark, sf_dir, b.HOUR)
+    results = run_product(spark, spec, store, b.RUN_LATEST, template, captured_at=b.AT_LATEST)
     blocked = [(r.job, r.blocked_by) for r in results if not r.ok]
     if blocked:
         raise RuntimeError(f"run blocked: {blocked}")
     run = Run(spark, spec, store, b.RUN_LATEST)
-    facts = {
-        f"governance.{name}": run.facts(name)
+    profiled, validated, fit = (
+        run.facts(name)
         for name in ("data_profile", "dq_validation_result", "fitness_for_use_result")
-    }
-    kpi = {f"consumption.{taxi.KPI_MONTHLY}": run.table("consumption", taxi.KPI_MONTHLY)}
-    return lineage(run).unionByName(governance.layer_counts(facts | kpi))
+    )
+    kpis = [run.table("consumption", name) for name in (taxi.KPI_MONTHLY, taxi.KPI_HOURLY)]
+    values = union(
+        [
+            lineage(run).selectExpr(
+                "object", "'*' AS item", "CAST(row_count AS DOUBLE) AS measured"
+            ),
+            contents(
+                profiled,
+                "data_profile",
+                "concat_ws('.', layer, column_name, metric)",
+                expressions.rounded("metric_value", 5),
+            ),
+            kpi_contents(*kpis),
+        ]
+    ).withColumn("passed", F.lit(None).cast("boolean"))
+    judged = [
+        facts.select(F.lit(name).alias("object"), F.col("rule").alias("item"), "measured", "passed")
+        for name, facts in (("dq_validation_result", validated), ("fitness_for_use_result", fit))
+    ]
+    return union([values, *judged])
 
 
 # Projection and the gate
@@ -558,24 +661,24 @@ def profile_latest(spark, sf_dir):
 
 @query
 def profile_matrix(spark, sf_dir):
-    wide = governance.profile_matrix(union(profiles(spark, sf_dir)))
+    wide = governance.profile_matrix(all_profiles(spark, sf_dir))
     return rounded(wide, 5, "null_rate", "min", "avg", "max")
 
 
 @query
 def profile_preferred(spark, sf_dir):
-    wide = governance.preferred_layer(union(profiles(spark, sf_dir)))
+    wide = governance.preferred_layer(all_profiles(spark, sf_dir))
     return rounded(wide, 5, "min", "avg", "max")
 
 
 @query
 def layer_rows(spark, sf_dir):
-    return governance.layer_rows(union(profiles(spark, sf_dir)))
+    return governance.layer_rows(all_profiles(spark, sf_dir))
 
 
 @query
 def worst_null_rates(spark, sf_dir):
-    return governance.worst_gaps(profiles(spark, sf_dir)[1])
+    return governance.worst_gaps(all_profiles(spark, sf_dir))
 
 
 # KPIs
@@ -595,18 +698,17 @@ def kpi_hourly_avg(spark, sf_dir):
 
 @query
 def kpi_latest_run(spark, sf_dir):
-    kpis = stored(monthly_kpi(spark, sf_dir, *run) for run in RUNS)
-    instants = kpis.withColumnRenamed("computed_at", "captured_at")
-    run = governance.latest_run(instants)
-    return governance.kpi_of_run(
-        kpis.drop("computed_at"), run, "avg_total_amount", 2, "year_month"
+    kpis = union(monthly_kpi(spark, sf_dir, *run) for run in WITH_UNVALIDATED)
+    found = governance.kpi_of_run(
+        kpis, validated_run(spark, sf_dir), "avg_total_amount", 2, "year_month"
     )
+    return instants_as_text(found, "computed_at")
 
 
 @query
 def kpi_null_share(spark, sf_dir):
-    kpis = stored(hourly_kpi(spark, sf_dir, run, at) for _, run, at in RUNS)
-    run = governance.latest_run(kpis.withColumnRenamed("computed_at", "captured_at"))
+    kpis = union(hourly_kpi(spark, sf_dir, run, at) for _, run, at in WITH_UNVALIDATED)
+    run = validated_run(spark, sf_dir)
     return governance.kpi_null_share(kpis.drop("computed_at"), run, "passenger_count")
 
 
@@ -642,12 +744,12 @@ def scorecard_latest_run(spark, sf_dir):
 
 @query
 def latest_run(spark, sf_dir):
-    return governance.latest_run(union(validations(spark, sf_dir)))
+    return governance.latest_run(daily_facts(spark, sf_dir))
 
 
 @query
 def run_list(spark, sf_dir):
-    runs = governance.run_list(ride_counts(spark, sf_dir))
+    runs = governance.run_list(daily_facts(spark, sf_dir))
     return instants_as_text(runs, "last_captured")
 
 
@@ -671,8 +773,8 @@ def reliability_rollup(spark, sf_dir):
 
 @query
 def fitness_latest_run(spark, sf_dir):
-    facts = stored(fitness_facts(spark, sf_dir))
-    return governance.fitness_of_run(facts, governance.latest_run(facts))
+    facts = union(fitness_facts(spark, sf_dir, WITH_UNVALIDATED))
+    return governance.fitness_of_run(facts, validated_run(spark, sf_dir))
 
 
 @query
@@ -682,25 +784,32 @@ def fitness_rollup(spark, sf_dir):
 
 @query
 def layer_counts(spark, sf_dir):
+    """Quarantine and KPI tables hold all runs; those of the latest validated one are counted."""
+    run = validated_run(spark, sf_dir)
     marked = gate.mark(b.trips(spark, sf_dir), RULES, b.RUN_LATEST, b.AT_LATEST)
     parts = {
         "canonical.yellow": "taxi_type = 'yellow'",
         "canonical.green": "taxi_type = 'green'",
         "clean.taxi_trips": "NOT dq_quarantined",
-        "clean.taxi_trips_quarantine": "dq_quarantined",
         "consumption.taxi_trips": "NOT dq_quarantined",
     }
-    kpis = {
-        f"consumption.{taxi.KPI_MONTHLY}": monthly_kpi(spark, sf_dir),
-        f"consumption.{taxi.KPI_HOURLY}": hourly_kpi(spark, sf_dir),
+    monthly = union(monthly_kpi(spark, sf_dir, *each) for each in WITH_UNVALIDATED)
+    hourly = union(hourly_kpi(spark, sf_dir, each, at) for _, each, at in WITH_UNVALIDATED)
+    scoped = {
+        "clean.taxi_trips_quarantine": governance.of_run(
+            quarantines(spark, sf_dir), run, "dq_run_id"
+        ),
+        f"consumption.{taxi.KPI_MONTHLY}": governance.of_run(monthly, run),
+        f"consumption.{taxi.KPI_HOURLY}": governance.of_run(hourly, run),
     }
-    return governance.counts_where(marked, parts).unionByName(governance.layer_counts(kpis))
+    return governance.counts_where(marked, parts).unionByName(governance.layer_counts(scoped))
 
 
 @query
 def quarantine_pct(spark, sf_dir):
-    return governance.marked_share(
-        gate.mark(b.trips(spark, sf_dir), RULES, b.RUN_LATEST, b.AT_LATEST)
+    run = validated_run(spark, sf_dir)
+    return governance.quarantine_share(
+        clean(spark, sf_dir), governance.of_run(quarantines(spark, sf_dir), run, "dq_run_id")
     )
 
 
@@ -709,7 +818,13 @@ def quarantine_pct(spark, sf_dir):
 
 @query
 def incident_top_rules(spark, sf_dir):
-    return triage.top_reasons(triage.incident_counts(quarantines(spark, sf_dir)))
+    return triage.top_reasons(triage.incident_counts(quarantines(spark, sf_dir)), k=3)
+
+
+@query
+def reasons_latest_run(spark, sf_dir):
+    incidents = triage.incident_counts(quarantines(spark, sf_dir))
+    return triage.top_reasons(governance.of_run(incidents, validated_run(spark, sf_dir)))
 
 
 @query

@@ -270,7 +270,7 @@ def worst_gaps(profiles: DataFrame, k: int = 5) -> DataFrame:
     worst = [F.desc("null_rate"), F.asc("layer"), F.asc("column_name")]
     rank = F.row_number().over(Window.partitionBy("run_id").orderBy(*worst))
     kept = gaps.withColumn("_rank", rank).where(F.col("_rank") <= k)
-    return kept.drop("_rank", "run_id").orderBy(*worst)
+    return kept.drop("_rank").orderBy("run_id", *worst)
 
 
 def rule_catalogue(spark: SparkSession, rules: Sequence[RowRule]) -> DataFrame:

@@ -25,6 +25,10 @@ class Layer:
     columns: tuple[str, ...] | None = None
 
 
+#: Fixed value: the partition key of missing values, as in the folders of partitioned tables.
+MISSING = "__HIVE_DEFAULT_PARTITION__"
+
+
 def profile(
     df: DataFrame,
     spec: ProfileSpec,
@@ -96,7 +100,9 @@ def profile_layers(
 
     columns = [F.expr(f"{sql} AS {name}") for sql, name in aggregates.items()]
     if partition:
-        key = F.expr(f"CAST({quoted(partition)} AS STRING)").alias("_partition")
+        # Without a name of its own, the missing value's profile would read as the whole table's.
+        key = F.expr(f"coalesce(CAST({quoted(partition)} AS STRING), {literal(MISSING)})")
+        key = key.alias("_partition")
         wide = flagged.groupBy(key).agg(*columns)
     else:
         wide = flagged.agg(*columns)
