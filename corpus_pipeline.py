@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustgate.llm import bpe, quality, secrets, simhash, templates
+from trustgate.llm import bpe, near_copies, quality, secrets, templates
 from trustgate.llm.common import stored
 
 
@@ -19,8 +19,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints stays."""
-    return simhash.one_of_each(docs)
+    """One document of each group of near copies (five-word shingles, 0.8 or more) stays."""
+    return near_copies.one_of_each(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
