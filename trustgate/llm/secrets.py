@@ -5,7 +5,9 @@ parts are harmless alone: a user name, a mixed character string, an address. Par
 lie in scopes (stretches without an empty line); an interval join inside a scope puts each part
 together with the parts whose interval, widened by ``reach`` code points, overlaps it. A weak
 part is reported only if a complementary part is joined to it: an identifier or an endpoint
-needs a secret, a weak secret needs an identifier.
+needs a secret, a weak secret needs an identifier other than the one whose value it is. Links are
+all joined pairs of identifier and secret, with each endpoint that is joined to the secret. Parts
+of one kind hardly overlap, so ``reach`` bounds a part's partners and links grow with the text.
 """
 
 from __future__ import annotations
@@ -116,6 +118,25 @@ class Intervals:
         return best
 
 
+    def near(self, part: Part, reach: int) -> list[Part]:
+        """All parts whose interval, widened by reach, overlaps, by start."""
+        found = []
+        i = bisect_left(self.starts, part.end + reach) - 1
+        while i >= 0 and self.ends[i] + reach > part.start:
+            if self.parts[i].end + reach > part.start:
+                found.append(self.parts[i])
+            i -= 1
+        return found[::-1]
+
+
+def _complements(secret: Part, idents: Intervals, reach: int) -> list[Part]:
+    """Identifiers joined to a secret; a weak secret is no complement of one that it overlaps."""
+    found = idents.near(secret, reach)
+    if secret.kind != "blob":
+        return found
+    return [p for p in found if p.end <= secret.start or secret.end <= p.start]
+
+
 def link(text: str, reach: int = REACH) -> Finding:
     """All reported spans of a text and the links between them."""
     strong = strong_parts(text)
@@ -129,14 +150,20 @@ def link(text: str, reach: int = REACH) -> Finding:
     spans, links = list(strong), []
     for parts in scopes.values():
         idents = Intervals([p for p in parts if p.kind in ("access", "ident")])
-        blobs = [p for p in parts if p.kind == "blob" and idents.nearest(p, reach)]
-        secrets = Intervals([p for p in parts if p.kind in ("assign", "hex")] + blobs)
         ends = Intervals([p for p in parts if p.kind == "endpoint"])
+        pairs = {
+            p: _complements(p, idents, reach) for p in parts if p.kind in ("assign", "hex", "blob")
+        }
+        blobs = [p for p, joined in pairs.items() if p.kind == "blob" and joined]
+        secrets = Intervals([p for p in parts if p.kind in ("assign", "hex")] + blobs)
+        linked = {ident for joined in pairs.values() for ident in joined}
         spans += blobs
-        spans += [p for p in parts if p.kind in ("ident", "endpoint") and secrets.nearest(p, reach)]
+        spans += [p for p in parts if p.kind == "ident" and p in linked]
+        spans += [p for p in parts if p.kind == "endpoint" and secrets.near(p, reach)]
         for secret in secrets.parts:
-            if (ident := idents.nearest(secret, reach)) is not None:
-                links.append((ident, secret, ends.nearest(secret, reach)))
+            if pairs[secret]:
+                near = ends.near(secret, reach) or [None]
+                links += [(ident, secret, end) for ident in pairs[secret] for end in near]
     return Finding(sorted(spans, key=_place), links)
 
 
