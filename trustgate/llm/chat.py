@@ -1,7 +1,8 @@
 """Chat formatting in budgeted windows.
 
 A conversation's prefix sums of turn tokens are cut at multiples of a budget, which gives spans
-of whole turns. Each span becomes a window: the system turn again, a limited number of earlier
+of whole turns; a turn that lies across a cut is a span of its own, so that the new turns of a
+window keep the budget unless one turn alone is over it. Each span becomes a window: the system turn again, a limited number of earlier
 turns as history, then the span's own turns. Only the assistant turns of the span itself are
 under the loss mask, so each is a target once, however often it is repeated.
 
@@ -84,7 +85,7 @@ def _placed(turns: DataFrame) -> DataFrame:
         dealt.join(starts, ["part", "conv"])
         .withColumn("at", F.col("n0") + F.row_number().over(inside) - 1)
         .withColumn("before", F.col("t0") + running - F.col("tokens"))
-        .select("conv", "conv_id", "at", "role", "text", "before")
+        .select("conv", "conv_id", "at", "role", "text", "tokens", "before")
     )
 
 
@@ -101,7 +102,9 @@ def format_chats(
     role counts as empty, a missing conv_id is one more conversation. A turn longer than the
     budget is a window with it alone among the new turns. Further columns are left out.
     """
-    placed = stored(_placed(turns).withColumn("span", F.floor(F.col("before") / budget)))
+    cell = F.floor(F.col("before") / budget)
+    across = (F.col("before") + F.col("tokens") > (cell + 1) * budget).cast("long")
+    placed = stored(_placed(turns).withColumn("span", cell * 2 + across))
     spans = placed.groupBy("conv", "span").agg(
         F.min("at").alias("first"), F.min("before").alias("first_before")
     )
