@@ -13,6 +13,7 @@ u32 differences.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
@@ -128,8 +129,36 @@ def unpack(payload: bytes) -> np.ndarray:
     return (out + low[:, None].astype(np.uint32)).reshape(-1)[:n]
 
 
+class FileMemory(TextMemory):
+    """Ids of texts by a tokenizer file, whose added tokens are found before all else."""
+
+    def __init__(self, split, encode, tokenizer):
+        super().__init__(split, encode)
+        self.tokenizer = tokenizer
+        added = [t for t in tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.added = {
+            t.content: array("I", [tokenizer.token_to_id(t.content)]).tobytes() for t in added
+        }
+        #: Those that take white space along or need a word's end are left to the library.
+        self.odd = [t.content for t in added if t.single_word or t.lstrip or t.rstrip]
+        # Of several that begin at one place the longest counts, as in the library.
+        longest = sorted(self.added, key=len, reverse=True)
+        self.marks = re.compile(f"({'|'.join(map(re.escape, longest))})") if added else None
+
+    def ids(self, text: str) -> bytes:
+        if self.marks is None or not self.marks.search(text):
+            return super().ids(text)
+        if any(mark in text for mark in self.odd):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        plain = super().ids
+        return b"".join(
+            self.added[part] if i % 2 else plain(part)
+            for i, part in enumerate(self.marks.split(text))
+        )
+
+
 @lru_cache(maxsize=2)
-def _memory(path: str) -> TextMemory:
+def _memory(path: str) -> FileMemory:
     """The library's pre-tokenizer and model, each pre-token of a worker encoded once."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -154,7 +183,7 @@ def _memory(path: str) -> TextMemory:
             token = token.encode().decode("latin-1").translate(shown)
         return array("I", [t.id for t in run(token)]).tobytes()
 
-    return TextMemory(split, encode)
+    return FileMemory(split, encode, tokenizer)
 
 
 def encode_text(text: str, path: str) -> np.ndarray:
