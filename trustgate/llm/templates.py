@@ -2,9 +2,10 @@
 
 Numbers, names and units become typed placeholders, all other words are lower-cased without
 punctuation. Windows of ``WINDOW`` such tokens of every document are hash-joined to the windows
-of the benchmark items. A hit's placeholders bind the item's values to the document's: a binding
-must be one-to-one over all of the item's hits in the document, and hits that break the one with
-the most support don't count. What remains must cover enough of the item.
+of the benchmark items. A hit's placeholders bind the item's values to the document's: within one
+copy of the item each of its values must stand for one value of the document, and hits that break
+the binding with the most support don't count. What remains must cover enough of the item, in any
+copy that the document holds.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ COVERED = 13
 SHARE = 0.5
 #: Benchmark text that one pass holds in memory; a larger benchmark takes several passes.
 PASS_BYTES = 32 << 20
+#: A run of hits goes on with one of so many latest chains.
+CHAINS = 8
 #: Remembered raw words per worker.
 REMEMBER = 150_000
 
@@ -192,25 +195,27 @@ class Index:
                         hits[key].append((place, own, size))
         out = []
         for (text, item), found in hits.items():
-            kept, changed = self._consistent(docs, found)
-            covered = {i for _, own, size in kept for i in range(own, own + size)}
+            best = None
+            for copy in _copies(found):
+                kept, changed = self._consistent(docs, copy)
+                covered = {i for _, own, size in kept for i in range(own, own + size)}
+                # Of copies that cover alike, a verbatim one is reported.
+                best = max(best or (0, False, 0), (len(covered), not changed, len(kept)))
             n = int(self.length[item])
-            if len(covered) >= min(COVERED, max(SHORTEST, -(-n * SHARE // 1))):
-                out.append((text, self.ids[item], len(kept), len(covered), n, changed))
+            if best[0] >= min(COVERED, max(SHORTEST, -(-n * SHARE // 1))):
+                out.append((text, self.ids[item], best[2], best[0], n, not best[1]))
         return out
 
     def _consistent(self, docs: Templates, hits: list[tuple[int, int, int]]):
-        """The hits whose slots agree with the best-supported one-to-one binding."""
+        """The hits whose slots agree with the best-supported value for each value of the item."""
         bound: list[list[tuple[str, str]]] = []
         for place, own, size in hits:
             slots = np.flatnonzero(self.texts.slot[own : own + size]).tolist()
             bound.append([(self.texts.value(own + i), docs.value(place + i)) for i in slots])
         support = Counter(pair for pairs in bound for pair in pairs)
         there: dict[str, str] = {}
-        back: dict[str, str] = {}
         for a, b in sorted(support, key=lambda p: (-support[p], p)):
-            if a not in there and b not in back:
-                there[a], back[b] = b, a
+            there.setdefault(a, b)
         good = [all(there.get(a) == b for a, b in pairs) for pairs in bound]
         kept = [h for h, ok in zip(hits, good, strict=True) if ok]
         changed = any(
@@ -219,6 +224,29 @@ class Index:
         return kept, changed
 
 
+def _copies(hits: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
+    """Groups of an item's hits in a document that may be one copy of it.
+
+    A copy without edits has one alignment, document place less item place. One with words added
+    or left out is a chain of alignments that goes on in both. All hits together stand for a copy
+    whose parts are in any other order.
+    """
+    runs: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+    for hit in sorted(hits):
+        runs[hit[0] - hit[1]].append(hit)
+    if len(runs) == 1:
+        return [hits]
+    chains: list[list[tuple[int, int, int]]] = []
+    for run in sorted(runs.values()):
+        for chain in chains[: -CHAINS - 1 : -1]:
+            if run[0][1] > chain[-1][1]:
+                chain += run
+                break
+        else:
+            chains.append(list(run))
+    return [*runs.values(), *chains, hits]
+
+
 def _passes(benchmark: DataFrame) -> list[list[tuple[object, str]]]:
     """The benchmark's items in parts of at most about PASS_BYTES each.
 
