@@ -1,7 +1,9 @@
 """Benchmark decontamination by template windows.
 
 Numbers, names and units become typed placeholders, all other words are lower-cased without
-punctuation. Windows of ``WINDOW`` such tokens of every document are hash-joined to the windows
+punctuation. A capitalised word is a name, but at the start of a sentence it may be either, so a text
+has two templates, and its plain words stand beside them: a window with too few literals for a
+template, or of a text whose sentences are cut otherwise, is found by its words. Windows of ``WINDOW`` such tokens of every document are hash-joined to the windows
 of the benchmark items. A hit's placeholders bind the item's values to the document's: within one
 copy of the item each of its values must stand for one value of the document, and hits that break
 the binding with the most support don't count. What remains must cover enough of the item, in any
@@ -22,15 +24,15 @@ from pyspark.sql import functions as F
 from trustgate.llm.common import id_and_text, map_texts, texts_of
 
 WINDOW = 8
-#: Items with fewer tokens are looked up whole, down to this many.
+#: So many covered tokens are a leak of an item of less than twice the length.
 SHORTEST = 5
-#: A window needs so many literal tokens, so that runs of numbers or names don't match.
+#: A template needs so many literal tokens, so that runs of numbers or names don't match.
 LITERALS = 4
 #: An item counts as leaked when so many of its tokens are covered, or this share of a short one.
 COVERED = 13
 SHARE = 0.5
 #: Benchmark text that one pass holds in memory; a larger benchmark takes several passes.
-PASS_BYTES = 32 << 20
+PASS_BYTES = 16 << 20
 #: A run of hits goes on with one of so many latest chains.
 CHAINS = 8
 #: Remembered raw words per worker.
@@ -53,6 +55,8 @@ UNITS = frozenset(
 NUMBER, NAME, UNIT = np.array([1, 2, 3], np.uint64)
 F_DROP, F_NUMBER, F_UNIT, F_TITLE, F_END = 1, 2, 4, 8, 16
 BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Ways to read a text: first words of sentences as literals, as names, and words alone.
+KINDS = range(3)
 
 
 def core_of(raw: bytes) -> str:
@@ -132,25 +136,37 @@ class Templates:
         after_number = np.zeros(len(kept), bool)
         after_number[1:] = number[:-1] & ~fresh[1:]
         unit = (flags & F_UNIT > 0) & after_number
-        name = (flags & F_TITLE > 0) & ~begins
-        self.slot = number | unit | name
-        self.codes = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, hashes)))
+        title = flags & F_TITLE > 0
+        self.slots = [number | unit | title & ~begins, number | unit | title]
+        self.slots.append(np.zeros(len(kept), bool))
+        typed = np.where(number, NUMBER, np.where(unit, UNIT, NAME))
+        self.codes = [np.where(slot, typed, hashes) for slot in self.slots]
 
     def value(self, i: int) -> str:
         return core_of(self.raw[self.at[i]]).lower()
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places of windows within one text that hold enough literals, and their hashes."""
-        n = len(self.codes) - size + 1
+    def windows(self, size: int, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of windows within one text that hold enough literals, and their hashes.
+
+        Windows of a later kind that read like those of the first one are left out.
+        """
+        codes = self.codes[kind]
+        n = len(codes) - size + 1
         if n < 1:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        ok = self.of[:n] == self.of[size - 1 :]
+        if kind < 2:
+            literal = np.concatenate([[0], np.cumsum(~self.slots[kind])])
+            ok &= literal[size:] - literal[:-size] >= min(LITERALS, size)
+        if kind:
+            other = np.concatenate([[0], np.cumsum(codes != self.codes[0])])
+            ok &= other[size:] > other[:-size]
+            if not ok.any():
+                return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         value = np.zeros(n, np.uint64)
         for i in range(size):
-            value = value * BASE + self.codes[i : i + n]
+            value = value * BASE + codes[i : i + n]
         value ^= value >> np.uint64(29)
-        literal = np.concatenate([[0], np.cumsum(~self.slot)])
-        ok = literal[size:] - literal[:-size] >= min(LITERALS, size)
-        ok &= self.of[:n] == self.of[size - 1 :]
         places = np.flatnonzero(ok)
         return places, value[places]
 
@@ -164,14 +180,20 @@ class Index:
         self.first = np.searchsorted(self.texts.of, np.arange(len(items) + 1))
         self.length = np.diff(self.first)
         self.tables: dict[int, tuple[np.ndarray, dict[int, list[int]]]] = {}
-        sizes = {WINDOW} | {n for n in self.length.tolist() if SHORTEST <= n < WINDOW}
-        for size in sizes:
+        # Items without a window of a template are looked up by their whole template as well.
+        windowed = {int(self.texts.of[p]) for k in (0, 1) for p in self.texts.windows(WINDOW, k)[0]}
+        whole = {n for i, n in enumerate(self.length.tolist()) if n > WINDOW and i not in windowed}
+        sizes = {WINDOW} | {n for n in self.length.tolist() if 0 < n < WINDOW} | whole
+        for size in sorted(sizes):
             found: dict[int, list[int]] = defaultdict(list)
-            places, values = self.texts.windows(size)
-            for place, value in zip(places.tolist(), values.tolist(), strict=True):
-                item = self.texts.of[place]
-                if size == WINDOW or self.length[item] == size:
-                    found[value].append(place)
+            for kind in KINDS if size <= WINDOW else KINDS[:2]:
+                places, values = self.texts.windows(size, kind)
+                for place, value in zip(places.tolist(), values.tolist(), strict=True):
+                    item = self.texts.of[place]
+                    if size == WINDOW or (
+                        self.length[item] == size and (size < WINDOW or item not in windowed)
+                    ):
+                        found[value].append(place << 2 | kind)
             # A bit table on the hash's upper bits rules nearly all windows out at once.
             seen = np.zeros(1 << 22, bool)
             if found:
@@ -183,34 +205,39 @@ class Index:
         if not self.tables:
             return []
         docs = Templates(texts)
-        hits: dict[tuple[int, int], list[tuple[int, int, int]]] = defaultdict(list)
+        hits: dict[tuple[int, int], list[tuple[int, int, int, int]]] = defaultdict(list)
         for size, (seen, found) in self.tables.items():
-            places, values = docs.windows(size)
-            maybe = np.flatnonzero(seen[values >> np.uint64(42)])
-            for place, value in zip(places[maybe].tolist(), values[maybe].tolist(), strict=True):
-                for own in found.get(value, ()):
-                    same = docs.codes[place : place + size] == self.texts.codes[own : own + size]
-                    if same.all():
-                        key = (int(docs.of[place]), int(self.texts.of[own]))
-                        hits[key].append((place, own, size))
+            for kind in KINDS if size <= WINDOW else KINDS[:2]:
+                places, values = docs.windows(size, kind)
+                maybe = np.flatnonzero(seen[values >> np.uint64(42)])
+                for place, value in zip(
+                    places[maybe].tolist(), values[maybe].tolist(), strict=True
+                ):
+                    for entry in found.get(value, ()):
+                        own, read = entry >> 2, entry & 3
+                        here = docs.codes[kind][place : place + size]
+                        if (here == self.texts.codes[read][own : own + size]).all():
+                            key = (int(docs.of[place]), int(self.texts.of[own]))
+                            hits[key].append((place, own, size, read))
         out = []
         for (text, item), found in hits.items():
             best = None
             for copy in _copies(found):
                 kept, changed = self._consistent(docs, copy)
-                covered = {i for _, own, size in kept for i in range(own, own + size)}
+                covered = {i for _, own, size, _ in kept for i in range(own, own + size)}
                 # Of copies that cover alike, a verbatim one is reported.
-                best = max(best or (0, False, 0), (len(covered), not changed, len(kept)))
+                windows = len({h[:3] for h in kept})
+                best = max(best or (0, False, 0), (len(covered), not changed, windows))
             n = int(self.length[item])
-            if best[0] >= min(COVERED, max(SHORTEST, -(-n * SHARE // 1))):
+            if best[0] >= min(COVERED, n, max(SHORTEST, -(-n * SHARE // 1))):
                 out.append((text, self.ids[item], best[2], best[0], n, not best[1]))
         return out
 
-    def _consistent(self, docs: Templates, hits: list[tuple[int, int, int]]):
+    def _consistent(self, docs: Templates, hits: list[tuple[int, int, int, int]]):
         """The hits whose slots agree with the best-supported value for each value of the item."""
         bound: list[list[tuple[str, str]]] = []
-        for place, own, size in hits:
-            slots = np.flatnonzero(self.texts.slot[own : own + size]).tolist()
+        for place, own, size, read in hits:
+            slots = np.flatnonzero(self.texts.slots[read][own : own + size]).tolist()
             bound.append([(self.texts.value(own + i), docs.value(place + i)) for i in slots])
         support = Counter(pair for pairs in bound for pair in pairs)
         there: dict[str, str] = {}
@@ -224,19 +251,19 @@ class Index:
         return kept, changed
 
 
-def _copies(hits: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
+def _copies(hits: list[tuple[int, int, int, int]]) -> list[list[tuple[int, int, int, int]]]:
     """Groups of an item's hits in a document that may be one copy of it.
 
     A copy without edits has one alignment, document place less item place. One with words added
     or left out is a chain of alignments that goes on in both. All hits together stand for a copy
     whose parts are in any other order.
     """
-    runs: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+    runs: dict[int, list[tuple[int, int, int, int]]] = defaultdict(list)
     for hit in sorted(hits):
         runs[hit[0] - hit[1]].append(hit)
     if len(runs) == 1:
         return [hits]
-    chains: list[list[tuple[int, int, int]]] = []
+    chains: list[list[tuple[int, int, int, int]]] = []
     for run in sorted(runs.values()):
         for chain in chains[: -CHAINS - 1 : -1]:
             if run[0][1] > chain[-1][1]:
@@ -280,8 +307,9 @@ SCHEMA = (
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item that it holds, verbatim or with other values.
 
-    Missing and empty texts on either side match nothing, and so do items below SHORTEST tokens
-    or without literal words. Items with the same text are all reported, repeated item rows
+    Missing and empty texts on either side match nothing, and so do items without a letter or
+    digit. Where an item has too few literal words for a template, it is found with its own values
+    alone; one of fewer than SHORTEST tokens must be there as a whole. Items with the same text are all reported, repeated item rows
     once; repeated documents each get their rows. Further columns are left out. The benchmark is
     taken in parts of bounded size, one pass over the documents each.
     """
