@@ -27,9 +27,8 @@ from trustgate.llm.common import map_texts, texts_of
 from trustgate.llm.pieces import TextMemory
 
 
-#: Pieces and pre-tokens of one generation of a worker's memory; workers outlive a stage.
-PIECES = 100_000
-TOKENS = 200_000
+#: Entries of one generation of a task's memory; it ends with the task, as workers outlive a stage.
+ENTRIES = 400_000
 #: Rows decoded at once.
 DECODE_ROWS = 256
 
@@ -139,10 +138,10 @@ class Codec:
     def whole(self) -> PerfectHash:
         return PerfectHash(self.ranks)
 
-    @cached_property
     def memory(self) -> TextMemory:
+        """A new encoder of texts, which remembers what it has encoded."""
         split = regex.compile(self.pattern).findall
-        return TextMemory(split, self._token, PIECES, TOKENS)
+        return TextMemory(split, self._token, ENTRIES)
 
     def _token(self, token: str) -> bytes:
         raw = token.encode()
@@ -151,7 +150,7 @@ class Codec:
 
     def encode(self, text: str) -> bytes:
         """Ids as packed 32-bit integers."""
-        return self.memory.ids(text)
+        return self.memory().ids(text)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -195,10 +194,10 @@ def encode(
     path, pattern = _defaults(path, pattern)
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        own = codec(path, pattern)
+        ids = codec(path, pattern).memory().ids
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            packed = [own.encode(t) if t else b"" for t in texts_of(batch)]
+            packed = [ids(t) if t else b"" for t in texts_of(batch)]
             offsets = np.zeros(len(packed) + 1, np.int32)
             np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
             values = np.frombuffer(b"".join(packed), "<i4")

@@ -3,21 +3,30 @@
 The pattern's matches hold white space only at their start: an optional space before letters,
 digits or signs, or a run of white space alone. So a place between a character that is not white
 space and a space always ends one match and begins the next, whatever follows. Encoding the
-pieces between such places one by one gives the ids of the whole text, and pieces repeat, so
-that a worker can remember them.
+pieces between such places one by one gives the ids of the whole text. Pieces repeat, so a worker
+remembers them. A plain pre-token taken alone is one pre-token again, so both share one memory.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 #: White space before a space: there a text isn't cut.
 BLANK = re.compile(r"\s ")
+#: A place where a text may be cut lies after the first character of a match.
+PLACE = re.compile(r"\S ")
+#: Characters of a text that are cut into pieces at once; a longer text is taken part by part.
+PART = 1 << 20
 #: Pieces and pre-tokens of one generation of a worker's memory.
-PIECES = 250_000
-TOKENS = 600_000
-#: Signs that end a plain piece; a run of them is one match.
+ENTRIES = 600_000
+#: Letters on which all character tables agree, and signs that end a plain piece; a run of signs
+#: is one match.
+LETTERS = "".join(filter(str.isalpha, map(chr, range(0x250))))
 SIGNS = ".,;:!?#*$%&|<>"
+#: Plain: letters, maybe after a space and before signs; more of them after single line ends.
+PLAIN = re.compile(f" ?[{LETTERS}]+[{SIGNS}]*(?:\n[{LETTERS}]+[{SIGNS}]*)*")
+PLAIN_TOKEN = re.compile(f" ?[{LETTERS}]+|[{SIGNS}]+|\n")
 #: Longer ones are encoded without being remembered.
 LONGEST = 64
 
@@ -37,6 +46,15 @@ def cut(text: str) -> list[str]:
     return out if out != [""] else []
 
 
+def parts(text: str, size: int = PART) -> Iterator[str]:
+    """Parts of about ``size`` characters, cut between pieces."""
+    start = 0
+    while len(text) - start > size and (found := PLACE.search(text, start + size)):
+        yield text[start : found.start() + 1]
+        start = found.start() + 1
+    yield text[start:] if start else text
+
+
 class Memory(dict):
     """Key -> packed ids, filled on demand by ``encode``.
 
@@ -62,38 +80,27 @@ class Memory(dict):
         return found
 
 
-def parts_of(piece: str) -> tuple[str, ...] | None:
-    """Pre-tokens of a plain piece, or None for any other piece.
-
-    Plain are letters, maybe after a space and before signs, and two of those with one line end
-    between them. Only letters below U+0250 count, on which all character tables agree.
-    """
-    body = piece[1:] if piece[:1] == " " else piece
-    if body.isalpha():
-        return (piece,) if max(body) < "\u0250" else None
-    line, end, rest = piece.partition("\n")
-    if end:
-        first, second = parts_of(line), rest[:1] != " " and parts_of(rest)
-        return (*first, end, *second) if first and second else None
-    word = body.rstrip(SIGNS)
-    if word.isalpha() and max(word) < "\u0250":
-        at = len(piece) - len(body) + len(word)
-        return piece[:at], piece[at:]
-    return None
-
-
 class TextMemory:
-    """Ids of texts from the ids of their pre-tokens, at two levels: pieces and pre-tokens."""
+    """Ids of texts from the ids of their pieces and pre-tokens, which are remembered."""
 
-    def __init__(self, split, encode, pieces: int = PIECES, tokens: int = TOKENS):
+    def __init__(self, split, encode, entries: int = ENTRIES):
         """split: a piece's pre-tokens; encode: packed ids of a pre-token."""
-        self.split = split
-        self.tokens = Memory(encode, tokens)
-        self.pieces = Memory(self._piece, pieces)
+        self.split, self.encode = split, encode
+        self.known = Memory(self._piece, entries)
 
     def _piece(self, piece: str) -> bytes:
-        parts = parts_of(piece)
-        return b"".join([self.tokens[t] for t in (self.split(piece) if parts is None else parts)])
+        word = piece[1:] if piece[:1] == " " else piece
+        if word.isalpha() and word.isascii():
+            return self.encode(piece)
+        if not PLAIN.fullmatch(piece):
+            return b"".join(map(self.encode, self.split(piece)))
+        tokens = PLAIN_TOKEN.findall(piece)
+        if len(tokens) == 1:
+            return self.encode(piece)
+        return b"".join([self.known[t] for t in tokens])
 
     def ids(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, cut(text)))
+        """Packed ids of a text."""
+        if len(text) <= PART:
+            return b"".join(map(self.known.__getitem__, cut(text)))
+        return b"".join([self.ids(part) for part in parts(text)])

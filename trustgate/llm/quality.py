@@ -268,8 +268,10 @@ def _verdict(judged: DataFrame, chosen: DataFrame) -> DataFrame:
     rejected = F.lit(False)
     for name, value in shares(F.col("q")).items():
         rejected = rejected | F.coalesce(value > F.col(f"limit_{name}"), F.lit(False))
+    # One row per stratum that has a cutoff, so its size is that of the strata: rows, with their
+    # texts, are not dealt by a stratum that may hold a third of them.
     return (
-        judged.join(limits, judged["stratum"] == limits["of"], "left")
+        judged.join(F.broadcast(limits), judged["stratum"] == limits["of"], "left")
         .withColumn("kept", ~F.col("q.base_failed") & ~rejected)
         .drop("of", *[f"limit_{n}" for n in GRID])
     )

@@ -145,9 +145,7 @@ class FileMemory(TextMemory):
         longest = sorted(self.added, key=len, reverse=True)
         self.marks = re.compile(f"({'|'.join(map(re.escape, longest))})") if added else None
 
-    def ids(self, text: str) -> bytes:
-        if self.marks is None or not self.marks.search(text):
-            return super().ids(text)
+    def _marked(self, text: str) -> bytes:
         if any(mark in text for mark in self.odd):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         plain = super().ids
@@ -156,6 +154,12 @@ class FileMemory(TextMemory):
             for i, part in enumerate(self.marks.split(text))
         )
 
+    def ids(self, text: str) -> bytes:
+        for mark in self.added:
+            if mark in text:
+                return self._marked(text)
+        return super().ids(text)
+
 
 @lru_cache(maxsize=2)
 def _memory(path: str) -> FileMemory:
@@ -171,6 +175,7 @@ def _memory(path: str) -> FileMemory:
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
     others = [b for b in range(256) if b not in plain]
     shown = {b: 256 + i for i, b in enumerate(others)}
+    space, line = chr(shown[32]), chr(shown[10])
 
     def split(piece: str) -> list[str]:
         """Pre-tokens, which the library gives with bytes shown as characters."""
@@ -179,6 +184,8 @@ def _memory(path: str) -> FileMemory:
     def encode(token: str) -> bytes:
         if token[0] == SHOWN:
             token = token[1:]
+        elif token.isascii():  # letters after a space, signs or a line end
+            token = token.replace(" ", space).replace("\n", line)
         else:
             token = token.encode().decode("latin-1").translate(shown)
         return array("I", [t.id for t in run(token)]).tobytes()
@@ -243,17 +250,17 @@ def write_token_files(
             }
             return pa.RecordBatch.from_pylist([row], _ARROW)
 
-        end = np.array([END_ID], "<u4").tobytes()
+        end, memory = np.array([END_ID], "<u4").tobytes(), _memory(tokenizer)
         for batch in batches:
             for piece in slices(batch):
                 for name, text in zip(
                     piece.column("doc_id").to_pylist(), texts_of(piece), strict=True
                 ):
-                    got = _memory(tokenizer).ids(text) + end
-                    ids.append(got)
+                    got = memory.ids(text)
+                    ids += (got, end)
                     names.append(name)
-                    lengths.append(len(got) // 4)
-                    held += len(got) // 4
+                    lengths.append(len(got) // 4 + 1)
+                    held += lengths[-1]
                     if held >= PAYLOAD_IDS:
                         yield close()
                         first, number, held = first + held, number + 1, 0
