@@ -45,12 +45,14 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     )
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that a slice holds BATCH_BYTES of the column, or a single longer row."""
+def slices(
+    batch: pa.RecordBatch, column: str = "text", most: int = BATCH_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that a slice holds ``most`` bytes of the column, or a single longer row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = held = 0
     for i, size in enumerate(sizes):
-        if i > start and (held + size > BATCH_BYTES or i - start >= BATCH_ROWS):
+        if i > start and (held + size > most or i - start >= BATCH_ROWS):
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += size
@@ -59,7 +61,10 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
 
 
 def map_texts(
-    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str
+    df: DataFrame,
+    make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
+    schema: str,
+    most: int = BATCH_BYTES,
 ) -> DataFrame:
     """Run ``make()``'s function over slices of a frame with a ``text`` column.
 
@@ -69,7 +74,7 @@ def map_texts(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=most):
                 out = work(part)
                 if out.num_rows:
                     yield out

@@ -11,8 +11,10 @@ from trustgate.llm import (
     bpe,
     chat,
     context_tree,
+    merkle,
     quality,
     repeats,
+    runs,
     secrets,
     shards,
     simhash,
@@ -82,6 +84,14 @@ def op10_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score_documents(read_documents(spark, sf_dir))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(runs.find_runs(runs.planted(read_documents(spark, sf_dir))))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_manifest(read_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -95,6 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_repeats,
         op9_byte_bpe,
         op10_context_tree,
+        op11_periodic_runs,
+        op13_merkle_manifest,
     )
 }
 
