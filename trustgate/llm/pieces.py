@@ -22,7 +22,8 @@ PART = 1 << 20
 ENTRIES = 600_000
 #: Letters on which all character tables agree, and signs that end a plain piece; a run of signs
 #: is one match.
-LETTERS = "".join(filter(str.isalpha, map(chr, range(0x250))))
+LIMIT = "\u0250"
+LETTERS = "".join(filter(str.isalpha, map(chr, range(ord(LIMIT)))))
 SIGNS = ".,;:!?#*$%&|<>"
 #: Plain: letters, maybe after a space and before signs; more of them after single line ends.
 PLAIN = re.compile(f" ?[{LETTERS}]+[{SIGNS}]*(?:\n[{LETTERS}]+[{SIGNS}]*)*")
@@ -89,9 +90,12 @@ class TextMemory:
         self.known = Memory(self._piece, entries)
 
     def _piece(self, piece: str) -> bytes:
-        word = piece[1:] if piece[:1] == " " else piece
-        if word.isalpha() and word.isascii():
-            return self.encode(piece)
+        word = piece.rstrip(SIGNS)
+        letters = word[1:] if word[:1] == " " else word
+        if letters.isalpha() and (letters.isascii() or max(letters) < LIMIT):
+            if len(word) == len(piece):
+                return self.encode(piece)
+            return self.known[word] + self.known[piece[len(word) :]]
         if not PLAIN.fullmatch(piece):
             return b"".join(map(self.encode, self.split(piece)))
         tokens = PLAIN_TOKEN.findall(piece)

@@ -12,6 +12,7 @@ from trustgate.llm import (
     chat,
     context_tree,
     merkle,
+    packing,
     quality,
     repeats,
     runs,
@@ -88,6 +89,19 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_digests(runs.find_runs(runs.planted(read_documents(spark, sf_dir))))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(read_documents(spark, sf_dir))
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_manifest(read_documents(spark, sf_dir))
 
@@ -106,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_byte_bpe,
         op10_context_tree,
         op11_periodic_runs,
+        op12_packing,
         op13_merkle_manifest,
     )
 }
