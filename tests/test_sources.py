@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import glob
+import os
 import uuid
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from trustgate.sources import feeds, tables
@@ -204,3 +207,60 @@ def test_a_part_with_files_of_two_layouts_keeps_all_columns(spark, tmp_path):
     more.coalesce(1).write.mode("append").parquet(part)
     df = feeds.read_feed(spark, f"{tmp_path}/{{feed}}_{{period}}.parquet", "f", ["p"], {})
     assert sorted(tuple(r) for r in df.select("a", "b").collect()) == [(1, None), (2, "x")]
+
+
+def _jobs(spark, work):
+    """What ``work`` returns, and how many jobs it ran."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        out = work()
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def _many_files(folder, parts, files):
+    """Parts of tiny files; the type of ``v`` changes halfway, later parts have one more column."""
+    for p in range(parts):
+        late = p >= parts // 2
+        os.makedirs(f"{folder}/y_{p:03d}")
+        table = pa.table({"v": pa.array([p], pa.float64() if late else pa.int64())})
+        if late:
+            table = table.append_column("extra", pa.array(["e"]))
+        for f in range(files):
+            pq.write_table(table, f"{folder}/y_{p:03d}/part-{f:05d}.parquet")
+
+
+def test_planning_a_feed_does_not_grow_with_its_files(spark, tmp_path):
+    """Two thousand files take as many jobs to look at as twenty, and as many scans."""
+    seen = {}
+    for files in (1, 100):
+        folder = f"{tmp_path}/{files}"
+        _many_files(folder, 20, files)
+        periods = [f"{p:03d}" for p in range(20)]
+        df, jobs = _jobs(
+            spark, lambda: feeds.read_feed(spark, folder + "/{feed}_{period}", "y", periods, {"v": "double"})
+        )
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        seen[files] = (jobs, plan.count("parquet"))
+        assert df.count() == 20 * files and df.where("extra = 'e'").count() == 10 * files
+    assert seen[1][1] == seen[100][1] == 2
+    # Listing many files is a job of its own, at most one for each look.
+    assert seen[100][0] <= 2 * seen[1][0]
+
+
+def test_types_that_alternate_take_one_scan_each(spark, tmp_path):
+    for i, kind in enumerate(("bigint", "double", "bigint", "double", "bigint")):
+        spark.range(1).selectExpr(f"CAST({i} AS {kind}) AS v").write.parquet(f"{tmp_path}/y_{i}")
+    periods = [str(i) for i in range(5)]
+    df = feeds.read_feed(spark, f"{tmp_path}/{{feed}}_{{period}}", "y", periods, {"v": "bigint"})
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 2
+    assert sorted(r["v"] for r in df.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_an_empty_part_fails(spark, tmp_path):
+    spark.range(1).write.parquet(f"{tmp_path}/y_1")
+    os.makedirs(f"{tmp_path}/y_2")
+    with pytest.raises(FileNotFoundError, match="y_2"):
+        feeds.read_feed(spark, f"{tmp_path}/{{feed}}_{{period}}", "y", ["1", "2"], {})
