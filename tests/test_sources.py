@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import os
+import threading
 import uuid
 
 import pyarrow as pa
@@ -196,7 +197,7 @@ def test_repeated_facts_take_the_place_of_the_earlier_ones(spark, schema):
     for run, value in (("o'x", 1), ("run-1", 2), ("o'x", 3)):
         df = spark.createDataFrame([(run, value)], "run_id string, v int")
         tables.replace_facts(df, name, {"run_id": run})
-    got = sorted(tuple(r) for r in spark.table(name).collect())
+    got = sorted(tuple(r) for r in spark.table(name).select("run_id", "v").collect())
     assert got == [("o'x", 3), ("run-1", 2)]
 
 
@@ -264,3 +265,87 @@ def test_an_empty_part_fails(spark, tmp_path):
     os.makedirs(f"{tmp_path}/y_2")
     with pytest.raises(FileNotFoundError, match="y_2"):
         feeds.read_feed(spark, f"{tmp_path}/{{feed}}_{{period}}", "y", ["1", "2"], {})
+
+
+def test_a_reader_never_misses_a_table_that_is_replaced(spark, schema):
+    """While a table is replaced again and again, a reader sees one version or another, whole."""
+    name = tables.qualified(schema, "t")
+    rows = lambda n: spark.range(n).selectExpr("id", "id % 3 AS part")
+    tables.write_table(rows(30), name, ["part"])
+    seen, failed, stop = set(), [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.add(spark.table(name).count())
+            except Exception as error:
+                failed.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for n in (60, 90, 30, 60, 90):
+            tables.write_table(rows(n), name, ["part"])
+    finally:
+        stop.set()
+        reader.join()
+    assert not failed and seen <= {30, 60, 90} and spark.table(name).count() == 90
+    assert sorted(r[0] for r in spark.table(name).select("part").distinct().collect()) == [0, 1, 2]
+
+
+def test_a_lost_file_raises_and_the_name_stays(spark, schema, monkeypatch):
+    name = tables.qualified(schema, "t")
+    tables.write_table(spark.range(5), name)
+    save = tables.counted_save
+
+    def lose(writer, df, path):
+        written = save(writer, df, path)
+        os.remove(sorted(glob.glob(f"{path.removeprefix('file:')}/part-*"))[0])
+        return written
+
+    monkeypatch.setattr(tables, "counted_save", lose)
+    with pytest.raises(RuntimeError, match="100 rows were written"):
+        tables.write_table(spark.range(0, 100, 1, 4), name)
+    assert spark.table(name).count() == 5
+    monkeypatch.undo()
+    tables.write_table(spark.range(0), name)
+    assert spark.table(name).count() == 0
+
+
+def test_runs_at_the_same_time_keep_each_other_s_facts(spark, schema):
+    name = tables.qualified(schema, "facts")
+
+    failed = []
+
+    def run(i, attempt):
+        df = spark.createDataFrame([(f"run-{i}", attempt)], "run_id string, v int")
+        try:
+            tables.replace_facts(df, name, {"run_id": f"run-{i}", "layer": "raw"})
+        except Exception as error:
+            failed.append(error)
+
+    for attempt in range(2):
+        threads = [threading.Thread(target=run, args=(i, attempt)) for i in range(6)]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+    got = sorted((r["run_id"], r["v"]) for r in spark.table(name).collect())
+    assert not failed and got == [(f"run-{i}", 1) for i in range(6)]
+
+
+def test_a_repeated_run_rewrites_its_own_files_alone(spark, schema):
+    name = tables.qualified(schema, "facts")
+    for run, v in (("a", 1), ("b", 2)):
+        df = spark.createDataFrame([(run, v)], "run_id string, v int")
+        tables.replace_facts(df, name, {"run_id": run})
+    before = set(spark.table(name).inputFiles())
+    wider = spark.createDataFrame([("b", 3, 0.5)], "run_id string, v int, x double")
+    tables.replace_facts(wider, name, {"run_id": "b"})
+    after = set(spark.table(name).inputFiles())
+    assert len(before) == len(after) == 2 and len(before & after) == 1
+    rows = sorted((r["run_id"], r["v"], r["x"]) for r in spark.table(name).collect())
+    assert rows == [("a", 1, None), ("b", 3, 0.5)]
+    tables.write_table(spark.range(1), tables.qualified(schema, "other"))
+    with pytest.raises(ValueError, match="no column facts_part"):
+        tables.replace_facts(wider, tables.qualified(schema, "other"), {"run_id": "b"})
