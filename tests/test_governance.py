@@ -234,12 +234,36 @@ def test_ageing_counts_runs_with_a_capture(quarantine, captures):
     assert (ages["run"]["quarantined_rows"], ages["run"]["max_days"]) == (60, 2)
     assert ages["old"]["avg_days"] == 9.0
     buckets = triage.age_buckets(quarantine, captures, "2024-02-10").collect()
-    assert [(r["age_bucket"], r["row_count"]) for r in buckets] == [
-        ("1-3 days", 60),
-        ("8+ days", 1),
+    assert [(r["run_id"], r["age_bucket"], r["row_count"]) for r in buckets] == [
+        ("old", "8+ days", 1),
+        ("run", "1-3 days", 60),
     ]
     today = triage.age_buckets(quarantine, captures, "2024-02-08").collect()
-    assert [r["age_bucket"] for r in today] == ["today", "4-7 days"]
+    assert [r["age_bucket"] for r in today] == ["4-7 days", "today"]
+
+
+def test_runs_of_the_same_age_keep_buckets_of_their_own(spark, quarantine):
+    at = datetime(2024, 2, 8)
+    same = spark.createDataFrame([("run", at), ("old", at)], "run_id string, captured_at timestamp")
+    buckets = triage.age_buckets(quarantine, same, "2024-02-10").collect()
+    assert [(r["run_id"], r["row_count"], r["bucket_rank"]) for r in buckets] == [
+        ("old", 1, 2),
+        ("run", 60, 2),
+    ]
+
+
+def test_a_run_is_read_by_value_and_not_by_a_join(spark, quarantine):
+    """The id is a scalar subquery: no join, no nested loop, and branches of a union filter by it."""
+    runs = spark.createDataFrame(
+        [("old", datetime(2024, 2, 1)), ("run", datetime(2024, 2, 8))],
+        "run_id string, captured_at timestamp",
+    )
+    both = quarantine.unionByName(quarantine)
+    own = governance.of_run(both, governance.latest_run(runs), "dq_run_id")
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Subquery" in plan
+    assert {r["dq_run_id"] for r in own.collect()} == {"run"} and own.count() == 120
+    assert governance.of_run(both, governance.latest_run(runs.limit(0)), "dq_run_id").count() == 0
 
 
 def test_sample_is_capped_repeatable_and_seeded(quarantine):

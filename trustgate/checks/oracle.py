@@ -294,13 +294,16 @@ def counts(objects: dict[str, str]) -> str:
     )
 
 
+# Rules are counted by outcome first, then put side by side per dimension.
 SCORECARD = """
-SELECT run_id, dimension, count(*) AS rules_evaluated,
-       CAST(sum(CASE WHEN passed THEN 1 ELSE 0 END) AS BIGINT) AS rules_passed,
-       avg(CASE WHEN passed THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS pass_rate,
-       max(CASE WHEN rule = 'hard_quarantine_rate' THEN measured END) AS quarantine_rate,
-       max(CASE WHEN rule = 'uniqueness_rate' THEN measured END) AS uniqueness_metric
-FROM facts GROUP BY run_id, dimension"""
+SELECT run_id, dimension, CAST(sum(n) AS BIGINT) AS rules_evaluated,
+       CAST(coalesce(sum(n) FILTER (WHERE ok), 0) AS BIGINT) AS rules_passed,
+       coalesce(sum(n) FILTER (WHERE ok), 0) / sum(n)::DOUBLE AS pass_rate,
+       max(rate) AS quarantine_rate, max(share) AS uniqueness_metric
+FROM (SELECT run_id, dimension, coalesce(passed, false) AS ok, count(*) AS n,
+             max(measured) FILTER (WHERE rule IN ('hard_quarantine_rate')) AS rate,
+             max(measured) FILTER (WHERE rule IN ('uniqueness_rate')) AS share
+      FROM facts GROUP BY ALL) GROUP BY ALL"""
 
 INCIDENTS = f"""
 quarantines AS (SELECT * FROM quarantine_{L} UNION ALL SELECT * FROM quarantine_{E}),
@@ -587,10 +590,11 @@ FROM found ANTI JOIN declared USING (object, column_name)""",
         )
     )
     + ") WHERE metric_value IS NOT NULL",
-    "profile_latest": f"""WITH {PROFILES}
-SELECT {PROFILE_OUT}, strftime(captured_at, '%Y-%m-%d %H:%M:%S') AS captured_at FROM profiles
-WHERE run_id = (SELECT run_id FROM profiles ORDER BY captured_at DESC LIMIT 1)
-  AND metric_value IS NOT NULL""",
+    "profile_latest": f"""WITH {PROFILES.replace("profiles AS (", "profiles AS MATERIALIZED (")},
+newest AS MATERIALIZED (SELECT max(captured_at) AS last_at FROM profiles)
+SELECT {PROFILE_OUT}, strftime(captured_at, '%Y-%m-%d %H:%M:%S') AS captured_at
+FROM profiles JOIN newest ON captured_at = last_at
+WHERE metric_value IS NOT NULL""",
     "profile_matrix": f"WITH {PROFILES} "
     + matrix(
         ["null_rate", "min", "avg", "max"], "(SELECT * FROM profiles WHERE column_name <> '*')"
@@ -718,12 +722,12 @@ SELECT dq_run_id AS run_id, count(*) AS quarantined_rows,
        min(days) AS min_days, max(days) AS max_days, avg(days) AS avg_days
 FROM aged GROUP BY dq_run_id""",
     "age_buckets": f"""WITH {GATED_BOTH},{AGES}
-SELECT CASE WHEN days = 0 THEN 'today' WHEN days BETWEEN 1 AND 3 THEN '1-3 days'
+SELECT dq_run_id AS run_id, CASE WHEN days = 0 THEN 'today' WHEN days BETWEEN 1 AND 3 THEN '1-3 days'
             WHEN days BETWEEN 4 AND 7 THEN '4-7 days' ELSE '8+ days' END AS age_bucket,
        count(*) AS row_count,
        CAST(CASE WHEN days = 0 THEN 1 WHEN days BETWEEN 1 AND 3 THEN 2
             WHEN days BETWEEN 4 AND 7 THEN 3 ELSE 4 END AS INTEGER) AS bucket_rank
-FROM aged GROUP BY 1, 3 ORDER BY bucket_rank""",
+FROM aged GROUP BY 1, 2, 4""",
     "stratified_sample": f"""WITH {GATED_BOTH},{AGES},
 ranked AS (
   SELECT *, row_number() OVER (

@@ -698,7 +698,7 @@ def kpi_hourly_avg(spark, sf_dir):
 
 @query
 def kpi_latest_run(spark, sf_dir):
-    kpis = stored(monthly_kpi(spark, sf_dir, *run) for run in WITH_UNVALIDATED)
+    kpis = union(monthly_kpi(spark, sf_dir, *run) for run in WITH_UNVALIDATED)
     found = governance.kpi_of_run(
         kpis, validated_run(spark, sf_dir), "avg_total_amount", 2, "year_month"
     )
@@ -707,7 +707,7 @@ def kpi_latest_run(spark, sf_dir):
 
 @query
 def kpi_null_share(spark, sf_dir):
-    kpis = stored(hourly_kpi(spark, sf_dir, run, at) for _, run, at in WITH_UNVALIDATED)
+    kpis = union(hourly_kpi(spark, sf_dir, run, at) for _, run, at in WITH_UNVALIDATED)
     run = validated_run(spark, sf_dir)
     return governance.kpi_null_share(kpis.drop("computed_at"), run, "passenger_count")
 
@@ -793,11 +793,11 @@ def layer_counts(spark, sf_dir):
         "clean.taxi_trips": "NOT dq_quarantined",
         "consumption.taxi_trips": "NOT dq_quarantined",
     }
-    monthly = stored(monthly_kpi(spark, sf_dir, *each) for each in WITH_UNVALIDATED)
-    hourly = stored(hourly_kpi(spark, sf_dir, each, at) for _, each, at in WITH_UNVALIDATED)
+    monthly = union(monthly_kpi(spark, sf_dir, *each) for each in WITH_UNVALIDATED)
+    hourly = union(hourly_kpi(spark, sf_dir, each, at) for _, each, at in WITH_UNVALIDATED)
     scoped = {
         "clean.taxi_trips_quarantine": governance.of_run(
-            stored([quarantines(spark, sf_dir).select("dq_run_id")]), run, "dq_run_id"
+            quarantines(spark, sf_dir), run, "dq_run_id"
         ),
         f"consumption.{taxi.KPI_MONTHLY}": governance.of_run(monthly, run),
         f"consumption.{taxi.KPI_HOURLY}": governance.of_run(hourly, run),
@@ -808,10 +808,8 @@ def layer_counts(spark, sf_dir):
 @query
 def quarantine_pct(spark, sf_dir):
     run = validated_run(spark, sf_dir)
-    quarantined = stored([quarantines(spark, sf_dir).select("dq_run_id")])
-    return governance.quarantine_share(
-        clean(spark, sf_dir), governance.of_run(quarantined, run, "dq_run_id")
-    )
+    quarantined = governance.of_run(quarantines(spark, sf_dir), run, "dq_run_id")
+    return governance.quarantine_share(clean(spark, sf_dir), quarantined)
 
 
 # Triage
@@ -824,8 +822,8 @@ def incident_top_rules(spark, sf_dir):
 
 @query
 def reasons_latest_run(spark, sf_dir):
-    incidents = stored([triage.incident_counts(quarantines(spark, sf_dir))])
-    return triage.top_reasons(governance.of_run(incidents, validated_run(spark, sf_dir)))
+    own = governance.of_run(quarantines(spark, sf_dir), validated_run(spark, sf_dir), "dq_run_id")
+    return triage.top_reasons(triage.incident_counts(own))
 
 
 @query

@@ -39,9 +39,12 @@ def latest_run(facts: DataFrame) -> DataFrame:
 
 
 def of_run(df: DataFrame, run: DataFrame, column: str = "run_id") -> DataFrame:
-    """The rows of the runs listed in ``run``, a frame of one row or a few."""
-    runs = run.select(F.col("run_id").alias("_run"))
-    return df.join(runs, F.col(column) == F.col("_run"), "left_semi")
+    """The rows of the run named by ``run``, a frame of one row.
+
+    Its id is a scalar subquery: Spark works it out once, ahead of the scan, and compares a
+    column to a value, which prunes partitions, is pushed below a union and needs no join.
+    """
+    return df.where(F.col(column) == run.select("run_id").scalar())
 
 
 def _dimension_scores() -> list[Column]:

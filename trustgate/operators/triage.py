@@ -89,12 +89,13 @@ def ageing(quarantine: DataFrame, captures: DataFrame, as_of: str | None = None)
 
 
 def age_buckets(quarantine: DataFrame, captures: DataFrame, as_of: str | None = None) -> DataFrame:
-    """Quarantined rows per age bucket, youngest bucket first."""
+    """Quarantined rows of every run per age bucket, youngest bucket first."""
     bucket = F.expr(age_bucket("days_in_quarantine")).alias("age_bucket")
-    counted = _counted_with_age(quarantine, captures, as_of).groupBy(bucket)
+    run = F.col("dq_run_id").alias("run_id")
+    counted = _counted_with_age(quarantine, captures, as_of).groupBy(run, bucket)
     rows = counted.agg(F.expr("sum(n) AS row_count"))
     return rows.selectExpr("*", f"{bucket_rank('age_bucket')} AS bucket_rank").orderBy(
-        "bucket_rank"
+        "run_id", "bucket_rank"
     )
 
 
