@@ -55,3 +55,17 @@ def test_sample_limits_groups_before_the_shuffle(large):
 def test_scans_read_only_needed_columns(large):
     plan = plan_of(entry.queries()["kpi_hourly_avg"](large, SF))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in plan
+
+
+def test_keys_are_shuffled_as_digests_without_counters(large):
+    """The shuffle of distinct keys holds two hashes, what rows are counted by, and one count."""
+    for name in ("validation_result", "aggregate_rules"):
+        plan = plan_of(entry.queries()[name](large, SF))
+        (partial,) = [
+            line
+            for line in plan.splitlines()
+            if "HashAggregate(keys=[_ok" in line and "_key1" in line and "partial_" in line
+        ]
+        functions = partial.partition("functions=[")[2]
+        assert functions.startswith("partial_count(1)") and functions.count("partial_") == 1
+        assert "vendor_id" not in partial and "taxi_type" not in partial

@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 from trustgate.functions.expressions import (
     as_rows,
     compare,
+    fails,
     instant,
     literal,
     null,
     quoted,
     ratio,
 )
-from trustgate.operators.gate import row_rule_record, violation_counts, violations
+from trustgate.operators.gate import row_rule_record, violations
 from trustgate.plans.spec import (
     DECLARED_TYPES,
     ColumnSpec,
@@ -40,9 +41,19 @@ def upper_median(column: str) -> str:
     return f"CAST(percentile_disc(0.5) WITHIN GROUP (ORDER BY {column} DESC) AS BIGINT)"
 
 
-def struct_of(columns: Sequence[str]) -> str:
-    """Several columns as one value, in which NULLs are equal to each other."""
-    return f"struct({', '.join(quoted(c) for c in columns)})"
+def digest_of(columns: Sequence[str]) -> list[str]:
+    """A value of several columns as two 64-bit hashes, in which NULLs are equal to each other.
+
+    A hash skips a NULL, so which columns are NULL goes in ahead of them.
+    """
+    parts = [f"{quoted(c)} IS NULL" for c in columns] + [quoted(c) for c in columns]
+    return [f"xxhash64({seed}, {', '.join(parts)})" for seed in (1, 2)]
+
+
+def failure_pattern(rules: Sequence[RowRule]) -> str:
+    """Which of the rules a row fails, as one letter for each."""
+    flags = [f"CASE WHEN {fails(r)} THEN 'f' ELSE '-' END" for r in rules]
+    return f"concat({', '.join(flags)})" if flags else "''"
 
 
 def measure(
@@ -50,42 +61,38 @@ def measure(
 ) -> DataFrame:
     """One row with the counts every aggregate rule needs, and violations of ``rules``.
 
-    ``accepted`` tells clean rows from quarantined ones. Rows are counted per period first.
-    Distinct keys ride along as a distinct count of the key as one struct; Spark groups by
-    key before it shuffles, so a key held by a third of all rows leaves each task as one
-    row. Rejected rows share one NULL key and cost nothing.
-
-    Period counts of distinct keys add up only when the key fixes the period. For other
-    keys the total is counted in a second grouping set of the same pass.
+    ``accepted`` tells clean rows from quarantined ones. One pass counts two things apart: rows by
+    period and by the pattern of rules they fail, which are few, and rows by the digest of their
+    key. A key crosses the shuffle as its digest alone, once for each task that has it, so a key
+    held by a third of all rows leaves a task as one row, and no counter of a rule travels with a
+    key. Rejected rows share one NULL key.
     """
-    key = struct_of(spec.business_key) if spec.business_key else null("INT")
+    key = digest_of(spec.business_key) if spec.business_key else ["0L", "0L"]
     flat = df.selectExpr("*", f"{accepted} AS _ok").selectExpr(
-        "*",
+        "_ok",
         f"CASE WHEN _ok THEN {quoted(spec.period)} END AS _period",
-        f"CASE WHEN _ok THEN {key} END AS _key",
+        f"{failure_pattern(rules)} AS _fails",
+        *[f"CASE WHEN _ok THEN {sql} END AS _key{i}" for i, sql in enumerate(key)],
     )
-    counts = [
-        F.expr("count(1) AS n"),
-        F.expr("count(DISTINCT _key) AS keys"),
-        *violation_counts(rules),
-    ]
-    if spec.key_fixes_period or not spec.business_key:
-        periods = flat.groupBy("_ok", "_period").agg(*counts)
-        periods = periods.withColumn("_total", F.lit(False))
-        distinct_keys = "sum(keys)"
-    else:
-        sets = [[F.col("_ok"), F.col("_period")], []]
-        periods = flat.groupingSets(sets, "_ok", "_period").agg(
-            *counts, F.expr("grouping(_ok) = 1 AS _total")
-        )
-        distinct_keys = "max(CASE WHEN _total THEN keys END)"
+    rows, keys = ["_ok", "_period", "_fails"], ["_key0", "_key1"]
+    counted = flat.groupingSets(
+        [[F.col(c) for c in rows], [F.col(c) for c in keys]], *rows, *keys
+    ).agg(F.expr("count(1) AS n"), F.expr("grouping(_ok) = 1 AS _is_key"))
+    failed = [f"substr(_fails, {i}, 1) = 'f'" for i, _ in enumerate(rules, 1)]
+    # Few rows per period and task from here on, and one for all keys of a task.
+    periods = counted.groupBy("_ok", "_period", "_is_key").agg(
+        F.expr("sum(n) AS n"),
+        F.expr("count(_key0) AS keys"),
+        *[F.expr(f"sum(n) FILTER (WHERE {x}) AS {violations(r)}") for x, r in zip(failed, rules)],
+    )
+    has_key = literal(bool(spec.business_key))
     sums = {
-        "total_rows": "sum(n) FILTER (WHERE NOT _total)",
+        "total_rows": "sum(n) FILTER (WHERE NOT _is_key)",
         "clean_rows": "sum(_clean_n)",
-        "distinct_keys": distinct_keys,
-        **{violations(r): f"sum({violations(r)}) FILTER (WHERE NOT _total)" for r in rules},
+        "distinct_keys": f"sum(keys) FILTER (WHERE _is_key AND {has_key})",
+        **{violations(r): f"sum({violations(r)}) FILTER (WHERE NOT _is_key)" for r in rules},
     }
-    return periods.selectExpr("*", "CASE WHEN _ok AND NOT _total THEN n END AS _clean_n").agg(
+    return periods.selectExpr("*", "CASE WHEN _ok AND NOT _is_key THEN n END AS _clean_n").agg(
         *[F.expr(f"coalesce({total}, 0) AS {name}") for name, total in sums.items()],
         F.expr("count(_clean_n) AS periods"),
         F.expr("min(_clean_n) AS smallest_period"),
@@ -246,8 +253,12 @@ def period_coverage(clean: DataFrame, period: str) -> DataFrame:
 
 
 def duplicate_rate(clean: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows, distinct keys and the share of rows beyond the first of their key; NULLs are equal."""
-    keys = clean.groupBy(*key).agg(F.expr("count(1) AS n"))
+    """Rows, distinct keys and the share of rows beyond the first of their key; NULLs are equal.
+
+    Keys are shuffled as their digests.
+    """
+    digest = clean.selectExpr(*[f"{sql} AS _key{i}" for i, sql in enumerate(digest_of(key))])
+    keys = digest.groupBy("_key0", "_key1").agg(F.expr("count(1) AS n"))
     totals = keys.agg(
         F.expr("coalesce(sum(n), 0) AS clean_rows"), F.expr("count(1) AS distinct_keys")
     )
