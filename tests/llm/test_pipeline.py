@@ -57,20 +57,24 @@ def good(text: str | None) -> bool:
     return len(words) >= 50 and 100 * len(covered) <= 50 * len(words)
 
 
-def bits(text: str) -> int:
-    words = text.encode().lower().split()
-    hashes = [xxhash.xxh64_intdigest(b" ".join(words[i : i + 4]), 42) for i in range(len(words) - 3)]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+def shingles(text: str) -> frozenset:
+    words = (text or "").lower().split()
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
 
 
 def one_of_each(rows: list[tuple]) -> list[tuple]:
-    prints = [bits(r[1]) for r in rows]
+    """The first of each group of texts whose five-word shingles agree to 0.8 or more."""
+    sets = [shingles(r[1]) for r in rows]
     label = list(range(len(rows)))
+    alike = [
+        (a, b)
+        for a in range(len(rows))
+        for b in range(a)
+        if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    ]
     for _ in rows:
-        for a, p in enumerate(prints):
-            for b, q in enumerate(prints):
-                if (p ^ q).bit_count() <= simhash.BUDGET:
-                    label[a] = label[b] = min(label[a], label[b])
+        for a, b in alike:
+            label[a] = label[b] = min(label[a], label[b])
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
     first: dict[int, int] = {}
     for i in order:

@@ -242,7 +242,7 @@ def _encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Ids of whole documents, each with its end id, in payloads (see ``token_files``)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = token_files._memory(tokenizer)
+        encoder = token_files.memory(tokenizer)
         end = np.array([END_ID], "<u4").tobytes()
         part, unit = TaskContext.get().partitionId(), 0
         ids, names, lengths, held = [], [], [], 0
@@ -261,7 +261,7 @@ def _encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
                 for name, text in zip(
                     piece.column("doc_id").to_pylist(), texts_of(piece), strict=True
                 ):
-                    got = memory.ids(text)
+                    got = encoder.ids(text)
                     ids += (got, end)
                     names.append(name)
                     lengths.append(len(got) // 4 + 1)

@@ -162,8 +162,8 @@ class FileMemory(TextMemory):
 
 
 @lru_cache(maxsize=2)
-def _memory(path: str) -> FileMemory:
-    """The library's pre-tokenizer and model, each pre-token of a worker encoded once."""
+def _library(path: str):
+    """A file's tokenizer, and functions that split a piece and encode a pre-token by it."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -190,12 +190,20 @@ def _memory(path: str) -> FileMemory:
             token = token.encode().decode("latin-1").translate(shown)
         return array("I", [t.id for t in run(token)]).tobytes()
 
-    return FileMemory(split, encode, tokenizer)
+    return split, encode, tokenizer
+
+
+def memory(path: str) -> FileMemory:
+    """A new encoder by the library's pre-tokenizer and model, which remembers what it encodes.
+
+    A task makes its own, so that idle workers don't hold what an earlier stage remembered.
+    """
+    return FileMemory(*_library(path))
 
 
 def encode_text(text: str, path: str) -> np.ndarray:
     """The library's ids of a whole text, piece by piece (see ``pieces``)."""
-    return np.frombuffer(_memory(path).ids(text), "<u4")
+    return np.frombuffer(memory(path).ids(text), "<u4")
 
 
 FILE_SCHEMA = (
@@ -250,13 +258,13 @@ def write_token_files(
             }
             return pa.RecordBatch.from_pylist([row], _ARROW)
 
-        end, memory = np.array([END_ID], "<u4").tobytes(), _memory(tokenizer)
+        end, encoder = np.array([END_ID], "<u4").tobytes(), memory(tokenizer)
         for batch in batches:
             for piece in slices(batch):
                 for name, text in zip(
                     piece.column("doc_id").to_pylist(), texts_of(piece), strict=True
                 ):
-                    got = memory.ids(text)
+                    got = encoder.ids(text)
                     ids += (got, end)
                     names.append(name)
                     lengths.append(len(got) // 4 + 1)
