@@ -194,3 +194,31 @@ def test_a_blocked_first_run_with_a_quote_shows_its_scorecard(spark, tmp_path):
     views = [v.name for v in spark.catalog.listTables(store.schema("governance"))]
     cards = [v for v in views if "scorecard" in v]
     assert cards and spark.table(store.name("governance", cards[0])).count() > 0
+
+
+def test_a_blocked_repeat_leaves_the_facts_of_the_published_rows(spark, tmp_path):
+    """Facts of the repeat are kept under its attempt; the run's go on describing what is shown."""
+    land(spark, tmp_path / "landing")
+    store = new_store(tmp_path)
+    template = f"{tmp_path}/landing/{taxi.FEED_PATH}"
+    spec = replace(taxi.TAXI_TRIPS, min_hours=1)
+    assert all(r.ok for r in run_product(spark, spec, store, "run-1", template, AT))
+
+    def facts(name, run):
+        rows = Run(spark, spec, store, run).facts(name).drop("facts_part").collect()
+        return sorted(map(str, rows))
+
+    names = ("dq_validation_result", "data_profile", "fitness_for_use_result")
+    before = {name: facts(name, "run-1") for name in names}
+    wrong = spec.with_rule("year_month_in_window", "year_month = '2023-01'")
+    blocked = run_product(spark, wrong, store, "run-1", template, AT)
+    assert blocked[-1].job == "build_clean" and not blocked[-1].ok
+    raw = [x for x in before["data_profile"] if "layer='raw'" in x]
+    assert raw and {name: facts(name, "run-1") for name in names} == before
+    runs = spark.table(store.name("governance", "dq_validation_result")).select("run_id").distinct()
+    (attempt,) = {r[0] for r in runs.collect()} - {"run-1"}
+    assert attempt.startswith("run-1/")
+    # A fitness rule that blocks leaves the facts about the published table likewise.
+    late = replace(spec, hourly_period="2031-01")
+    assert run_product(spark, late, store, "run-1", template, AT)[-1].job == "publish_consumption"
+    assert facts("fitness_for_use_result", "run-1") == before["fitness_for_use_result"]

@@ -11,6 +11,7 @@ from trustgate.plans.spec import (
     FailedRowsCheck,
     FeedSpec,
     FitnessRule,
+    KpiSpec,
     ProductSpec,
     ProfileSpec,
     RowRule,
@@ -23,6 +24,7 @@ __all__ = [
     "FailedRowsCheck",
     "FeedSpec",
     "FitnessRule",
+    "KpiSpec",
     "ProductSpec",
     "ProfileSpec",
     "RowRule",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trustgate.functions.expressions import instant, literal, quoted
+from trustgate.plans.spec import KpiSpec, ProductSpec
 
 
 def consumption(clean: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -68,6 +69,44 @@ def hourly_average(
     )
 
 
+def kpi_cube(df: DataFrame, spec: ProductSpec) -> DataFrame:
+    """All KPIs of a product from one scan: a grouping set for each, over the rows it asks for.
+
+    ``kpi_rows`` takes a KPI's rows out of it. Groups are as few as the answers' rows, and one
+    more for the rows that a KPI doesn't ask for.
+    """
+    columns, aggregates = [], []
+    for i, kpi in enumerate(spec.kpis):
+        columns.append(f"coalesce({kpi.condition(spec)}, false) AS _in{i}")
+        aggregates += [
+            F.expr(f"{sql} FILTER (WHERE _in{i}) AS {quoted(f'{i}_{name}')}")
+            for name, sql in kpi.measures.items()
+        ]
+    keyed = df.selectExpr("*", *columns).selectExpr(
+        "*",
+        *[f"CASE WHEN _in{i} THEN {kpi.key} END AS _g{i}" for i, kpi in enumerate(spec.kpis)],
+    )
+    sets = [[F.col(f"_in{i}"), F.col(f"_g{i}")] for i in range(len(spec.kpis))]
+    names = [name for i in range(len(spec.kpis)) for name in (f"_in{i}", f"_g{i}")]
+    asked = " OR ".join(f"_in{i}" for i in range(len(spec.kpis)))
+    return keyed.where(asked).groupingSets(sets, *names).agg(
+        *aggregates,
+        *[F.expr(f"grouping(_in{i}) = 0 AND _in{i} AS _of{i}") for i in range(len(spec.kpis))],
+    )
+
+
+def kpi_rows(
+    cube: DataFrame, spec: ProductSpec, name: str, run_id: str, computed_at: str | None = None
+) -> DataFrame:
+    """One KPI's table from the cube, stamped with the run."""
+    i, kpi = next((i, k) for i, k in enumerate(spec.kpis) if k.name == name)
+    return cube.where(f"_of{i}").select(
+        F.col(f"_g{i}").alias(kpi.grain),
+        *[F.col(f"{i}_{measure}").alias(measure) for measure in kpi.measures],
+        *_stamps(run_id, computed_at),
+    )
+
+
 def completeness(
     kpi: DataFrame, name: str, exactly: int | None = None, at_least: int | None = None
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Callable
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -17,8 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustgate.functions.expressions import quoted
-from trustgate.operators import gate, governance, harmonize, marts, metrics, profile
-from trustgate.plans import taxi
+from trustgate.operators import gate, governance, harmonize, marts, metrics, profile, statistics
 from trustgate.plans.spec import ProductSpec
 from trustgate.plans.views import governance_views, rename_view
 from trustgate.sources import feeds, tables
@@ -26,9 +25,11 @@ from trustgate.sources import feeds, tables
 logger = logging.getLogger(__name__)
 
 LAYERS = ("raw", "clean", "consumption", "governance")
-TRIPS = "taxi_trips"
-QUARANTINE = "taxi_trips_quarantine"
 FACTS = ("data_profile", "dq_validation_result", "fitness_for_use_result")
+#: A run's counts per period and failed rules, from which later facts are summed up.
+STATISTICS = "run_statistics"
+#: Property of a published table or view: the run whose rows it shows.
+SHOWS = "trustgate.run"
 
 
 @dataclass(frozen=True)
@@ -80,7 +81,9 @@ class Run:
     """One run of one product over one store.
 
     ``attempt`` tells repeated runs of one id apart: each writes tables of its own, and its facts
-    take the place of the earlier attempt's.
+    take the place of the earlier attempt's. An attempt that is blocked while rows of an earlier
+    one are published keeps its facts under ``run_id/attempt``, so that the run's facts go on
+    describing the rows that readers see.
     """
 
     spark: SparkSession
@@ -93,32 +96,37 @@ class Run:
     def table(self, layer: str, name: str) -> DataFrame:
         return self.spark.table(self.store.name(layer, name))
 
-    def append(self, facts: DataFrame, name: str, **keys: object) -> None:
-        """Store facts of this run; ``keys`` tell its parts of one facts table apart."""
-        target = self.store.name("governance", name)
-        tables.replace_facts(facts, target, {"run_id": self.run_id, **keys}, self.store.fmt)
+    def append(self, facts: DataFrame, name: str, label: str = "", **keys: object) -> None:
+        """Store facts of this run; ``keys`` tell its parts of one facts table apart.
+
+        ``label`` is the run they are stored under, if not this one's id.
+        """
+        target, run = self.store.name("governance", name), label or self.run_id
+        labelled = facts.withColumn("run_id", F.lit(run))
+        tables.replace_facts(labelled, target, {"run_id": run, **keys}, self.store.fmt)
+
+    def label(self, layer: str, blocked: Sequence[str]) -> str:
+        """The run that facts about a layer's new rows belong to."""
+        shown = tables.noted(self.spark, self.store.name(layer, self.spec.table), SHOWS)
+        kept = blocked and not self.store.publish_blocked and shown == self.run_id
+        return f"{self.run_id}/{self.attempt}" if kept else self.run_id
 
     def facts(self, name: str) -> DataFrame:
         """This run's facts, as stored."""
         return self.table("governance", name).where(F.col("run_id") == F.lit(self.run_id))
 
-    def profile(self, df: DataFrame, layer: str, table: str) -> None:
-        self.append(
-            profile.profile(df, self.spec.profile, self.run_id, layer, table, self.captured_at),
-            "data_profile",
-            layer=layer,
-            table_name=table,
-        )
+    @property
+    def quarantine(self) -> str:
+        return f"{self.spec.table}_quarantine"
+
+    def profile(self, facts: DataFrame, layer: str, table: str, label: str = "") -> None:
+        self.append(facts, "data_profile", label, layer=layer, table_name=table)
 
     def canonical(self) -> DataFrame:
-        raw = [(self.table("raw", raw_table(feed.label)), feed) for feed in self.spec.feeds]
+        raw = [(self.table("raw", feed.raw_table), feed) for feed in self.spec.feeds]
         return harmonize.canonical(raw, self.spec)
 
 
-def raw_table(label: str) -> str:
-    return f"{label}_tripdata"
-
-
 def names_in(df: DataFrame) -> tuple[str, ...]:
     """Names of failed rules: never more than the product declares."""
     return tuple(sorted(row[0] for row in df.collect()))
@@ -137,15 +145,19 @@ def ingest(run: Run, template: str) -> JobResult:
         df = feeds.read_feed(
             run.spark, template, feed.label, spec.landing_parts, spec.drifting_types
         )
-        name = run.store.name("raw", raw_table(feed.label))
-        stamped = feeds.with_provenance(df, feed.label, run.captured_at)
+        name = run.store.name("raw", feed.raw_table)
+        stamped = feeds.with_provenance(df, feed.label, run.captured_at, f"{spec.category}_hint")
         tables.write_table(stamped, name, fmt=run.store.fmt)
         rows[name] = run.spark.table(name).count()
     empty = tuple(name for name, n in rows.items() if n == 0)
     skipped: tuple[str, ...] = ()
     if not empty:
+        projected = f"{spec.table}_projected"
         try:
-            run.profile(run.canonical(), "raw", "taxi_trips_projected")
+            facts = profile.profile(
+                run.canonical(), spec.profile, run.run_id, "raw", projected, run.captured_at
+            )
+            run.profile(facts, "raw", projected)
         except PySparkException:
             logger.exception("raw profile skipped in run %s", run.run_id)
             skipped = ("raw profile",)
@@ -154,17 +166,19 @@ def ingest(run: Run, template: str) -> JobResult:
 
 def gated_table(run: Run) -> str:
     """The marked rows of one attempt: no two run ids, nor attempts of one, share the name."""
-    return run.store.name("clean", f"{TRIPS}_gated_{run.run_id.encode().hex()}_{run.attempt}")
+    return run.store.name(
+        "clean", f"{run.spec.table}_gated_{run.run_id.encode().hex()}_{run.attempt}"
+    )
 
 
 def publish_governance(run: Run) -> None:
     """The governance views whose facts exist so far; a blocked run shows its scorecard too."""
     store, spark = run.store, run.spark
-    needed = [store.name("governance", f) for f in FACTS] + [store.name("clean", QUARANTINE)]
+    needed = [store.name("governance", f) for f in FACTS] + [store.name("clean", run.quarantine)]
     missing = [name for name in needed if not spark.catalog.tableExists(name)]
     views = {
         name: text
-        for name, text in governance_views(store).items()
+        for name, text in governance_views(store, run.spec).items()
         if not any(m in text for m in missing)
     }
     if views:
@@ -174,9 +188,9 @@ def publish_governance(run: Run) -> None:
 def build_clean(run: Run) -> JobResult:
     """Raw to clean and quarantine, every rule scored, the clean layer profiled.
 
-    The marked rows are written once, to a table of the run. Rule counts, aggregate metrics
-    and profile read its columns; then the clean and quarantine views are pointed at its
-    partitions, unless a rule blocks.
+    The marked rows are written once, to a table of the run, and read once for all that is
+    counted (``statistics``); distinct keys are a second pass over the key's columns. Then the
+    clean and quarantine views are pointed at the table's partitions, unless a rule blocks.
     """
     spec, store, spark = run.spec, run.store, run.spark
     canonical = run.canonical()
@@ -186,89 +200,103 @@ def build_clean(run: Run) -> JobResult:
     tables.write_table(marked, name, partitions, store.fmt, rebalance=store.rebalance)
 
     gated = spark.table(name)
-    if gated.isEmpty():
+    stats = tables.staged(statistics.statistics(gated, spec))
+    # One row for each side.
+    sides = dict(stats.groupBy("dq_quarantined").agg(F.sum("n")).collect())
+    if not sides:
         return JobResult("build_clean", ("empty input",))
-    measures = metrics.measure(gated, spec, "NOT dq_quarantined", spec.row_rules)
-    facts = metrics.validation_rows(measures, spec, run.run_id, run.captured_at)
-    run.append(facts, "dq_validation_result")
-    clean = gated.where("NOT dq_quarantined").select(*canonical.columns)
-    run.profile(clean, "clean", TRIPS)
-
-    rows = {TRIPS: clean.count(), QUARANTINE: gated.where("dq_quarantined").count()}
-    blocked = names_in(metrics.blocking(run.facts("dq_validation_result")))
-    presence = metrics.category_presence(clean, spec.category, spec.expected_categories)
-    wrong = names_in(presence.where("NOT passed").selectExpr("coalesce(category, 'NULL')"))
-    blocked += tuple(f"{spec.category}={category}" for category in wrong)
+    rows = {spec.table: sides.get(False, 0), run.quarantine: sides.get(True, 0)}
+    keys = statistics.distinct_keys(gated, spec.business_key)
+    measures = statistics.as_measures(stats, keys, spec.row_rules)
+    facts = tables.staged(metrics.validation_rows(measures, spec, run.run_id, run.captured_at))
+    blocked = names_in(metrics.blocking(facts))
+    blocked += statistics.wrong_categories(stats, gated, spec)
+    label = run.label("clean", blocked)
+    run.append(stats.withColumn("run_id", F.lit(label)), STATISTICS, label)
+    run.append(facts, "dq_validation_result", label)
+    run.profile(profile_of(run, stats, "clean"), "clean", spec.table, label)
     if store.publish_blocked or not blocked:
         columns = ", ".join(quoted(c) for c in canonical.columns)
         trail = ", ".join(gate.trail_columns(spec.row_rules, run.run_id))
         views = {
-            TRIPS: f"SELECT {columns} FROM {name} WHERE NOT dq_quarantined",
-            QUARANTINE: f"SELECT {columns}, {trail} FROM {name} WHERE dq_quarantined",
+            spec.table: f"SELECT {columns} FROM {name} WHERE NOT dq_quarantined",
+            run.quarantine: f"SELECT {columns}, {trail} FROM {name} WHERE dq_quarantined",
         }
-        tables.publish_views(spark, views, store.schema("clean"), store.catalog)
+        for view in tables.publish_views(spark, views, store.schema("clean"), store.catalog):
+            tables.note(spark, view, SHOWS, run.run_id, "VIEW")
     publish_governance(run)
     return JobResult("build_clean", blocked, rows)
 
 
+def profile_of(run: Run, stats: DataFrame, layer: str) -> DataFrame:
+    """The profile of the clean rows, as a layer's table shows them, from the run's statistics."""
+    spec = run.spec
+    shown = spec.consumption_columns if layer == "consumption" else None
+    kept = profile.Layer(layer, spec.table, "NOT dq_quarantined", shown)
+    return statistics.as_profile(
+        stats,
+        run.canonical().columns,
+        spec.profile,
+        run.run_id,
+        [kept],
+        run.captured_at,
+    )
+
+
 def publish_consumption(run: Run) -> JobResult:
     """Clean to the consumer table and its renamed view, checked for fitness and profiled.
 
-    Fitness looks at the rows about to be published; the table is replaced unless it blocks.
+    Fitness looks at the rows about to be published; the table is replaced unless it blocks. The
+    rows written are counted against the run's statistics, from which their profile comes too.
     """
     spec, store, spark = run.spec, run.store, run.spark
-    published = marts.consumption(run.table("clean", TRIPS), spec.consumption_columns)
-    rows = {TRIPS: published.count()}
-    if rows[TRIPS] == 0:
+    published = marts.consumption(run.table("clean", spec.table), spec.consumption_columns)
+    stats = run.facts(STATISTICS)
+    clean = stats.where("NOT dq_quarantined").agg(F.sum("n"))
+    rows = {spec.table: clean.first()[0] or 0}
+    if rows[spec.table] == 0:
         return JobResult("publish_consumption", ("empty consumption",), rows)
-    facts = metrics.fitness_rows(
-        metrics.fitness_measures(published, spec),
-        spec.fitness_rules,
-        run.run_id,
-        run.captured_at,
+    facts = tables.staged(
+        metrics.fitness_rows(
+            metrics.fitness_measures(published, spec),
+            spec.fitness_rules,
+            run.run_id,
+            run.captured_at,
+        )
     )
-    run.append(facts, "fitness_for_use_result")
+    blocked = names_in(metrics.blocking_fitness(facts, spec.fitness_rules))
+    run.append(facts, "fitness_for_use_result", run.label("consumption", blocked))
     publish_governance(run)
-    failed = metrics.blocking_fitness(run.facts("fitness_for_use_result"), spec.fitness_rules)
-    blocked = names_in(failed)
 
     if store.publish_blocked or not blocked:
-        name = store.name("consumption", TRIPS)
+        name = store.name("consumption", spec.table)
         # The gated table already lies in period order, file by file: no second shuffle.
-        tables.write_table(published, name, [spec.period], store.fmt, rebalance=False)
-        views = {"vw_taxi_trips_tlc": rename_view(name, spec)}
-        tables.publish_views(spark, views, store.schema("consumption"), store.catalog)
-        run.profile(spark.table(name), "consumption", TRIPS)
+        tables.write_table(
+            published, name, [spec.period], store.fmt, rebalance=False, expected=rows[spec.table]
+        )
+        tables.note(spark, name, SHOWS, run.run_id)
+        if spec.interface:
+            views = {spec.interface: rename_view(name, spec)}
+            tables.publish_views(spark, views, store.schema("consumption"), store.catalog)
+        run.profile(profile_of(run, stats, "consumption"), "consumption", spec.table)
     return JobResult("publish_consumption", blocked, rows)
 
 
 def analyse(run: Run) -> JobResult:
-    """Consumption to the KPI tables; too few months or hours block and leave the old tables."""
+    """Consumption to the KPI tables; too few rows in any block and leave the old tables.
+
+    All KPIs come from one scan of the consumer table.
+    """
     spec, store = run.spec, run.store
-    consumption = run.table("consumption", TRIPS)
-    kpis: dict[str, Callable[[], DataFrame]] = {
-        taxi.KPI_MONTHLY: lambda: marts.monthly_average(
-            consumption,
-            "total_amount",
-            run.run_id,
-            spec.period,
-            f"{spec.category} = '{spec.monthly_category}'",
-            run.captured_at,
-        ),
-        taxi.KPI_HOURLY: lambda: marts.hourly_average(
-            consumption,
-            "passenger_count",
-            run.run_id,
-            spec.event_time,
-            f"{spec.period} = '{spec.hourly_period}'",
-            run.captured_at,
-        ),
+    if not spec.kpis:
+        return JobResult("analyse")
+    cube = tables.staged(marts.kpi_cube(run.table("consumption", spec.table), spec))
+    made = {
+        kpi.name: marts.kpi_rows(cube, spec, kpi.name, run.run_id, run.captured_at)
+        for kpi in spec.kpis
     }
-    made = {name: tables.staged(kpi()) for name, kpi in kpis.items()}
-    checks = marts.completeness(
-        made[taxi.KPI_MONTHLY], taxi.KPI_MONTHLY, exactly=len(spec.periods)
-    ).unionByName(
-        marts.completeness(made[taxi.KPI_HOURLY], taxi.KPI_HOURLY, at_least=spec.min_hours)
+    checks = feeds.union_parts(
+        marts.completeness(made[kpi.name], kpi.name, **kpi.needed(spec)) for kpi in spec.kpis
     )
     found = checks.collect()
     short = tuple(row["kpi"] for row in found if not row["passed"])
@@ -307,8 +335,9 @@ def run_product(
 
 def lineage(run: Run) -> DataFrame:
     """Rows of every table on the way from the feeds to the consumer."""
-    stored = [("raw", raw_table(feed.label)) for feed in run.spec.feeds]
-    stored += [("clean", TRIPS), ("clean", QUARANTINE), ("consumption", TRIPS)]
+    table = run.spec.table
+    stored = [("raw", feed.raw_table) for feed in run.spec.feeds]
+    stored += [("clean", table), ("clean", run.quarantine), ("consumption", table)]
     return governance.layer_counts(
         {f"{layer}.{name}": run.table(layer, name) for layer, name in stored}
     )

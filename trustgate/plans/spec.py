@@ -139,24 +139,78 @@ class ColumnSpec:
 
 @dataclass(frozen=True)
 class FeedSpec:
-    """How one feed's columns map to the canonical record: ``columns`` is canonical -> source."""
+    """How one feed's columns map to the canonical record: ``columns`` is canonical -> source.
+
+    ``table`` names the feed's raw table, by default after its label.
+    """
 
     label: str
     columns: Mapping[str, str]
     carry: tuple[str, ...] = ("source_file", "ingest_ts")
     label_override: str | None = None
+    table: str = ""
+
+    @property
+    def raw_table(self) -> str:
+        return self.table or f"{self.label}_raw"
+
+
+@dataclass(frozen=True)
+class KpiSpec:
+    """A business question: measures of published rows per value of a grain.
+
+    ``grain`` names the key column and ``grain_sql`` computes it; ``only`` picks the rows, and may
+    name settings of the product in braces. A measure is one aggregate call. ``exactly`` or
+    ``at_least`` says how many rows the answer needs: a number, or a setting of the product that
+    is one or has a length.
+    """
+
+    name: str
+    grain: str
+    measures: Mapping[str, str]
+    grain_sql: str = ""
+    only: str = "true"
+    exactly: int | str | None = None
+    at_least: int | str | None = None
+
+    def __post_init__(self):
+        if not self.measures:
+            raise SpecError(f"{self.name}: a KPI needs a measure")
+        for measure in self.measures.values():
+            if "(" not in measure or not measure.endswith(")"):
+                raise SpecError(f"{self.name}: {measure!r} isn't one aggregate call")
+        if (self.exactly is None) == (self.at_least is None):
+            raise SpecError(f"{self.name}: state either the exact or the least number of rows")
+
+    @property
+    def key(self) -> str:
+        return self.grain_sql or f"`{self.grain}`"
+
+    def condition(self, product: ProductSpec) -> str:
+        return self.only.format_map(vars(product))
+
+    def needed(self, product: ProductSpec) -> dict[str, int]:
+        """``exactly`` or ``at_least`` with its number."""
+        kind = "exactly" if self.at_least is None else "at_least"
+        value = getattr(self, kind)
+        value = getattr(product, value) if isinstance(value, str) else value
+        return {kind: value if isinstance(value, int) else len(value)}
 
 
 @dataclass(frozen=True)
 class ProductSpec:
     """One governed product: feeds, rules, declared columns and the key facts about its tables.
 
-    ``period`` is the event time in ``period_format`` and nothing else: equal event times share
+    ``table`` names its tables and views, ``interface`` the view under older column names (none if
+    empty), ``kpis`` the questions it answers. ``period`` is the event time in ``period_format`` and nothing else: equal event times share
     a period. ``mandatory_rules`` names row rules that must be declared, with the severity each
     must have. ``periods`` are the periods it promises to cover, ``parts`` the landing parts of each feed
     where they are not one per period.
     """
 
+    table: str = "records"
+    interface: str = ""
+    kpis: tuple[KpiSpec, ...] = ()
     feeds: tuple[FeedSpec, ...] = ()
     row_rules: tuple[RowRule, ...] = ()
     aggregate_rules: tuple[AggregateRule, ...] = ()
@@ -185,6 +239,7 @@ class ProductSpec:
         _unique("rule names", [r.name for r in (*self.row_rules, *self.aggregate_rules)])
         _unique("fitness rule names", [r.name for r in self.fitness_rules])
         _unique("check names", [c.name for c in self.checks])
+        _unique("KPI names", [k.name for k in self.kpis])
         declared = {r.name: r.severity for r in self.row_rules}
         for name, severity in self.mandatory_rules.items():
             if declared.get(name) != severity:

@@ -8,6 +8,7 @@ from trustgate.plans.spec import (
     FailedRowsCheck,
     FeedSpec,
     FitnessRule,
+    KpiSpec,
     ProductSpec,
     ProfileSpec,
     RowRule,
@@ -33,6 +34,7 @@ DRIFTING_TYPES = {
 
 YELLOW = FeedSpec(
     label="yellow",
+    table="yellow_tripdata",
     columns={
         "vendor_id": "VendorID",
         "passenger_count": "passenger_count",
@@ -43,6 +45,7 @@ YELLOW = FeedSpec(
 )
 GREEN = FeedSpec(
     label="green",
+    table="green_tripdata",
     columns={
         "vendor_id": "VendorID",
         "passenger_count": "passenger_count",
@@ -169,7 +172,32 @@ MODELS = {
     ),
 }
 
+KPIS = (
+    KpiSpec(
+        KPI_MONTHLY,
+        "year_month",
+        {"avg_total_amount": "avg(total_amount)", "trip_count": "count(1)"},
+        only="taxi_type = '{monthly_category}'",
+        exactly="periods",
+    ),
+    KpiSpec(
+        KPI_HOURLY,
+        "pickup_hour",
+        {
+            "avg_passenger_count": "avg(passenger_count)",
+            "trip_count": "count(1)",
+            "null_passenger_count": "count_if(passenger_count IS NULL)",
+        },
+        grain_sql="hour(pickup_datetime)",
+        only="year_month = '{hourly_period}'",
+        at_least="min_hours",
+    ),
+)
+
 TAXI_TRIPS = ProductSpec(
+    table="taxi_trips",
+    interface="vw_taxi_trips_tlc",
+    kpis=KPIS,
     feeds=(YELLOW, GREEN),
     row_rules=ROW_RULES,
     aggregate_rules=AGGREGATE_RULES,

@@ -19,11 +19,11 @@ def rename_view(table: str, spec: ProductSpec) -> str:
     return f"SELECT {columns} FROM {table}"
 
 
-def governance_views(store: Store) -> dict[str, str]:
+def governance_views(store: Store, spec: ProductSpec) -> dict[str, str]:
     validation = store.name("governance", "dq_validation_result")
     profiles = store.name("governance", "data_profile")
     fitness = store.name("governance", "fitness_for_use_result")
-    quarantine = store.name("clean", "taxi_trips_quarantine")
+    quarantine = store.name("clean", f"{spec.table}_quarantine")
     return {
         "vw_dq_scorecard": f"""
             SELECT run_id, dimension,

@@ -140,8 +140,10 @@ def read_feed(
     )
 
 
-def with_provenance(df: DataFrame, feed: str, ingested_at: str | None = None) -> DataFrame:
-    """Stamp the feed a row belongs to and when it was taken in."""
+def with_provenance(
+    df: DataFrame, feed: str, ingested_at: str | None = None, hint: str = "taxi_type_hint"
+) -> DataFrame:
+    """Stamp the feed a row belongs to, in the column ``hint``, and when it was taken in."""
     return df.selectExpr(
-        "*", f"{instant(ingested_at)} AS ingest_ts", f"{literal(feed)} AS taxi_type_hint"
+        "*", f"{instant(ingested_at)} AS ingest_ts", f"{literal(feed)} AS {quoted(hint)}"
     )
