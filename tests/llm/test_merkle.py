@@ -112,3 +112,20 @@ def test_untampered_rows_verify(spark):
     rows = merkle.manifest(docs)
     folded = rows.select("root", merkle.folded(rows["leaf"], rows["proof"]).alias("f")).collect()
     assert len(folded) == len(rows_of(100)) and all(r.f == r.root for r in folded)
+
+
+def test_manifest_matches_sql(spark):
+    """Whole documents of the test tables, and odd rows, against the SQL text."""
+    import duckdb
+
+    from trustgate.llm.oracle import ORACLE_SQL
+
+    rows = rows_of(300)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?, ?)", rows)
+    want = con.sql(ORACLE_SQL["op13_merkle_manifest"])
+    got = spark.createDataFrame([(*r, "clash", 7) for r in rows], SCHEMA)
+    found = merkle.verify_manifest(got)
+    assert found.columns == want.columns
+    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, want.fetchall()))

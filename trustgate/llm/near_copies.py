@@ -35,13 +35,18 @@ SAMPLE = 20
 FREQUENT = 1 << 18
 
 
-def shingles(text: str, words: int = WORDS) -> np.ndarray:
-    """Hashes of the distinct shingles, ascending; a text with fewer words is one shingle."""
+def hashes(text: str, words: int = WORDS) -> np.ndarray:
+    """Hashes of all shingles in order; a text with fewer words is one shingle."""
     found = text.encode().lower().split()
     last = max(1, len(found) - words + 1)
     digest = xxhash.xxh64_intdigest
-    hashes = (digest(b" ".join(found[i : i + words]), simhash.SEED) for i in range(last))
-    return np.unique(np.fromiter(hashes, np.uint64, last)).view(np.int64)
+    each = (digest(b" ".join(found[i : i + words]), simhash.SEED) for i in range(last))
+    return np.fromiter(each, np.uint64, last)
+
+
+def shingles(text: str, words: int = WORDS) -> np.ndarray:
+    """Hashes of the distinct shingles, ascending."""
+    return np.unique(hashes(text, words)).view(np.int64)
 
 
 def _lists(values: list[np.ndarray]) -> pa.Array:
@@ -86,15 +91,21 @@ def _prefixes(texts: DataFrame, words: int, share: Fraction, frequent: np.ndarra
             return own[np.lexsort((own, rank))[:kept]]
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = batch.column("text").to_pylist()
-            found = [shingles(t, words) for t in texts]
+            prints, sizes, prefixes = [], [], []
+            # One text's hashes at a time: only its print and prefix stay.
+            for text in batch.column("text").to_pylist():
+                each = hashes(text, words)
+                own = np.unique(each).view(np.int64)
+                prints.append(simhash.vote(each) if text.strip(" \t\n\r\v\f") else 0)
+                sizes.append(len(own))
+                prefixes.append(first(own))
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column("node"),
                     batch.column("key"),
-                    pa.array([simhash.fingerprint(t, words) for t in texts], pa.int64()),
-                    pa.array([len(x) for x in found], pa.int64()),
-                    _lists([first(x) for x in found]),
+                    pa.array(prints, pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    _lists(prefixes),
                 ],
                 names=["node", "key", "fp", "n", "prefix"],
             )
@@ -142,15 +153,17 @@ def links(texts: DataFrame, words: int = WORDS, share: Fraction = SHARE) -> Data
     texts: ``node``, ``key`` and ``text``; rows with the same node have the same text.
     """
     p, q = share.numerator, share.denominator
-    known = stored(_prefixes(texts, words, share, _frequent(texts, words)))
+    # Of rows with the same text one goes on: a large group of exact copies is one node.
+    known = _prefixes(texts, words, share, _frequent(texts, words)).dropDuplicates(["node"])
+    known = stored(known)
 
     # Members of groups: of a component of fingerprints, or of a shingle in the prefix.
     prints = stored(known.select("fp").distinct())
     label = simhash.components(simhash.near_links(prints, prints.count()))
     close = known.join(label, known.fp == label.node, "left").select(
-        F.coalesce("label", "fp").alias("group"), known["node"], "n"
+        F.coalesce("label", "fp").alias("group"), known["node"], "n", F.lit(0).alias("at")
     )
-    spread = known.select(F.explode("prefix").alias("group"), "node", "n")
+    spread = known.select(F.posexplode("prefix").alias("at", "group"), "node", "n")
 
     def with_head(rows: DataFrame) -> DataFrame:
         """The rows of groups of several nodes, each once, with the group's first node."""
@@ -161,7 +174,7 @@ def links(texts: DataFrame, words: int = WORDS, share: Fraction = SHARE) -> Data
                 "high": F.max("node").over(same),
             }
         )
-        return stored(both.where("head.node <> high").drop("high").distinct())
+        return stored(both.where("head.node <> high").drop("high"))
 
     def candidates(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) of sizes n and m, one row for each shingle that their prefixes share."""
@@ -187,15 +200,21 @@ def links(texts: DataFrame, words: int = WORDS, share: Fraction = SHARE) -> Data
     )
     label = simhash.components(found).toDF("node", "label")
     left = shared.join(label, "node", "left").select(
-        "group", "node", "n", F.coalesce("label", "node").alias("label")
+        "group", "node", "n", "at", F.coalesce("label", "node").alias("label")
     )
     # Groups that became one component are done.
     apart = left.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     left = stored(left.join(apart.where("low <> high").select("group"), "group", "left_semi"))
+    # Two sets of n <= m that agree to s share 2 s / (1 + s) n of the smaller one or more, so what
+    # they share first stands in a shorter prefix of it. A passage that is most of many texts, but
+    # too little to make them alike, lies behind that prefix, and yields no pair of them.
+    small = left.where(f"at < n - ceil(n * {2 * p} / {p + q}) + {COMMON}")
     other = left.select(
         "group", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("to")
     )
-    rest = left.withColumnRenamed("node", "a").join(other, "group").where("a < b and label <> to")
+    order = (F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("a") < F.col("b")))
+    alike = f"n * {q} >= m * {p} and label <> to"
+    rest = small.withColumnRenamed("node", "a").join(other, "group").where(order & F.expr(alike))
     return found.union(confirmed(candidates(rest)))
 
 

@@ -371,11 +371,14 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     sent = spark.sparkContext.broadcast((plan, ends, after_rest))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token_files.forget()
         for batch in batches:
             for row in range(batch.num_rows):
                 yield from _pieces(batch.slice(row, 1).to_pylist()[0], *sent.value, capacity)
 
-    placed = encoded.join(_placed_units(encoded, plan, counts), ["part", "unit"])
+    # The same join at every size: what is joined to the payloads grows with them.
+    firsts = _placed_units(encoded, plan, counts).hint("merge")
+    placed = encoded.join(firsts, ["part", "unit"])
     return placed.mapInArrow(run, PIECE_SCHEMA)
 
 

@@ -19,7 +19,7 @@ PLACE = re.compile(r"\S ")
 #: Characters of a text that are cut into pieces at once; a longer text is taken part by part.
 PART = 1 << 20
 #: Pieces and pre-tokens of one generation of a worker's memory.
-ENTRIES = 600_000
+ENTRIES = 800_000
 #: Letters on which all character tables agree, and signs that end a plain piece; a run of signs
 #: is one match.
 LIMIT = "\u0250"

@@ -23,6 +23,7 @@ from trustgate.llm import (
     token_files,
 )
 from trustgate.llm.common import id_and_text, read_documents
+from trustgate.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -125,4 +126,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}

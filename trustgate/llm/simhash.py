@@ -47,12 +47,17 @@ def fingerprint(text: str, words: int = WORDS) -> int:
         return 0
     digest = xxhash.xxh64_intdigest
     last = max(1, len(found) - words + 1)
-    hashes = [digest(b" ".join(found[i : i + words]), SEED) for i in range(last)]
+    each = (digest(b" ".join(found[i : i + words]), SEED) for i in range(last))
+    return vote(np.fromiter(each, np.uint64, last))
+
+
+def vote(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes, as a signed number."""
     votes = np.zeros(BITS, np.int64)
-    for first in range(0, last, 1 << 16):
-        some = np.array(hashes[first : first + (1 << 16)], ">u8")
+    for first in range(0, len(hashes), 1 << 16):
+        some = hashes[first : first + (1 << 16)].astype(">u8")
         votes += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(votes * 2 > last).view(">i8")[0])
+    return int(np.packbits(votes * 2 > len(hashes)).view(">i8")[0])
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:

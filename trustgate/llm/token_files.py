@@ -193,14 +193,20 @@ def _library(path: str):
     return split, encode, tokenizer
 
 
+@lru_cache(maxsize=1)
 def memory(path: str) -> FileMemory:
-    """A new encoder by the library's pre-tokenizer and model, which remembers what it encodes.
+    """A worker's encoder by the library's pre-tokenizer and model, which remembers what it encodes.
 
-    A task makes its own, so that idle workers don't hold what an earlier stage remembered.
+    Workers outlive a stage: a later stage's tasks ``forget`` what they no longer need.
     """
     return FileMemory(*_library(path))
 
 
+def forget() -> None:
+    """Free the worker's memory of encoded pieces."""
+    memory.cache_clear()
+
+
 def encode_text(text: str, path: str) -> np.ndarray:
     """The library's ids of a whole text, piece by piece (see ``pieces``)."""
     return np.frombuffer(memory(path).ids(text), "<u4")
@@ -309,6 +315,7 @@ def read_token_files(spark, path: str) -> DataFrame:
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for i in range(batch.num_rows):
                 start = batch.column("first")[i].as_py()
