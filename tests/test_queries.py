@@ -52,7 +52,7 @@ SPARK_TYPES = {
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLE_SQL)
-    assert len(QUERIES) == 67
+    assert len(QUERIES) == 68
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
 

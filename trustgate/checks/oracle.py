@@ -7,6 +7,7 @@ Only the declared rules, thresholds and run labels come from the product's decla
 from __future__ import annotations
 
 from trustgate.checks import binding as b
+from trustgate.checks import orders
 from trustgate.operators.profile import MISSING
 from trustgate.plans import taxi
 from trustgate.plans.spec import COMPARATORS, ProductSpec
@@ -468,6 +469,7 @@ UNION ALL """
         },
         ", " + UNJUDGED,
     ),
+    "orders_run": orders.oracle_sql(),
     # projection and gate
     "canonical": f"WITH {TRIPS} SELECT {TRIP_COLUMNS} FROM trips",
     "consumption": f"WITH {GATED} SELECT {PUBLISHED} FROM clean_{L}",

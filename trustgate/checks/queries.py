@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustgate.checks import binding as b
+from trustgate.checks import orders
 from trustgate.functions import expressions
 from trustgate.functions.expressions import as_rows, literal, require_rows
 from trustgate.operators import gate, governance, harmonize, marts, metrics, profile, triage
@@ -461,6 +462,9 @@ def product_run(spark, sf_dir):
     return union([values, *judged])
 
 
+QUERIES["orders_run"] = orders.orders_run
+
+
 # Projection and the gate
 
 
