@@ -1,10 +1,12 @@
 """Chat formatting in budgeted windows.
 
-A conversation's prefix sums of turn tokens are cut at multiples of a budget, which gives spans
-of whole turns; a turn that lies across a cut is a span of its own, so that the new turns of a
-window keep the budget unless one turn alone is over it. Each span becomes a window: the system turn again, a limited number of earlier
-turns as history, then the span's own turns. Only the assistant turns of the span itself are
-under the loss mask, so each is a target once, however often it is repeated.
+Tokens are ids of a tokenizer file. A window's budget holds the system turn, repeated history and
+new turns together: what the first two need is set aside, and a conversation's prefix sums of
+turn tokens are cut at multiples of the rest, which gives spans of whole turns; a turn that lies
+across a cut is a span of its own. Each span becomes a window: the system turn again, a limited
+number of earlier turns as history as far as the budget goes, then the span's own turns. A window
+is over the budget only if a single turn is. Only the assistant turns of the span itself are under
+the loss mask, so each is a target once, however often it is repeated.
 
 Template of a turn: ``### role:`` and a line with the text, closed by ``</turn>``. Inside texts
 and roles every backslash, ``#`` and ``<`` (in roles ``:`` too) has a backslash before it, so no
@@ -17,15 +19,19 @@ import hashlib
 import re
 from collections.abc import Iterable, Iterator
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trustgate.llm.common import stored
+from trustgate.llm import token_files
+from trustgate.llm.common import slices, stored
 
-#: Tokens (words, plus TURN_TOKENS for the template) that the new turns of a window share.
-BUDGET = 512
-TURN_TOKENS = 4
+#: Tokens of a window; a turn has those of its text, and TURN_TOKENS for the template.
+BUDGET = 1024
+TURN_TOKENS = 16
+#: A system turn with more than one in so many of the budget's tokens isn't repeated.
+SYSTEM_PART = 2
 #: Turns, and tokens, of repeated history before a span.
 HISTORY_TURNS = 2
 HISTORY_TOKENS = 256
@@ -46,24 +52,41 @@ def unescape(text: str) -> str:
     return ESCAPED.sub(r"\1", text)
 
 
-def _placed(turns: DataFrame) -> DataFrame:
+def _counted(turns: DataFrame, tokenizer: str) -> DataFrame:
+    """Turns with the number of ids of their text."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = token_files.memory(tokenizer)
+        for batch in batches:
+            for part in slices(batch):
+                sizes = [len(encoder.ids(t)) // 4 for t in part.column("text").to_pylist()]
+                columns = [*part.columns, pa.array(sizes, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "ids"])
+
+    schema = "conv string, conv_id long, turn long, role string, text string, ids long"
+    return turns.mapInArrow(run, schema)
+
+
+def _placed(turns: DataFrame, tokenizer: str) -> DataFrame:
     """Turns with their number ``at`` in the conversation and the tokens ``before`` them.
 
     Rows are dealt by ranges of conversation and turn, so a long conversation spreads over many
     parts; each part is numbered alone, and a conversation's parts are added up by a few rows.
     """
-    words = F.size(F.filter(F.split("text", r"\s+"), lambda w: w != ""))
     parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["conv", "turn", "role", "text"]
+    named = turns.select(
+        F.coalesce(F.col("conv_id").cast("string"), F.lit("-")).alias("conv"),
+        F.col("conv_id").cast("long").alias("conv_id"),
+        F.col("turn").cast("long").alias("turn"),
+        F.coalesce("role", F.lit("")).alias("role"),
+        F.coalesce("text", F.lit("")).alias("text"),
+    )
+    # Stored once: dealing by ranges looks at the rows twice.
+    counted = stored(_counted(named, tokenizer))
     dealt = stored(
-        turns.select(
-            F.coalesce(F.col("conv_id").cast("string"), F.lit("-")).alias("conv"),
-            F.col("conv_id").cast("long").alias("conv_id"),
-            F.col("turn").cast("long").alias("turn"),
-            F.coalesce("role", F.lit("")).alias("role"),
-            F.coalesce("text", F.lit("")).alias("text"),
-        )
-        .withColumn("tokens", (words + TURN_TOKENS).cast("long"))
+        counted.withColumn("tokens", F.col("ids") + TURN_TOKENS)
+        .drop("ids")
         .repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
         .withColumn("part", F.spark_partition_id())
@@ -94,38 +117,60 @@ def format_chats(
     budget: int = BUDGET,
     history_turns: int = HISTORY_TURNS,
     history_tokens: int = HISTORY_TOKENS,
+    tokenizer: str | None = None,
 ) -> DataFrame:
     """One row per window: conv_id, span, formatted text, loss spans, number of repeated turns.
 
     Loss spans are code points of the formatted text, end exclusive. Turns stand in the order of
     ``turn`` (missing ones first), then role and text; repeated rows all stay. A missing text or
     role counts as empty, a missing conv_id is one more conversation. A turn longer than the
-    budget is a window with it alone among the new turns. Further columns are left out.
+    budget is a window with it alone; a system turn of more than a SYSTEM_PART of the budget stands in
+    its own place only. Further columns are left out.
     """
-    cell = F.floor(F.col("before") / budget)
-    across = (F.col("before") + F.col("tokens") > (cell + 1) * budget).cast("long")
-    placed = stored(_placed(turns).withColumn("span", cell * 2 + across))
+    tokenizer = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
+    placed = stored(_placed(turns, tokenizer))
+    is_system = (F.col("at") == 0) & (F.col("role") == "system")
+    # One row for each conversation that begins with a system turn to repeat.
+    systems = placed.where(is_system & (F.col("tokens") * SYSTEM_PART <= budget)).select(
+        F.col("conv").alias("of"), F.col("tokens").alias("system")
+    )
+    placed = placed.join(systems, placed["conv"] == systems["of"], "left").drop("of")
+    aside = F.coalesce("system", F.lit(0))
+    room = F.greatest(F.lit(1), F.lit(budget) - aside - F.least(F.lit(history_tokens), (budget - aside) / 2))
+    cell = F.floor(F.col("before") / room)
+    across = (F.col("before") + F.col("tokens") > (cell + 1) * room).cast("long")
+    placed = stored(
+        placed.withColumns({"span": (cell * 2 + across).cast("long"), "system": aside})
+    )
     spans = placed.groupBy("conv", "span").agg(
-        F.min("at").alias("first"), F.min("before").alias("first_before")
+        F.min("at").alias("first"),
+        F.min("before").alias("first_before"),
+        F.sum("tokens").alias("own"),
+        F.max("system").alias("system"),
+    )
+    # What a span's own turns leave: for the system turn first, then for history.
+    left = F.lit(budget) - F.col("own")
+    later = spans.where("first > 0").withColumn(
+        "kept", F.when((F.col("system") > 0) & (F.col("system") <= left), F.col("system")).otherwise(0)
     )
-    later = spans.where("first > 0")
+    later = later.withColumn("for_history", left - F.col("kept"))
     new = placed.select("conv", "conv_id", "span", "at", "role", "text", F.lit(False).alias("again"))
     wanted = later.select(
         "conv",
         F.col("span").alias("into"),
         "first_before",
+        F.least(F.col("for_history"), F.lit(history_tokens)).alias("most"),
         F.explode(
             F.sequence(F.greatest(F.col("first") - history_turns, F.lit(0)), F.col("first") - 1)
         ).alias("at"),
     )
-    is_system = (F.col("at") == 0) & (F.col("role") == "system")
     history = (
         placed.join(wanted, ["conv", "at"])
-        .where(F.col("first_before") - F.col("before") <= history_tokens)
+        .where(F.col("first_before") - F.col("before") <= F.col("most"))
         .where(~is_system)
     )
     system = placed.where(is_system).join(
-        later.select("conv", F.col("span").alias("into")), "conv"
+        later.where("kept > 0").select("conv", F.col("span").alias("into")), "conv"
     )
     members = new
     for extra in (history, system):
