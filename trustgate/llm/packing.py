@@ -36,7 +36,7 @@ CAPACITY = 2048
 END_ID = 1
 #: The linear program ends when patterns cover this share of the tokens, or after so many pivots;
 #: either only decides how many remainders are cut.
-GOAL = 0.99
+GOAL = 0.98
 PIVOTS = 1500
 #: Columns that enter after one knapsack.
 COLUMNS = 60
@@ -235,11 +235,16 @@ def stretch_ends(total: int, capacity: int = CAPACITY) -> list[int]:
     return ends
 
 
+def _flat(ids: np.ndarray) -> bytes:
+    """Ids as 16 bits each where all fit, else as 32."""
+    return ids.astype("<u2" if not len(ids) or ids.max() < 1 << 16 else "<u4").tobytes()
+
+
 UNIT_SCHEMA = "part int, unit int, doc_ids array<long>, lengths array<long>, payload binary"
 
 
 def _encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """Ids of whole documents, each with its end id, in payloads (see ``token_files``)."""
+    """Ids of whole documents, each with its end id, in payloads of many documents."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = token_files.memory(tokenizer)
@@ -248,7 +253,7 @@ def _encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
         ids, names, lengths, held = [], [], [], 0
 
         def close() -> pa.RecordBatch:
-            packed = token_files.pack(np.frombuffer(b"".join(ids), "<u4"))
+            packed = _flat(np.frombuffer(b"".join(ids), "<u4"))
             columns = [[part], [unit], [names], [lengths], [packed]]
             types = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays(
@@ -276,6 +281,27 @@ def _encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     return id_and_text(docs).mapInArrow(run, UNIT_SCHEMA)
 
 
+def _remainders(units: DataFrame, capacity: int) -> DataFrame:
+    """A row per unit and length of remainder: ``n`` documents and their ``chunks`` whole sequences."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Encoding is over: workers need no longer hold what they remembered for it.
+        token_files.forget()
+        for batch in batches:
+            for row in batch.to_pylist():
+                chunks, r = np.divmod(np.array(row["lengths"], np.int64), capacity)
+                lengths, of, n = np.unique(r, return_inverse=True, return_counts=True)
+                whole = np.bincount(of, chunks, len(lengths)).astype(np.int64)
+                same = [pa.array([row[k]] * len(lengths), pa.int32()) for k in ("part", "unit")]
+                yield pa.RecordBatch.from_arrays(
+                    [*same, pa.array(lengths), pa.array(n), pa.array(whole)],
+                    names=["part", "unit", "r", "n", "chunks"],
+                )
+
+    schema = "part int, unit int, r long, n long, chunks long"
+    return units.select("part", "unit", "lengths").mapInArrow(run, schema)
+
+
 def _placed_units(units: DataFrame, plan: Plan, counts: DataFrame) -> DataFrame:
     """part, unit, first rank of each length, and what stands before the unit: whole sequences,
     and tokens of remainders that no pattern takes.
@@ -354,12 +380,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     tokenizer = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     spark = docs.sparkSession
     encoded = stored(_encoded(docs, tokenizer))
-    one = encoded.select("part", "unit", F.explode("lengths").alias("tokens"))
-    counts = stored(
-        one.groupBy("part", "unit", (F.col("tokens") % capacity).alias("r")).agg(
-            F.count("*").alias("n"), F.sum(F.floor(F.col("tokens") / capacity)).alias("chunks")
-        )
-    )
+    counts = stored(_remainders(encoded, capacity))
     # No more rows than lengths below the capacity come to the driver.
     histogram = np.zeros(capacity, np.int64)
     for row in counts.groupBy("r").agg(F.sum("n").alias("n")).collect():
@@ -389,7 +410,8 @@ def _pieces(
     names = unit["doc_ids"]
     tokens = np.array(unit["lengths"], np.int64)
     first = np.cumsum(tokens) - tokens
-    ids = token_files.unpack(unit["payload"]).astype("<u4")
+    wide = len(unit["payload"]) == 4 * int(tokens.sum())
+    ids = np.frombuffer(unit["payload"], "<u4" if wide else "<u2").astype("<u4")
     r = tokens % capacity
     base = np.zeros(capacity, np.int64)
     for known in unit["ranks"]:
