@@ -245,6 +245,7 @@ UNIT_SCHEMA = "part int, unit int, doc_ids array<long>, lengths array<long>, pay
 
 def _encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Ids of whole documents, each with its end id, in payloads of many documents."""
+    limit = token_files.PAYLOAD_IDS
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = token_files.memory(tokenizer)
@@ -271,7 +272,7 @@ def _encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
                     names.append(name)
                     lengths.append(len(got) // 4 + 1)
                     held += lengths[-1]
-                    if held >= token_files.PAYLOAD_IDS:
+                    if held >= limit:
                         yield close()
                         unit += 1
                         ids, names, lengths, held = [], [], [], 0

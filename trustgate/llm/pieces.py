@@ -47,7 +47,7 @@ def cut(text: str) -> list[str]:
     return out if out != [""] else []
 
 
-def parts(text: str, size: int = PART) -> Iterator[str]:
+def parts(text: str, size: int) -> Iterator[str]:
     """Parts of about ``size`` characters, cut between pieces."""
     start = 0
     while len(text) - start > size and (found := PLACE.search(text, start + size)):
@@ -105,6 +105,5 @@ class TextMemory:
 
     def ids(self, text: str) -> bytes:
         """Packed ids of a text."""
-        if len(text) <= PART:
-            return b"".join(map(self.known.__getitem__, cut(text)))
-        return b"".join([self.ids(part) for part in parts(text)])
+        some = (text,) if len(text) <= PART else parts(text, PART)
+        return b"".join([b"".join(map(self.known.__getitem__, cut(part))) for part in some])
