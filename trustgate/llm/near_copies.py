@@ -8,9 +8,9 @@ prefix join: with any common order of all shingles, two sets that agree to a sha
 frequent come last in the order, which keeps the groups of the join small; the result doesn't
 depend on the sample. Every candidate is confirmed by its exact similarity.
 
-Candidates are taken in two rounds: each text with the first one of its groups, then all pairs
-that the first round's links left in different components. A large group of alike texts is thereby
-one round of pairs with its first one, not all pairs.
+Candidates are taken in two rounds: each text with the head of its groups, the one with the fewest
+rare shingles, then all pairs that the first round's links left in different components. A large
+group of alike texts is thereby one round of pairs with its head, not all pairs.
 """
 
 from __future__ import annotations
@@ -81,33 +81,37 @@ def _prefixes(texts: DataFrame, words: int, share: Fraction, frequent: np.ndarra
     def make():
         known, ranks = sent.value
 
-        def first(own: np.ndarray) -> np.ndarray:
+        def first(own: np.ndarray) -> tuple[np.ndarray, int]:
+            """The prefix, and how many shingles in a thousand aren't known as frequent."""
             rank = np.zeros(len(own), np.int64)
             if len(known):
                 at = np.minimum(np.searchsorted(known, own), len(known) - 1)
                 rank = np.where(known[at] == own, ranks[at], 0)
             n = len(own)
             kept = n + COMMON + (-n * share.numerator) // share.denominator
-            return own[np.lexsort((own, rank))[:kept]]
+            return own[np.lexsort((own, rank))[:kept]], int(1000 * (rank == 0).mean())
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            prints, sizes, prefixes = [], [], []
+            prints, sizes, rare, prefixes = [], [], [], []
             # One text's hashes at a time: only its print and prefix stay.
             for text in batch.column("text").to_pylist():
                 each = hashes(text, words)
                 own = np.unique(each).view(np.int64)
                 prints.append(simhash.vote(each) if text.strip(" \t\n\r\v\f") else 0)
                 sizes.append(len(own))
-                prefixes.append(first(own))
+                prefix, odd = first(own)
+                prefixes.append(prefix)
+                rare.append(odd)
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column("node"),
                     batch.column("key"),
                     pa.array(prints, pa.int64()),
                     pa.array(sizes, pa.int64()),
+                    pa.array(rare, pa.int32()),
                     _lists(prefixes),
                 ],
-                names=["node", "key", "fp", "n", "prefix"],
+                names=["node", "key", "fp", "n", "rare", "prefix"],
             )
 
         return work
@@ -115,7 +119,7 @@ def _prefixes(texts: DataFrame, words: int, share: Fraction, frequent: np.ndarra
     return map_texts(
         texts.select("node", "key", "text"),
         make,
-        "node long, key long, fp long, n long, prefix array<long>",
+        "node long, key long, fp long, n long, rare int, prefix array<long>",
     )
 
 
@@ -161,20 +165,25 @@ def links(texts: DataFrame, words: int = WORDS, share: Fraction = SHARE) -> Data
     prints = stored(known.select("fp").distinct())
     label = simhash.components(simhash.near_links(prints, prints.count()))
     close = known.join(label, known.fp == label.node, "left").select(
-        F.coalesce("label", "fp").alias("group"), known["node"], "n", F.lit(0).alias("at")
+        F.coalesce("label", "fp").alias("group"), known["node"], "n", "rare", F.lit(0).alias("at")
     )
-    spread = known.select(F.posexplode("prefix").alias("at", "group"), "node", "n")
+    spread = known.select(F.posexplode("prefix").alias("at", "group"), "node", "n", "rare")
 
     def with_head(rows: DataFrame) -> DataFrame:
-        """The rows of groups of several nodes, each once, with the group's first node."""
+        """The rows of groups of several nodes, each with the group's head.
+
+        That is the text with the smallest share of rare shingles: of a group of edited copies
+        the one they were made from, which is closer to all of them than they are to each other.
+        """
         same = Window.partitionBy("group")
         both = rows.withColumns(
             {
-                "head": F.min(F.struct("node", "n")).over(same),
+                "head": F.min(F.struct("rare", "node", "n")).over(same),
+                "low": F.min("node").over(same),
                 "high": F.max("node").over(same),
             }
         )
-        return stored(both.where("head.node <> high").drop("high"))
+        return stored(both.where("low <> high").drop("low", "high", "rare"))
 
     def candidates(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) of sizes n and m, one row for each shingle that their prefixes share."""
@@ -205,15 +214,20 @@ def links(texts: DataFrame, words: int = WORDS, share: Fraction = SHARE) -> Data
     # Groups that became one component are done.
     apart = left.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     left = stored(left.join(apart.where("low <> high").select("group"), "group", "left_semi"))
-    # Two sets of n <= m that agree to s share 2 s / (1 + s) n of the smaller one or more, so what
-    # they share first stands in a shorter prefix of it. A passage that is most of many texts, but
-    # too little to make them alike, lies behind that prefix, and yields no pair of them.
+    # Sets of n and m that agree to s share s / (1 + s) (n + m) shingles or more, so what they share
+    # first stands in a short prefix of both. A passage that is most of many texts, but too little
+    # to make them alike, lies behind those prefixes, and yields no pair of them.
     small = left.where(f"at < n - ceil(n * {2 * p} / {p + q}) + {COMMON}")
     other = left.select(
-        "group", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("to")
+        "group",
+        F.col("node").alias("b"),
+        F.col("n").alias("m"),
+        F.col("at").alias("at_b"),
+        F.col("label").alias("to"),
     )
     order = (F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("a") < F.col("b")))
-    alike = f"n * {q} >= m * {p} and label <> to"
+    must = f"ceil((n + m) * {p} / {p + q}) - {COMMON}"
+    alike = f"n * {q} >= m * {p} and label <> to and at < n - ({must}) and at_b < m - ({must})"
     rest = small.withColumnRenamed("node", "a").join(other, "group").where(order & F.expr(alike))
     return found.union(confirmed(candidates(rest)))
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trustgate.llm.common import id_and_text, shared_folder, slices, texts_of
-from trustgate.llm.pieces import TextMemory
+from trustgate.llm.pieces import ENTRIES, TextMemory
 
 MAGIC = b"PFR1"
 BLOCK = 256
@@ -132,8 +132,8 @@ def unpack(payload: bytes) -> np.ndarray:
 class FileMemory(TextMemory):
     """Ids of texts by a tokenizer file, whose added tokens are found before all else."""
 
-    def __init__(self, split, encode, tokenizer):
-        super().__init__(split, encode)
+    def __init__(self, split, encode, tokenizer, entries: int = ENTRIES):
+        super().__init__(split, encode, entries)
         self.tokenizer = tokenizer
         added = [t for t in tokenizer.get_added_tokens_decoder().values() if t.content]
         self.added = {
@@ -194,12 +194,12 @@ def _library(path: str):
 
 
 @lru_cache(maxsize=1)
-def memory(path: str) -> FileMemory:
+def memory(path: str, entries: int = ENTRIES) -> FileMemory:
     """A worker's encoder by the library's pre-tokenizer and model, which remembers what it encodes.
 
     Workers outlive a stage: a later stage's tasks ``forget`` what they no longer need.
     """
-    return FileMemory(*_library(path))
+    return FileMemory(*_library(path), entries)
 
 
 def forget() -> None:
