@@ -7,7 +7,9 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from trustgate.checks import binding
 from trustgate.checks.queries import QUERIES
+from trustgate.sources import tables
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables not present")
@@ -69,3 +71,31 @@ def test_keys_are_shuffled_as_digests_without_counters(large):
         functions = partial.partition("functions=[")[2]
         assert functions.startswith("partial_count(1)") and functions.count("partial_") == 1
         assert "vendor_id" not in partial and "taxi_type" not in partial
+
+
+def test_only_needed_values_cross_the_join(large):
+    """What a line alone decides is worked out before the shuffle, not from its raw columns."""
+    plan = plan_of(binding.trips(large, SF).drop("trip_id"))
+    below = plan.partition("SortMergeJoin")[2]
+    (shuffled,) = [line for line in below.splitlines() if "Exchange hashpartitioning(l_orderkey" in line]
+    crossing = below.partition(shuffled)[2].splitlines()[1]
+    assert "Project [l_orderkey" in crossing and "l_shipdate" in crossing
+    passed = {c.split(" AS ")[-1].split("#")[0].strip() for c in crossing.split(", ")}
+    assert not {"l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus"} & passed
+
+
+@pytest.mark.parametrize(
+    "name, writer", [("rerun_facts", "replace_facts")]
+)
+def test_facts_of_several_runs_come_from_one_join(name, writer, large, monkeypatch):
+    """Each run's facts are read back from one job's result; none joins the tables again."""
+    plans, write = [], getattr(tables, writer)
+
+    def recorded(facts, *rest):
+        plans.append(plan_of(facts))
+        return write(facts, *rest)
+
+    monkeypatch.setattr(tables, writer, recorded)
+    QUERIES[name](large, SF)
+    assert len(plans) > 1
+    assert not [p for p in plans if "Join" in p]
