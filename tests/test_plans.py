@@ -85,7 +85,7 @@ def test_only_needed_values_cross_the_join(large):
 
 
 @pytest.mark.parametrize(
-    "name, writer", [("rerun_facts", "replace_facts")]
+    "name, writer", [("rerun_facts", "replace_facts"), ("governance_append", "append_facts")]
 )
 def test_facts_of_several_runs_come_from_one_join(name, writer, large, monkeypatch):
     """Each run's facts are read back from one job's result; none joins the tables again."""
