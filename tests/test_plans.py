@@ -99,3 +99,10 @@ def test_facts_of_several_runs_come_from_one_join(name, writer, large, monkeypat
     QUERIES[name](large, SF)
     assert len(plans) > 1
     assert not [p for p in plans if "Join" in p]
+
+
+@pytest.mark.parametrize("name", ["layer_counts"])
+def test_counts_read_one_written_join(name, large):
+    """Readers with filters of their own can't share a shuffle, so they share its result."""
+    plan = plan_of(QUERIES[name](large, SF))
+    assert "Join" not in plan and "l_orderkey" not in plan
