@@ -101,7 +101,7 @@ def test_facts_of_several_runs_come_from_one_join(name, writer, large, monkeypat
     assert not [p for p in plans if "Join" in p]
 
 
-@pytest.mark.parametrize("name", ["layer_counts"])
+@pytest.mark.parametrize("name", ["layer_counts", "quarantine_pct"])
 def test_counts_read_one_written_join(name, large):
     """Readers with filters of their own can't share a shuffle, so they share its result."""
     plan = plan_of(QUERIES[name](large, SF))
