@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from trustgate.llm import packing, token_files
+from trustgate.llm import packing, pieces, token_files
 
 SCHEMA = "doc_id long, text string, length long, ids string"
 
@@ -120,3 +120,31 @@ def test_tail_is_cut_into_powers_of_two():
         (16, 3, 0),
         (4, 4, 0),
     ]
+
+
+def test_a_workers_memory_keeps_recurring_keys_alone():
+    asked = []
+
+    def encode(key):
+        asked.append(key)
+        return key.encode()
+
+    known = pieces.Memory(encode, 100, recurring=True)
+    for i in range(50):
+        assert known[f"rare {i}"] == f"rare {i}".encode()
+    assert len(known) <= 2  # two keys may share a mark
+    assert [known["often"] for _ in range(4)] == [b"often"] * 4
+    assert "often" in known and asked.count("often") <= 2
+    # However many recur, two generations hold them all.
+    for key in [f"{i}" for i in range(1000) for _ in range(2)]:
+        assert known[key] == key.encode()
+    assert len(known) <= 100 and len(known.old) <= 100
+
+
+def test_ids_do_not_depend_on_what_is_remembered():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = token_files.memory(path, 20, True)
+    for _, text in texts()[:40]:
+        wanted = token_files.encode_text(text or "", path).tobytes()
+        for _ in range(3):
+            assert encoder.ids(text or "") == wanted

@@ -40,8 +40,9 @@ GOAL = 0.98
 PIVOTS = 1500
 #: Columns that enter after one knapsack.
 COLUMNS = 60
-#: Pieces and pre-tokens of one generation of a worker's memory: beside it, payloads are joined.
-ENTRIES = 500_000
+#: Recurring pieces and pre-tokens of one generation of a worker's memory: beside it, payloads are
+#: joined.
+ENTRIES = 400_000
 #: Pieces given to Spark at once, by their ids.
 OUT_IDS = 1 << 20
 _EPS = 1e-9
@@ -250,7 +251,7 @@ def _encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     limit = token_files.PAYLOAD_IDS
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = token_files.memory(tokenizer, ENTRIES)
+        encoder = token_files.memory(tokenizer, ENTRIES, True)
         end = np.array([END_ID], "<u4").tobytes()
         part, unit = TaskContext.get().partitionId(), 0
         ids, names, lengths, held = [], [], [], 0

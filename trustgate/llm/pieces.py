@@ -30,6 +30,8 @@ PLAIN = re.compile(f" ?[{LETTERS}]+[{SIGNS}]*(?:\n[{LETTERS}]+[{SIGNS}]*)*")
 PLAIN_TOKEN = re.compile(f" ?[{LETTERS}]+|[{SIGNS}]+|\n")
 #: Longer ones are encoded without being remembered.
 LONGEST = 64
+#: Marks of keys met before, one byte each; two keys may share one.
+MARKS = 1 << 22
 
 
 def cut(text: str) -> list[str]:
@@ -61,12 +63,14 @@ class Memory(dict):
 
     Two generations bound its size: when the young one is full it becomes the old one, whose
     entries move back on use. Frequent keys stay, and results never depend on what is held.
+    With ``recurring`` a key is kept from its second use on, so rare keys take no room.
     """
 
-    def __init__(self, encode, limit: int):
+    def __init__(self, encode, limit: int, recurring: bool = False):
         super().__init__()
         self.encode, self.limit = encode, limit
         self.old: dict[str, bytes] = {}
+        self.met = bytearray(MARKS) if recurring else None
 
     def __missing__(self, key: str) -> bytes:
         found = self.old.get(key)
@@ -74,9 +78,16 @@ class Memory(dict):
             found = self.encode(key)
             if len(key) > LONGEST:
                 return found
+            if self.met is not None:
+                mark = hash(key) % MARKS
+                if not self.met[mark]:
+                    self.met[mark] = 1
+                    return found
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
+            if self.met is not None:
+                self.met = bytearray(MARKS)
         self[key] = found
         return found
 
@@ -84,10 +95,10 @@ class Memory(dict):
 class TextMemory:
     """Ids of texts from the ids of their pieces and pre-tokens, which are remembered."""
 
-    def __init__(self, split, encode, entries: int = ENTRIES):
+    def __init__(self, split, encode, entries: int = ENTRIES, recurring: bool = False):
         """split: a piece's pre-tokens; encode: packed ids of a pre-token."""
         self.split, self.encode = split, encode
-        self.known = Memory(self._piece, entries)
+        self.known = Memory(self._piece, entries, recurring)
 
     def _piece(self, piece: str) -> bytes:
         word = piece.rstrip(SIGNS)

@@ -132,8 +132,10 @@ def unpack(payload: bytes) -> np.ndarray:
 class FileMemory(TextMemory):
     """Ids of texts by a tokenizer file, whose added tokens are found before all else."""
 
-    def __init__(self, split, encode, tokenizer, entries: int = ENTRIES):
-        super().__init__(split, encode, entries)
+    def __init__(
+        self, split, encode, tokenizer, entries: int = ENTRIES, recurring: bool = False
+    ):
+        super().__init__(split, encode, entries, recurring)
         self.tokenizer = tokenizer
         added = [t for t in tokenizer.get_added_tokens_decoder().values() if t.content]
         self.added = {
@@ -194,12 +196,12 @@ def _library(path: str):
 
 
 @lru_cache(maxsize=1)
-def memory(path: str, entries: int = ENTRIES) -> FileMemory:
+def memory(path: str, entries: int = ENTRIES, recurring: bool = False) -> FileMemory:
     """A worker's encoder by the library's pre-tokenizer and model, which remembers what it encodes.
 
     Workers outlive a stage: a later stage's tasks ``forget`` what they no longer need.
     """
-    return FileMemory(*_library(path), entries)
+    return FileMemory(*_library(path), entries, recurring)
 
 
 def forget() -> None:
