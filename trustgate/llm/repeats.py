@@ -38,7 +38,7 @@ PART = 4 << 20
 PLACE_BITS = 23
 #: Stretches of one marker that a task searches, and bytes of stretches searched together.
 LARGE = 20_000
-SEARCH_BYTES = 3 << 20
+SEARCH_BYTES = 1 << 20
 #: Never occurs in UTF-8.
 GAP = b"\xff"
 
@@ -229,29 +229,40 @@ def window_classes(raw: np.ndarray) -> np.ndarray:
 
 def _suffix_order(raw: np.ndarray, n: int) -> np.ndarray:
     """Places 0 to n - 1 in order of their first LENGTH bytes, by doubling ranks."""
+    # As many bytes first as a word holds beside a place.
+    reach = (64 - n.bit_length()) // 8
     value = np.zeros(n, np.uint64)
-    for i in range(8):
+    for i in range(reach):
         value = (value << np.uint64(8)) | raw[i : i + n]
-    order = np.argsort(value, kind="stable")
-    rank = _ranks(value, order)
-    reach = 8
+    order, rank = _ranks(value, 8 * reach)
     while reach < LENGTH:
         step = min(reach, LENGTH - reach)
         # Beyond the last place there are gaps alone, which sort last as one more rank.
-        after = np.full(n, n, np.int64)
+        last = int(rank[order[-1]]) + 1
+        width = last.bit_length()
+        after = np.full(n, last, np.uint64)
         after[: n - step] = rank[step:]
-        value = rank * (n + 1) + after
-        order = np.argsort(value, kind="stable")
-        rank = _ranks(value, order)
+        order, rank = _ranks((rank << np.uint64(width)) | after, 2 * width)
         reach += step
     return order
 
 
-def _ranks(value: np.ndarray, order: np.ndarray) -> np.ndarray:
-    ordered = value[order]
-    rank = np.empty(len(value), np.int64)
-    rank[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
-    return rank
+def _ranks(value: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in order of their values, which have ``width`` bits, and each place's rank."""
+    n = len(value)
+    bits = n.bit_length()
+    if width + bits <= 64:
+        # Value and place share a word: sorting words is several times faster than an argsort.
+        packed = (value << np.uint64(bits)) | np.arange(n, dtype=np.uint64)
+        packed.sort()
+        order = (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
+        ordered = packed >> np.uint64(bits)
+    else:
+        order = np.argsort(value, kind="stable")
+        ordered = value[order]
+    rank = np.zeros(n, np.uint64)
+    rank[order[1:]] = np.cumsum(ordered[1:] != ordered[:-1])
+    return order, rank
 
 
 def _expand(transform: np.ndarray, longest: int) -> np.ndarray:
@@ -263,29 +274,29 @@ def _expand(transform: np.ndarray, longest: int) -> np.ndarray:
     reaches a border gives the length, and only such strings are extended further.
     """
     n = len(transform)
-    by_byte = np.argsort(transform, kind="stable")
-    mapped = np.empty(n, np.int64)
-    mapped[by_byte] = np.arange(n)
+    kind = np.int32 if n < 1 << 31 else np.int64
+    by_byte = np.argsort(transform, kind="stable").astype(kind)
+    mapped = np.empty(n, kind)
+    mapped[by_byte] = np.arange(n, dtype=kind)
     # The places of the same byte before and after each place.
-    before, after = np.full(n, -1, np.int64), np.full(n, n, np.int64)
+    before, after = np.full(n, -1, kind), np.full(n, n, kind)
     same = transform[by_byte[1:]] == transform[by_byte[:-1]]
     before[by_byte[1:][same]] = by_byte[:-1][same]
     after[by_byte[:-1][same]] = by_byte[1:][same]
     borders = np.zeros(n + 1, bool)
     borders[[0, n]] = True
-    low, high = np.zeros(1, np.int64), np.full(1, n, np.int64)
+    low, high = np.zeros(1, kind), np.full(1, n, kind)
     for _ in range(longest):
         if not len(low):
             break
         size = high - low
-        of = np.repeat(np.arange(len(low)), size)
-        place = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + low[of]
-        first, last = before[place] < low[of], after[place] >= high[of]
-        a, b = place[first], place[last]
-        # First and last place of each byte of each interval, brought into one order.
-        a = a[np.argsort(of[first] * 256 + transform[a], kind="stable")]
-        b = b[np.argsort(of[last] * 256 + transform[b], kind="stable")]
-        low, high = mapped[a], mapped[b] + 1
+        ends = np.cumsum(size, dtype=np.int64)
+        place = np.arange(ends[-1]) + np.repeat(low - (ends - size), size)
+        a = place[before[place] < np.repeat(low, size)]
+        b = place[after[place] >= np.repeat(high, size)]
+        # First and last place of each byte of each interval. Intervals of one length don't
+        # overlap, so both come into one order, by byte and interval.
+        low, high = np.sort(mapped[a]), np.sort(mapped[b]) + 1
         fresh = ~borders[high]
         low, high = low[fresh], high[fresh]
         borders[high] = True
