@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trustgate.llm.common import id_and_text, shared_folder, slices, texts_of
-from trustgate.llm.pieces import ENTRIES, TextMemory
+from trustgate.llm.pieces import ENTRIES, LIMIT, TextMemory
 
 MAGIC = b"PFR1"
 BLOCK = 256
@@ -163,6 +163,19 @@ class FileMemory(TextMemory):
         return super().ids(text)
 
 
+class ShownCharacters(dict):
+    """Code point -> the characters that show its UTF-8 bytes, for ``str.translate``."""
+
+    def __init__(self, shown: dict[int, int]):
+        super().__init__()
+        self.shown = shown
+        self.update((c, self[c]) for c in range(ord(LIMIT)))
+
+    def __missing__(self, point: int) -> str:
+        # Those that plain pieces are made of are held; others are not, so it stays small.
+        return chr(point).encode().decode("latin-1").translate(self.shown)
+
+
 @lru_cache(maxsize=2)
 def _library(path: str):
     """A file's tokenizer, and functions that split a piece and encode a pre-token by it."""
@@ -178,6 +191,7 @@ def _library(path: str):
     others = [b for b in range(256) if b not in plain]
     shown = {b: 256 + i for i, b in enumerate(others)}
     space, line = chr(shown[32]), chr(shown[10])
+    characters = ShownCharacters(shown)
 
     def split(piece: str) -> list[str]:
         """Pre-tokens, which the library gives with bytes shown as characters."""
@@ -189,7 +203,7 @@ def _library(path: str):
         elif token.isascii():  # letters after a space, signs or a line end
             token = token.replace(" ", space).replace("\n", line)
         else:
-            token = token.encode().decode("latin-1").translate(shown)
+            token = token.translate(characters)
         return array("I", [t.id for t in run(token)]).tobytes()
 
     return split, encode, tokenizer
