@@ -22,6 +22,9 @@ SEED = 20_011
 BUCKET_BYTES = 16 << 20
 #: Rows of a bucket on average, for tables of very short texts.
 BUCKET_ROWS = 200_000
+#: Bytes of a row group of the written files: a task that writes or reads them holds one of each
+#: column, in memory beside the heap too, however large the task's file.
+ROW_GROUP = 8 << 20
 #: Buckets whose first slots are sent to all tasks when shards are read.
 SENT_BUCKETS = 100_000
 
@@ -86,6 +89,7 @@ def write_shards(
         .select("shard", "bucket", F.posexplode(F.shuffle("rows", F.lit(seed))))
         .select("shard", "bucket", F.col("pos").alias("place"), "col.size", "col.row")
         .write.partitionBy("shard")
+        .option("parquet.block.size", ROW_GROUP)
         .parquet(path)
     )
     return path
