@@ -28,6 +28,9 @@ SIGNS = ".,;:!?#*$%&|<>"
 #: Plain: letters, maybe after a space and before signs; more of them after single line ends.
 PLAIN = re.compile(f" ?[{LETTERS}]+[{SIGNS}]*(?:\n[{LETTERS}]+[{SIGNS}]*)*")
 PLAIN_TOKEN = re.compile(f" ?[{LETTERS}]+|[{SIGNS}]+|\n")
+#: A comma or stop behind anything but these letters and digits may belong to a longer match, and a
+#: line end before white space too; texts that have such are cut at spaces alone.
+RUN_ON = [re.compile(p) for p in (rf",(?<=[^{LETTERS}0-9],)", rf"\.(?<=[^{LETTERS}0-9]\.)", r"\n\s")]
 #: Longer ones are encoded without being remembered.
 LONGEST = 64
 #: Marks of keys met before, one byte each; two keys may share one.
@@ -49,6 +52,17 @@ def cut(text: str) -> list[str]:
     return out if out != [""] else []
 
 
+def cut_signs(text: str) -> list[str]:
+    """Pieces as of ``cut``, with commas, stops and line ends that end a word as pieces of their own.
+
+    So a word is looked up and remembered alike whatever follows it. A piece may be empty.
+    """
+    if text[:1] == " " or BLANK.search(text) or "\0" in text or any(p.search(text) for p in RUN_ON):
+        return cut(text)
+    marked = text.replace(" ", "\0 ").replace(",\0", "\0,\0").replace(".\0", "\0.\0")
+    return marked.replace(".\n", "\0.\0\n\0").split("\0") if text else []
+
+
 def parts(text: str, size: int) -> Iterator[str]:
     """Parts of about ``size`` characters, cut between pieces."""
     start = 0
@@ -92,6 +106,12 @@ class Memory(dict):
         return found
 
 
+def _is_word(piece: str) -> bool:
+    """Letters of the tables' common part alone, maybe after a space."""
+    letters = piece[1:] if piece[:1] == " " else piece
+    return letters.isalpha() and (letters.isascii() or max(letters) < LIMIT)
+
+
 class TextMemory:
     """Ids of texts from the ids of their pieces and pre-tokens, which are remembered."""
 
@@ -101,11 +121,10 @@ class TextMemory:
         self.known = Memory(self._piece, entries, recurring)
 
     def _piece(self, piece: str) -> bytes:
+        if _is_word(piece):
+            return self.encode(piece)
         word = piece.rstrip(SIGNS)
-        letters = word[1:] if word[:1] == " " else word
-        if letters.isalpha() and (letters.isascii() or max(letters) < LIMIT):
-            if len(word) == len(piece):
-                return self.encode(piece)
+        if _is_word(word):
             return self.known[word] + self.known[piece[len(word) :]]
         if not PLAIN.fullmatch(piece):
             return b"".join(map(self.encode, self.split(piece)))
@@ -117,4 +136,4 @@ class TextMemory:
     def ids(self, text: str) -> bytes:
         """Packed ids of a text."""
         some = (text,) if len(text) <= PART else parts(text, PART)
-        return b"".join([b"".join(map(self.known.__getitem__, cut(part))) for part in some])
+        return b"".join([b"".join(map(self.known.__getitem__, cut_signs(part))) for part in some])
